@@ -62,7 +62,7 @@ def json_words(c: Column | str) -> Column:
 
 def word_array(c: Column | str) -> Column:
     """Trimmed non-empty words of a text separated by ASCII or full-width commas."""
-    return F.filter(F.transform(F.split(col_of(c), "[,，]"), F.trim), lambda w: w != "")
+    return F.filter(F.transform(F.split(col_of(c), "[,，]"), lambda w: F.trim(w)), lambda w: w != "")
 
 
 def platform_label(c: Column | str) -> Column:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.plans import orders
+from tallyline.plans import clicks, loads, merch, orders
 
-AREAS = [orders]
+AREAS = [orders, clicks, merch, loads]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -114,7 +114,7 @@ l AS (
   SELECT {pick_sql(PLATS, 'user_id % 4')} AS plat, {pick_sql(BRANDS, 'user_id % 12')} AS brand,
          'm' || (event_id % 3) AS model, CAST(event_id AS VARCHAR) AS log_id,
          CAST(user_id AS VARCHAR) AS user_id, CASE event_type {_PAGE_CASE} END AS log_type,
-         epoch_ms(ts) AS ms, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M:%S') AS clock,
+         epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M:%S') AS clock,
          hour(ts) AS hour, regexp_extract(props, '[0-9]+') AS product_id,
          'kw' || (CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 40) || '， kw' || (event_id % 7) || ',' AS keywords,
          '10.' || (user_id % 220) || '.' || (event_id % 250) || '.7' AS ip, ts, event_id, user_id AS uid

@@ -44,18 +44,22 @@ def hop_sums(
     return windows.groupBy(*keys, *BOUNDS).agg(*[F.sum(name).alias(name) for name in sums])
 
 
-def cumulate(df: DataFrame, at: str, step: int, span: int) -> DataFrame:
+def cumulate(
+    df: DataFrame, at: str, step: int, span: int, last_end: int | None = None
+) -> DataFrame:
     """Each row once per cumulative window that holds it.
 
     A window runs from the start of the span to a multiple of ``step``. The row
     count grows by up to span/step, so reduce to slices before where possible.
+    With ``last_end`` no window ends later than that.
     """
     _check(step, span)
-    start = floor_to(F.col(at), span)
     first_end = floor_to(F.col(at), step) + step
-    return df.withColumn("window_start", start).withColumn(
-        "window_end", F.explode(F.sequence(first_end, F.col("window_start") + span, F.lit(step)))
-    )
+    until = F.col("window_start") + span
+    if last_end is not None:
+        until = F.least(until, F.lit(last_end))
+    started = df.withColumn("window_start", floor_to(F.col(at), span)).where(until >= first_end)
+    return started.withColumn("window_end", F.explode(F.sequence(first_end, until, F.lit(step))))
 
 
 def cumulative_sums(
@@ -76,15 +80,22 @@ def cumulative_sums(
 
 
 def spread_over_windows(
-    sliced: DataFrame, at: str, step: int, span: int, keys: list[str], sums: list[str]
+    sliced: DataFrame, at: str, step: int, span: int, keys: list[str], sums: list[str],
+    last_end: int | None = None,
 ) -> DataFrame:
-    """Running sums of per-slice rows, repeated for each window up to the next slice."""
+    """Running sums of per-slice rows, repeated for each window up to the next slice.
+
+    With ``last_end`` no window ends later than that.
+    """
     by_time = Window.partitionBy(*keys, "window_start").orderBy(at)
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(F.lead(at).over(by_time), F.col("window_start") + span)
+    if last_end is not None:
+        until = F.least(until, F.lit(last_end))
     return (
         sliced.withColumn("window_start", floor_to(F.col(at), span))
         .withColumns({**{s: F.sum(s).over(so_far) for s in sums}, "_until": until})
+        .where(F.col("_until") > F.col(at))
         .withColumn("window_end", F.explode(F.sequence(F.col(at) + step, F.col("_until"), F.lit(step))))
         .select(*keys, *BOUNDS, *sums)
     )

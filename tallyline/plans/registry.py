@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.plans import clicks, loads, merch, orders
+from tallyline.plans import clicks, loads, merch, orders, streams
 
-AREAS = [orders, clicks, merch, loads]
+AREAS = [orders, clicks, merch, loads, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

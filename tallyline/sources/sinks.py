@@ -179,6 +179,14 @@ def read_batches(spark, folder: str, schema: T.StructType | None = None) -> Data
     return reader.option("basePath", folder).parquet(folder).drop("batch_id")
 
 
+def read_latest(spark, folder: str, keys: list[str]) -> DataFrame:
+    """The last stored row of each key: the table behind a query in update mode."""
+    rows = spark.read.option("basePath", folder).parquet(folder)
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = F.max_by(F.struct(*values), "batch_id").alias("_row")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+
+
 def latest_batch(spark, folder: str) -> DataFrame:
     """Rows of the last batch, the current state of a query in complete mode."""
     rows = spark.read.option("basePath", folder).parquet(folder)

@@ -104,7 +104,7 @@ def best_of_slices(rows: DataFrame, step: int, n: int, salts: int = 16) -> DataF
             result = pd.DataFrame(best, columns=columns)
             yield result.assign(_slice=key[0])
             return
-        closes = (key[0] + step) // 1000
+        closes = (int(key[0]) + step) // 1000
         if closes <= state.getCurrentWatermarkMs():
             for _ in batches:  # late rows of a closed slice
                 pass

@@ -117,7 +117,7 @@ def page_view_users(logs: DataFrame, part_rows: int = 10_000) -> DataFrame:
     totals = heavy.withColumnsRenamed({"pv": "_pv", "users": "_users"})
     parts = F.ceil(F.coalesce(F.col("_users"), F.lit(1)) / part_rows)
     split = per_user.join(totals, keys, "left").withColumn("part", hash_part(parts, "user_id"))
-    return split.groupBy(*keys, "part").agg(
+    return split.repartition(*keys, "part").groupBy(*keys, "part").agg(
         F.coalesce(F.any_value("_pv"), F.sum("n")).alias("pv"),
         F.coalesce(F.any_value("_users"), F.count("user_id")).alias("users"),
         ids,

@@ -14,13 +14,15 @@ from tallyline.functions.times import (
     DAY, MINUTE, ORDER_ZONE, floor_to, on_dates, wall_date, wall_micros,
 )
 from tallyline.operators.ranking import ranked_slots, text_list, top_n
-from tallyline.operators.skew import BROADCAST_ROWS, hash_part
+from tallyline.operators.skew import hash_part
 from tallyline.operators.windows import (
     BOUNDS, cumulate, cumulative_sums, hop_sums, show_bounds, spread_over_windows, tumble,
 )
 from tallyline.session import fits, stored
 
 STEP = 10 * MINUTE
+# Slices (three numbers each) that may be broadcast: 19 years of ten minutes.
+SLICE_ROWS = 1_000_000
 MONEY = "decimal(38,2)"
 
 
@@ -122,11 +124,12 @@ def cumulative_trace(
         F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / part_rows).alias("_base"),
         F.ceil(F.col("_n") / part_rows).alias("_pieces"),
     )
-    pieces = F.broadcast(pieces) if fits(sliced, BROADCAST_ROWS) else pieces
+    pieces = F.broadcast(pieces) if fits(sliced, SLICE_ROWS) else pieces
     entry = F.concat(F.col("id"), F.lit("("), F.col("_amount").cast("string"), F.lit(")"))
     texts = (
         rows.join(pieces, "_slice")
         .withColumn("_piece", hash_part(F.col("_pieces"), "id", "_at", "_amount"))
+        .repartition("_slice", "_base", "_piece")
         .groupBy("_slice", "_base", "_piece")
         .agg(text_list(entry, F.struct("_at", "id"), "+").alias("_text"))
         .withColumn("part", F.col("_base") + F.col("_piece"))

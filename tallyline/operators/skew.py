@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyline.session import fits, stored
 
-# A table of group keys and a few numbers is broadcast up to this many rows (some MB).
-BROADCAST_ROWS = 100_000
+# A table of group keys and a few numbers is broadcast up to this many rows (some 10 MB).
+BROADCAST_ROWS = 200_000
 
 
 def small_side(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import nsmallest
+from itertools import chain
 from typing import Any
 
 import pandas as pd
@@ -80,7 +82,7 @@ def start_tumbling_top_ids(
     return start_to_folder(sums, folder, checkpoint, every=every, batch=rank)
 
 
-def best_of_slices(rows: DataFrame, step: int, n: int, salts: int = 16) -> DataFrame:
+def best_of_slices(rows: DataFrame, step: int, n: int, salts: int = 4) -> DataFrame:
     """The n best rows per slice and salt, given out when the slice has closed.
 
     ``rows`` have ``id``, ``_rank_by``, ``_amount`` and the local time with watermark.
@@ -97,32 +99,29 @@ def best_of_slices(rows: DataFrame, step: int, n: int, salts: int = 16) -> DataF
     ).select("_slice", "_salt", "id", "_rank_by", "_at", "_cents", LOCAL)
     columns = ["id", "_rank_by", "_at", "_cents"]
 
+    def place(row: tuple) -> tuple:
+        """Sort key: highest rank measure first, unreadable ones last, then id, time and amount."""
+        name, rank, at, cents = row
+        return rank is None, -(rank or 0), name, at, cents is not None, cents or 0
+
+    def plain(values: pd.Series) -> list:
+        return [None if pd.isna(v) else v if isinstance(v, str) else int(v) for v in values.tolist()]
+
     def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         best: list[tuple[Any, ...]] = list(zip(*state.get)) if state.exists else []
         if state.hasTimedOut:
             state.remove()
-            result = pd.DataFrame(best, columns=columns)
-            yield result.assign(_slice=key[0])
+            yield pd.DataFrame(best, columns=columns).assign(_slice=key[0])
             return
         closes = (int(key[0]) + step) // 1000
-        if closes <= state.getCurrentWatermarkMs():
-            for _ in batches:  # late rows of a closed slice
-                pass
-            return
-        parts = [pd.DataFrame(best, columns=columns)] if best else []
-        parts += [b[columns] for b in batches]
-        rows = pd.concat(parts, ignore_index=True).astype(
-            {"id": "string", "_rank_by": "Int64", "_at": "Int64", "_cents": "Int64"}
-        )
-        rows = rows.sort_values(
-            ["_rank_by", "id", "_at", "_cents"], ascending=[False, True, True, True], na_position="last"
-        ).head(n)
-        state.update(
-            tuple([None if pd.isna(v) else str(v) if c == "id" else int(v) for v in rows[c]] for c in columns)
-        )
-        state.setTimeoutTimestamp(closes)
-        return
-        yield
+        late = closes <= state.getCurrentWatermarkMs()
+        for batch in batches:
+            if not late:
+                rows = zip(*[plain(batch[c]) for c in columns])
+                best = nsmallest(n, chain(best, rows), key=place)
+        if best and not late:
+            state.update(tuple(list(column) for column in zip(*best)))
+            state.setTimeoutTimestamp(closes)
 
     return keyed.groupBy("_slice", "_salt").applyInPandasWithState(
         keep,

@@ -104,10 +104,15 @@ def wall_micros(ts: Column | str, zone: str = ORDER_ZONE) -> Column:
 
 
 def naive_micros(ts: Column | str) -> Column:
-    """Microseconds since 1970 of a zone-free (``timestamp_ntz``) value."""
-    return F.timestamp_diff(
-        "MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col_of(ts)
-    )
+    """Microseconds since 1970 of a zone-free (``timestamp_ntz``) value.
+
+    From its parts: the difference of two zone-free times would pass through the
+    session zone and lose an hour in summer.
+    """
+    c = col_of(ts)
+    minutes = F.unix_date(c.cast("date")).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
+    seconds = F.extract(F.lit("SECOND"), c)
+    return minutes * MINUTE + (seconds * SECOND).cast("bigint")
 
 
 def wall_time(micros: Column | str) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import ratio
+from tallyline.functions.times import naive_micros
 from tallyline.operators.ranking import top_n
 
 PRODUCT = ["shop_id", "product_id"]
@@ -305,14 +306,10 @@ def order_touches(visits: DataFrame, orders: DataFrame, slice_seconds: int = 360
     carried into it as one extra row, so even the busiest user is spread over slices.
     """
     line = ["user_id", "product_id"]
-    micros = F.timestamp_diff(
-        "MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("_time")
-    )
 
     def points(df: DataFrame, time: str, kind: int, channel: Column, detail: Column) -> DataFrame:
-        timed = df.withColumn("_time", F.col(time))
-        return timed.select(
-            *line, micros.alias("_at"), F.lit(kind).alias("_kind"), channel.alias("_first"),
+        return df.select(
+            *line, naive_micros(time).alias("_at"), F.lit(kind).alias("_kind"), channel.alias("_first"),
             channel.alias("_last"), detail.alias("order_detail_id"),
         ).withColumn("_slice", F.floor(F.col("_at") / (slice_seconds * 1_000_000)))
 

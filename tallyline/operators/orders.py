@@ -16,7 +16,7 @@ from tallyline.functions.times import (
 from tallyline.operators.ranking import ranked_slots, text_list, top_n
 from tallyline.operators.skew import hash_part
 from tallyline.operators.windows import (
-    BOUNDS, cumulate, cumulative_sums, hop_sums, show_bounds, spread_over_windows, tumble,
+    BOUNDS, cumulate, cumulative_sums, hop_sums, show_bounds, slice_sums, spread_over_windows, tumble,
 )
 from tallyline.session import fits, stored
 
@@ -175,11 +175,13 @@ def cumulative_product_gmv(
     ``win_gmv`` is the amount of these products only; ``with_total`` adds the amount
     of the whole window.
     """
+    measure = "product_gmv"
     rows = product_amounts(df, dates, zone)
-    sums = cumulative_sums(rows, "_at", step, span, ["product_id"], {"product_gmv": F.col("total_amount")})
-    result = top_products(sums, n)
+    slices = slice_sums(rows, "_at", step, ["product_id"], {measure: F.col("total_amount")})
+    result = top_products(spread_over_windows(slices, "_slice", step, span, ["product_id"], [measure]), n)
     if with_total:
-        total = cumulative_sums(rows, "_at", step, span, [], {"total_gmv": F.col("total_amount")})
+        whole = slices.groupBy("_slice").agg(F.sum(measure).alias("total_gmv"))
+        total = spread_over_windows(whole, "_slice", step, span, [], ["total_gmv"])
         result = result.join(total, BOUNDS).withColumn("total_gmv", F.col("total_gmv").cast("decimal(18,2)"))
     return show_bounds(result.withColumn("ds", wall_date("window_start")), as_text=True).select(
         "ds", *BOUNDS, "win_gmv", *(["total_gmv"] if with_total else []), "win_gmv_ids", "top5_product_ids"

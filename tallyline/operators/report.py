@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import comma_count, percent_text, ratio
 from tallyline.functions.times import parse_time, previous_day
 from tallyline.operators.ranking import text_list, top_n
+from tallyline.session import stored
 
 # Fixed value: marker of a missing product list.
 MISSING = "数据缺失"
@@ -85,7 +86,10 @@ def with_similarity(days: DataFrame, overlap: DataFrame) -> DataFrame:
 
 
 def daily_report(results: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Last window, product descriptions, day-on-day rate and list similarity per day."""
-    products = day_products(last_windows(results))
+    """Last window, product descriptions, day-on-day rate and list similarity per day.
+
+    The last windows, one row per day, are stored once because four steps read them.
+    """
+    products = day_products(stored(last_windows(results)))
     days = day_on_day(joined_descriptions(with_descriptions(products, dimension)))
     return with_similarity(days, overlap_with_day_before(products)).orderBy("ds")

@@ -72,11 +72,15 @@ def cumulative_sums(
     until the key's next slice, so each (key, window) is produced exactly once and
     no second aggregation is needed.
     """
-    _check(step, span)
-    sliced = df.groupBy(*keys, floor_to(F.col(at), step).alias("_slice")).agg(
+    sliced = slice_sums(df, at, step, keys, sums)
+    return spread_over_windows(sliced, "_slice", step, span, keys, list(sums))
+
+
+def slice_sums(df: DataFrame, at: str, step: int, keys: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Sums per key and slice of one step."""
+    return df.groupBy(*keys, floor_to(F.col(at), step).alias("_slice")).agg(
         *[F.sum(c).alias(name) for name, c in sums.items()]
     )
-    return spread_over_windows(sliced, "_slice", step, span, keys, list(sums))
 
 
 def spread_over_windows(
@@ -87,6 +91,7 @@ def spread_over_windows(
 
     With ``last_end`` no window ends later than that.
     """
+    _check(step, span)
     by_time = Window.partitionBy(*keys, "window_start").orderBy(at)
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(F.lead(at).over(by_time), F.col("window_start") + span)

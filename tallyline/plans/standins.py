@@ -55,7 +55,7 @@ def order_rows(events: DataFrame) -> DataFrame:
             _product().alias("product_id"),
             (F.lit(1) + F.col("event_id") % 5).cast("string").alias("sale_num"),
             F.col("value").cast("decimal(18,2)").cast("string").alias("total_amount"),
-            event_millis().cast("string").alias("ts"),
+            event_millis().alias("ts"),
         )
     )
 

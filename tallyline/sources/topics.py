@@ -53,22 +53,25 @@ def read_topic(
 def parse_json(df: DataFrame, schema: T.StructType, on_error: str = "skip", value: str = "value") -> DataFrame:
     """JSON text to columns; absent fields are NULL.
 
-    Unreadable text is skipped or, with ``on_error="fail"``, ends the job.
+    Unreadable text is skipped or, with ``on_error="fail"``, ends the job. The
+    parsed record is unpacked by a generator, so a later filter on its fields does
+    not make Spark parse the text a second time.
     """
+    given = df.where(F.trim(value) != "")
     if on_error == "fail":
-        parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
-        return df.withColumn("_r", parsed).where(F.col("_r").isNotNull()).select("_r.*")
+        return given.select(F.inline(F.array(F.from_json(value, schema, {"mode": "FAILFAST"}))))
+    rows = given.select(F.inline(F.array(_parsed(schema, value))))
+    return rows.where(F.col(_BAD).isNull()).drop(_BAD)
+
+
+def _parsed(schema: T.StructType, value: str):
     with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    parsed = F.from_json(value, with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    good = df.withColumn("_r", parsed).where(F.col("_r").isNotNull() & F.col(f"_r.{_BAD}").isNull())
-    return good.select("_r.*").drop(_BAD)
+    return F.from_json(value, with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
 
 
 def unreadable(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Count of the rows that ``parse_json`` skips."""
-    with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    parsed = F.from_json(value, with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    bad = parsed.isNull() | parsed[_BAD].isNotNull()
+    bad = F.coalesce(F.trim(value) == "", F.lit(True)) | _parsed(schema, value)[_BAD].isNotNull()
     return df.agg(F.count_if(bad).alias("unreadable_rows"), F.count("*").alias("all_rows"))
 
 

@@ -141,3 +141,13 @@ def test_percent_and_counts(spark):
 
 def test_key_pages(spark):
     assert values(spark, text.is_key_page("c"), "home", "error", None) == [True, False, False]
+
+
+def test_zone_free_time_in_summer(spark):
+    """The session zone has daylight saving; zone-free arithmetic must not see it."""
+    df = spark.sql("select timestamp_ntz'2024-07-01 12:30:15.123456' t, timestamp_ntz'2024-03-10 02:30:00' gap")
+    got = df.select(times.naive_micros("t"), times.naive_micros("gap"), times.wall_text(times.naive_micros("gap"))).first()
+    base = datetime(1970, 1, 1)
+    assert got[0] == (datetime(2024, 7, 1, 12, 30, 15, 123456) - base) // times.timedelta(microseconds=1)
+    assert got[1] == (datetime(2024, 3, 10, 2, 30) - base) // times.timedelta(microseconds=1)
+    assert got[2] == "2024-03-10 02:30:00"

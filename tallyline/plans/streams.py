@@ -187,7 +187,7 @@ SQL = {
     "stream_cumulative_top_products": _CLOSED_SLICES.format(sql=ORDER_SQL["cumulative_top_products"]).replace(
         "SELECT * FROM (", "SELECT * EXCLUDE (total_gmv) FROM (", 1
     ),
-    "stream_cumulative_top_rows": _CLOSED_SLICES.format(sql=ORDER_SQL["order_cumulative_top_rows"]),
+    "stream_cumulative_top_rows": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_cumulative_top_rows"]),
     "stream_tumbling_top_ids": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_tumbling_top_ids"]),
     "stream_page_views": CLICK_SQL["page_views"],
     "stream_top_keywords": CLICK_SQL["top_keywords"],

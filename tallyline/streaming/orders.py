@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from heapq import nsmallest
-from itertools import chain
-from typing import Any
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyline.functions.text import clean_id, filled, lenient_number
-from tallyline.functions.times import DAY, ORDER_ZONE, floor_to, wall_date
+from tallyline.functions.times import DAY, ORDER_ZONE, SECOND, floor_to, wall_date, wall_micros
 from tallyline.operators.orders import MONEY, STEP, top_products
 from tallyline.operators.ranking import ranked_slots, text_list, top_n
 from tallyline.operators.windows import BOUNDS, show_bounds
 from tallyline.sources.sinks import start_batches, start_to_folder
 from tallyline.streaming.windows import (
-    DELAY, LOCAL, cumulative_row_batches, cumulative_sum_batches, slice_sums, timed, window_sums,
+    DELAY, cumulative_row_batches, cumulative_sum_batches, slice_sums, timed, window_sums,
 )
 
 
@@ -82,67 +75,20 @@ def start_tumbling_top_ids(
     return start_to_folder(sums, folder, checkpoint, every=every, batch=rank)
 
 
-def best_of_slices(rows: DataFrame, step: int, n: int, salts: int = 4) -> DataFrame:
-    """The n best rows per slice and salt, given out when the slice has closed.
-
-    ``rows`` have ``id``, ``_rank_by``, ``_amount`` and the local time with watermark.
-    The state of a group is its n best rows so far, however many rows it has, and a
-    busy slice is spread over ``salts`` groups.
-    """
-    keyed = rows.withColumns(
-        {
-            "_slice": floor_to(F.unix_micros(LOCAL), step),
-            "_salt": F.pmod(F.xxhash64("id"), F.lit(salts)),
-            "_at": F.unix_micros(LOCAL),
-            "_cents": (F.col("_amount") * 100).cast("bigint"),
-        }
-    ).select("_slice", "_salt", "id", "_rank_by", "_at", "_cents", LOCAL)
-    columns = ["id", "_rank_by", "_at", "_cents"]
-
-    def place(row: tuple) -> tuple:
-        """Sort key: highest rank measure first, unreadable ones last, then id, time and amount."""
-        name, rank, at, cents = row
-        return rank is None, -(rank or 0), name, at, cents is not None, cents or 0
-
-    def plain(values: pd.Series) -> list:
-        return [None if pd.isna(v) else v if isinstance(v, str) else int(v) for v in values.tolist()]
-
-    def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best: list[tuple[Any, ...]] = list(zip(*state.get)) if state.exists else []
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame(best, columns=columns).assign(_slice=key[0])
-            return
-        closes = (int(key[0]) + step) // 1000
-        late = closes <= state.getCurrentWatermarkMs()
-        for batch in batches:
-            if not late:
-                rows = zip(*[plain(batch[c]) for c in columns])
-                best = nsmallest(n, chain(best, rows), key=place)
-        if best and not late:
-            state.update(tuple(list(column) for column in zip(*best)))
-            state.setTimeoutTimestamp(closes)
-
-    return keyed.groupBy("_slice", "_salt").applyInPandasWithState(
-        keep,
-        "id string, _rank_by bigint, _at bigint, _cents bigint, _slice bigint",
-        "id array<string>, _rank_by array<bigint>, _at array<bigint>, _cents array<bigint>",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
-
-
 def start_cumulative_top_rows(
     orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY, n: int = 5,
-    rank_by: str = "sale_num", zone: str = ORDER_ZONE, delay: str = DELAY, every: str | None = None,
+    rank_by: str = "sale_num", zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None,
 ) -> StreamingQuery:
-    """The n best order rows per cumulative window, into ``folder``/windows."""
-    rows = orders.where(filled("total_amount")).select(
-        "ts_ms", "id", lenient_number("total_amount", "decimal(10,2)").alias("_amount"),
-        lenient_number(rank_by, "int").cast("bigint").alias("_rank_by"),
-    )
-    slices = best_of_slices(timed(rows, zone=zone, delay=delay), step, n)
-    order = [F.desc("_rank_by"), F.asc("id"), F.asc("_at"), F.asc("_cents")]
+    """The n best order rows per cumulative window, into ``folder``/windows.
+
+    Each micro-batch is cut to the best rows of its slices; only those are kept. The
+    delay is in microseconds, as it is applied by the batches themselves.
+    """
+    rows = orders.where(filled("total_amount") & F.col("ts_ms").isNotNull()).select(
+        "id", lenient_number("total_amount", "decimal(10,2)").alias("_amount"),
+        lenient_number(rank_by, "int").alias("_rank_by"), wall_micros("ts_ms", zone).alias("_at"),
+    ).withColumn("_slice", floor_to(F.col("_at"), step))
+    order = [F.desc("_rank_by"), F.asc("id"), F.asc("_at"), F.asc("_amount")]
 
     def best(some: DataFrame, keys: list[str]) -> DataFrame:
         return top_n(some, keys, order, n).drop("rn")
@@ -151,10 +97,9 @@ def start_cumulative_top_rows(
         ranked = top_n(given, BOUNDS, order, n)
         return show_bounds(
             ranked.groupBy(*BOUNDS).agg(
-                (F.sum("_cents") / F.lit(100).cast("decimal(3,0)")).cast(MONEY).alias("total_cumulative_amount"),
+                F.sum("_amount").cast(MONEY).alias("total_cumulative_amount"),
                 F.concat(F.lit("["), text_list("id", "rn"), F.lit("]")).alias("top5_ids"),
             )
         )
 
-    write = cumulative_row_batches(folder, best, step, finish, span)
-    return start_batches(slices, write, checkpoint, every=every)
+    return start_batches(rows, cumulative_row_batches(folder, best, step, finish, span, delay), checkpoint, every=every)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,61 +51,74 @@ def slice_sums(df: DataFrame, step: int, sums: dict[str, Column], keys: list[str
 
 
 class CumulativeBatches:
-    """Cumulative windows from closed slices, for ``foreachBatch``.
-
-    Between batches one row per key is kept (``carry``): its value from the start of
-    the span up to the last window given out. A batch takes the carry of the batch
-    before, adds its slices and gives out all windows that ended in between. Work
-    and storage follow the keys, not keys times windows. Each batch writes folders
-    of its own and reads only older ones, so a replay gives the same rows again.
-
-    ``combine`` reduces slices and carry rows to the next carry; ``windows`` turns
-    them into window rows; ``finish`` makes the result of them.
+    """Cumulative windows from slices or rows, for ``foreachBatch``.
+
+    Between batches a table ``carry`` is kept: per key the value from the start of
+    the span up to the last window given out, and the slices that are still open. A
+    batch takes the carry of the batch before, adds its rows and gives out all
+    windows that ended in between. Work and storage follow the keys, not keys times
+    windows. Each batch writes folders of its own and reads only older ones, so a
+    replay gives the same rows again.
+
+    ``windows`` turns rows into window rows, ``finish`` makes the result of them and
+    ``combine`` reduces rows with equal ``_slice``. Input with a ``delay`` is open:
+    a slice closes that long (microseconds) after the latest ``at`` seen, and later
+    rows of it are dropped. Input without one holds closed slices only.
     """
 
     def __init__(
         self, folder: str, step: int, windows: Callable[[DataFrame, int], DataFrame],
         combine: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame], span: int = DAY,
+        at: str = "_slice", delay: int | None = None,
     ):
         self.folder, self.step, self.span = folder.rstrip("/"), step, span
         self.windows, self.combine, self.finish = windows, combine, finish
+        self.at, self.delay = at, -step if delay is None else delay
 
-    def _last(self, spark, batch_id: int) -> tuple[int, int] | None:
-        """Number and last window end of the newest older batch."""
+    def _last(self, spark, batch_id: int):
+        """Number, last window end and latest time of the newest older batch."""
         try:
             marks = spark.read.parquet(f"{self.folder}/marks")
-        except Exception as e:  # nothing stored yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            return None
-        newest = F.max(F.struct("batch_id", "last_end")).alias("m")
-        mark = marks.where(F.col("batch_id") < batch_id).agg(newest).first()["m"]
-        return (mark["batch_id"], mark["last_end"]) if mark else None
-
-    def __call__(self, slices: DataFrame, batch_id: int) -> None:
-        spark = slices.sparkSession
-        slices.persist()
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None  # nothing stored yet
+            raise
+        newest = F.max(F.struct("batch_id", "last_end", "latest")).alias("m")
+        return marks.where(F.col("batch_id") < batch_id).agg(newest).first()["m"]
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        given = rows.persist()
         try:
-            newest = slices.agg(F.max("_slice")).first()[0]
-            if newest is None:
-                return
-            last = self._last(spark, batch_id)
-            last_end = newest + self.step
-            rows = slices
-            if last is not None:
-                carry = spark.read.parquet(f"{self.folder}/carry/batch_id={last[0]}")
-                rows = rows.unionByName(carry)
-            given = self.windows(rows, last_end)
-            if last is not None:
-                given = given.where(F.col("window_end") > last[1])
-            batch_folder(f"{self.folder}/windows")(self.finish(given), batch_id)
-            open_span = floor_to(F.col("_slice"), self.span) + self.span > last_end
-            next_carry = self.combine(rows.where(open_span).withColumn("_slice", F.lit(newest)))
-            batch_folder(f"{self.folder}/carry")(next_carry, batch_id)
-            mark = spark.range(1).select(F.lit(last_end).alias("last_end"))
-            batch_folder(f"{self.folder}/marks")(mark, batch_id)
+            latest = rows.agg(F.max(self.at)).first()[0]
+            if latest is not None:
+                self._store(rows, latest, batch_id)
         finally:
-            slices.unpersist()
+            given.unpersist()
+
+    def _store(self, rows: DataFrame, latest: int, batch_id: int) -> None:
+        spark = rows.sparkSession
+        last = self._last(spark, batch_id)
+        closes = F.col("_slice") + self.step
+        if last is not None:
+            latest = max(latest, last["latest"])
+            carry = spark.read.parquet(f"{self.folder}/carry/batch_id={last['batch_id']}")
+            rows = rows.where(closes > last["last_end"]).select(*carry.columns).unionByName(carry)
+        last_end = (latest - self.delay) // self.step * self.step
+        if last is not None:
+            last_end = max(last_end, last["last_end"])
+        ended = self.windows(rows.where(closes <= last_end), last_end)
+        if last is not None:
+            ended = ended.where(F.col("window_end") > last["last_end"])
+        batch_folder(f"{self.folder}/windows")(self.finish(ended), batch_id)
+
+        open_span = floor_to(F.col("_slice"), self.span) + self.span > last_end
+        place = F.when(closes > last_end, F.col("_slice")).otherwise(last_end - self.step)
+        next_carry = self.combine(rows.where(open_span).withColumn("_slice", place))
+        batch_folder(f"{self.folder}/carry")(next_carry, batch_id)
+        mark = spark.range(1).select(
+            F.lit(last_end).cast("bigint").alias("last_end"), F.lit(latest).cast("bigint").alias("latest")
+        )
+        batch_folder(f"{self.folder}/marks")(mark, batch_id)
 
 
 def cumulative_sum_batches(
@@ -125,9 +139,13 @@ def cumulative_sum_batches(
 
 def cumulative_row_batches(
     folder: str, best: Callable[[DataFrame, list[str]], DataFrame], step: int,
-    finish: Callable[[DataFrame], DataFrame], span: int = DAY,
+    finish: Callable[[DataFrame], DataFrame], span: int = DAY, delay: int = 0,
 ) -> CumulativeBatches:
-    """Best rows per cumulative window; ``best(rows, keys)`` keeps the top rows of each group."""
+    """Best rows per cumulative window, from open rows with ``_at`` and ``_slice``.
+
+    ``best(rows, keys)`` keeps the top rows of each group, so the carry holds only the
+    top rows of the span and of the slices that are still open.
+    """
 
     def windows(rows: DataFrame, last_end: int) -> DataFrame:
         return cumulate(best(rows, ["_slice"]), "_slice", step, span, last_end)
@@ -135,4 +153,4 @@ def cumulative_row_batches(
     def combine(rows: DataFrame) -> DataFrame:
         return best(rows, ["_slice"])
 
-    return CumulativeBatches(folder, step, windows, combine, finish, span)
+    return CumulativeBatches(folder, step, windows, combine, finish, span, "_at", delay)

@@ -108,7 +108,7 @@ def page_view_users(logs: DataFrame, part_rows: int = 10_000) -> DataFrame:
     ).agg(F.count("*").alias("n"))
     sizes = per_user.groupBy(*keys).agg(F.sum("n").alias("pv"), F.count("user_id").alias("users"))
     ids = F.to_json(F.array_sort(F.collect_list("user_id"))).alias("user_ids")
-    heavy = heavy_groups(sizes, "users", part_rows)
+    heavy, small = heavy_groups(sizes, "users", part_rows)
     if heavy is None:
         whole = per_user.groupBy(*keys).agg(
             F.sum("n").alias("pv"), F.count("user_id").alias("users"), ids
@@ -116,7 +116,7 @@ def page_view_users(logs: DataFrame, part_rows: int = 10_000) -> DataFrame:
         return whole.select(*keys, F.lit(0).cast("bigint").alias("part"), "pv", "users", "user_ids")
     totals = heavy.withColumnsRenamed({"pv": "_pv", "users": "_users"})
     parts = F.ceil(F.coalesce(F.col("_users"), F.lit(1)) / part_rows)
-    split = per_user.join(totals, keys, "left").withColumn("part", hash_part(parts, "user_id"))
+    split = per_user.join(small(totals), keys, "left").withColumn("part", hash_part(parts, "user_id"))
     return split.repartition(*keys, "part").groupBy(*keys, "part").agg(
         F.coalesce(F.any_value("_pv"), F.sum("n")).alias("pv"),
         F.coalesce(F.any_value("_users"), F.count("user_id")).alias("users"),

@@ -66,21 +66,40 @@ def user_paths(logs: DataFrame, window: int | None = None, part_steps: int = PAR
     """
     keys = _keys(window)
     steps = path_steps(logs, window)
-    ordered = F.array_sort(F.collect_list(F.struct("at", "log_id", "page")))
-    pages = F.transform(ordered, lambda e: e["page"]).alias("path")
-    heavy = heavy_groups(steps.groupBy(*keys).agg(*_metrics()), "path_length", part_steps)
-    short = steps if heavy is None else steps.join(heavy.select(*keys), keys, "left_anti")
-    whole = short.groupBy(*keys).agg(pages, *_metrics()).withColumn("part", F.lit(0).cast("bigint"))
+    entries = F.array_sort(F.collect_list(F.struct("at", "log_id", "page"))).alias("_entries")
     columns = [*keys, "part", "path", *METRICS]
-    result = whole.select(*columns)
+    heavy, small = heavy_groups(
+        steps.groupBy(*keys).agg(F.count("*").alias("path_length")), "path_length", part_steps
+    )
+    short = steps if heavy is None else steps.join(small(heavy), keys, "left_anti")
+    whole = short.groupBy(*keys).agg(entries).withColumns({"path": F.col("_entries.page"), **_list_metrics()})
+    result = whole.withColumn("part", F.lit(0).cast("bigint")).select(*columns)
     if heavy is not None:
-        long = steps.join(heavy.select(*keys), keys, "left_semi")
+        long = steps.join(small(heavy), keys, "left_semi")
         numbered = number_rows(long, keys, "at", ["log_id", "page"], 1000, "_step")
-        parts = numbered.groupBy(*keys, F.floor(F.col("_step") / part_steps).alias("part")).agg(pages)
-        result = result.unionByName(parts.join(heavy, keys).select(*columns))
+        parts = numbered.groupBy(*keys, F.floor(F.col("_step") / part_steps).alias("part")).agg(entries)
+        metrics = long.groupBy(*keys).agg(*_metrics())
+        parts = parts.withColumn("path", F.col("_entries.page")).join(small(metrics), keys)
+        result = result.unionByName(parts.select(*columns))
     return _shown(result, window)
 
 
+def _list_metrics() -> dict[str, Column]:
+    """The metrics of a path that is whole in one list."""
+    page, at = F.col("_entries.page"), F.col("_entries.at")
+    first, last = F.lit(1), F.lit(-1)
+    return {
+        "path_length": F.size(page).cast("bigint"),
+        "has_purchase": F.array_contains(page, "payment"),
+        "has_search": F.array_contains(page, "search"),
+        "start_page": F.element_at(page, first),
+        "end_page": F.element_at(page, last),
+        "start_time": F.element_at(at, first),
+        "end_time": F.element_at(at, last),
+        "duration": F.element_at(at, last) - F.element_at(at, first),
+    }
+
+
 def _shown(df: DataFrame, window: int | None) -> DataFrame:
     if not window:
         return df

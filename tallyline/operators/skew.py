@@ -7,6 +7,8 @@ entries is one row, a bigger one continues in further rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,18 +18,19 @@ from tallyline.session import fits, stored
 BROADCAST_ROWS = 200_000
 
 
-def small_side(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table with a broadcast hint if its counted rows allow it.
+def heavy_groups(
+    sizes: DataFrame, size: str, over: int
+) -> tuple[DataFrame | None, Callable[[DataFrame], DataFrame]]:
+    """Groups with more than ``over`` rows, stored once, or None if there are none.
 
-    Otherwise Spark chooses the join, with AQE splitting skewed partitions.
+    The second value marks a table of these groups for broadcast if their counted
+    number allows it. Otherwise it leaves the join to Spark, where AQE splits skewed
+    partitions.
     """
-    return F.broadcast(table) if fits(table, rows) else table
-
-
-def heavy_groups(sizes: DataFrame, size: str, over: int) -> DataFrame | None:
-    """Groups with more than ``over`` rows, stored once; None if there are none."""
     heavy = stored(sizes.where(F.col(size) > over))
-    return None if fits(heavy, 0) else small_side(heavy)
+    if fits(heavy, 0):
+        return None, F.broadcast
+    return heavy, F.broadcast if fits(heavy, BROADCAST_ROWS) else lambda table: table
 
 
 def number_rows(

@@ -14,7 +14,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPAT
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "America/New_York")

@@ -124,3 +124,18 @@ def test_trace(order_rows, part_rows):
         assert Counter(joined.split("+")) == Counter(row.cumulative_process.split("+"))
         if part_rows == 10_000:
             assert joined == row.cumulative_process
+
+
+def test_lines(logs):
+    from tallyline.operators import lines, profiles
+
+    assert lines.page_view_lines(clicks.page_views(logs).where("page = 'home'")).first()[0] == "日期: 2025-10-26, 页面: home, PV: 600"
+    share = clicks.platform_share(logs.withColumn("plat", F.expr("if(user_id = 'hot', 'ios', 'android')")))
+    assert lines.platform_lines(share).first()[0] == "平台分布 - iOS: 1500 (50.00%), Android: 1500 (50.00%)"
+    assert lines.user_summary_lines(profiles.user_summary(logs)).first()[0].startswith("总用户数: 151\n有购买行为用户: ")
+    hot = profiles.profile_text(profiles.user_profiles(logs)).where("user_id = 'hot'").first().line
+    assert hot == "用户ID: hot, 登录天数: 1天(2025-10-26), 购买: 是, 搜索: 是, 浏览: 是, 登录时段: 下午(14-18点)"
+    path = paths.path_text(paths.user_paths(logs)).where("user_id = 'u1'").first().line
+    assert path.startswith("用户路径 - 用户ID: u1, 日期: 2025-10-26, 路径: ")
+    text = logs.limit(1).select(paths.sequence_text(F.array(F.lit("home"), F.lit("payment"))), paths.sequence_text(F.array()))
+    assert text.first()[0] == "起始页: home, 结束页: payment, 搜索: 无, 商品详情: 无, 支付: 有" and text.first()[1] == "空路径"

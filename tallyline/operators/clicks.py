@@ -44,14 +44,18 @@ def region_logins(logs: DataFrame) -> DataFrame:
 
 
 def _devices(logs: DataFrame) -> DataFrame:
-    """Rows per date, platform and brand; rows without date or known platform dropped."""
-    rows = logs.where(filled("formatted_time")).select(
-        date_part_of("formatted_time").alias("date"),
-        platform_label("plat").alias("platform"),
-        brand_label("brand").alias("brand"),
+    """Counts with date, platform and brand; rows without date or known platform dropped.
+
+    Rows are counted by their raw texts first, so the label rules run once per
+    distinct text and not once per row. A label can occur in several rows.
+    """
+    counts = logs.where(filled("formatted_time")).groupBy(
+        date_part_of("formatted_time").alias("date"), "plat", "brand"
+    ).agg(F.count("*").alias("cnt"))
+    labelled = counts.select(
+        "date", platform_label("plat").alias("platform"), brand_label("brand").alias("brand"), "cnt"
     )
-    known = rows.where((F.col("date") != "") & F.col("platform").isin(PLATFORMS))
-    return known.groupBy("date", "platform", "brand").agg(F.count("*").alias("cnt"))
+    return labelled.where((F.col("date") != "") & F.col("platform").isin(PLATFORMS))
 
 
 def device_counts(logs: DataFrame) -> DataFrame:
@@ -133,11 +137,15 @@ def page_view_reach(logs: DataFrame) -> DataFrame:
 
 
 def daily_words(logs: DataFrame, n: int = 10) -> DataFrame:
-    """The n most frequent words of each day, one row per word."""
-    words = logs.where(F.col("formatted_time").isNotNull()).select(
-        date_part_of("formatted_time").alias("day"), F.explode(word_array("keywords")).alias("word")
-    )
-    counts = words.groupBy("day", "word").agg(F.count("*").alias("cnt"))
+    """The n most frequent words of each day, one row per word.
+
+    Equal keyword texts of a day are counted before they are split into words.
+    """
+    texts = logs.where(F.col("formatted_time").isNotNull()).groupBy(
+        date_part_of("formatted_time").alias("day"), "keywords"
+    ).agg(F.count("*").alias("n"))
+    words = texts.select("day", "n", F.explode(word_array("keywords")).alias("word"))
+    counts = words.groupBy("day", "word").agg(F.sum("n").alias("cnt"))
     return top_n(counts, ["day"], [F.desc("cnt"), F.asc("word")], n)
 
 

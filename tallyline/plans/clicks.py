@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.times import MINUTE, epoch_date, time_slot
+from tallyline.functions.times import MINUTE, epoch_date, epoch_text, time_slot
 from tallyline.operators import clicks, geo, paths, profiles
 from tallyline.operators.windows import BOUNDS
 from tallyline.plans.standins import LOGS_SQL, RANGES_SQL, ip_ranges, logs, raw_log_text, table
@@ -124,7 +124,7 @@ def windowed_paths(spark: SparkSession, folder: str) -> DataFrame:
 def time_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Events per time of day, with the UTC date taken from the epoch."""
     rows = logs(spark, folder)
-    return rows.groupBy(epoch_date("ts").alias("date"), time_slot("formatted_time").alias("slot")).agg(
+    return rows.groupBy(epoch_date("ts").alias("date"), time_slot(epoch_text("ts")).alias("slot")).agg(
         F.count("*").alias("cnt")
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.times import epoch_text, naive_micros
+from tallyline.functions.times import naive_micros
 from tallyline.sources.topics import with_event_time
 
 PAGE_OF_EVENT = {
@@ -89,7 +89,7 @@ def log_rows(events: DataFrame) -> DataFrame:
     """Events as flat log rows, before region lookup."""
     event, user = F.col("event_id"), F.col("user_id")
     page = F.create_map(*[F.lit(x) for pair in PAGE_OF_EVENT.items() for x in pair])
-    rows = events.select(
+    return events.select(
         pick(PLATS, user % 4).alias("plat"),
         pick(BRANDS, user % 12).alias("brand"),
         F.concat(F.lit("m"), event % 3).alias("model"),
@@ -100,8 +100,8 @@ def log_rows(events: DataFrame) -> DataFrame:
         _product().alias("product_id"),
         user.cast("string").alias("user_id"),
         F.concat(F.lit("kw"), _product().cast("int") % 40, F.lit("， kw"), event % 7, F.lit(",")).alias("keywords"),
+        F.substring(F.col("ts").cast("string"), 1, 19).alias("formatted_time"),
     )
-    return rows.withColumn("formatted_time", epoch_text("ts"))
 
 
 def logs(spark: SparkSession, folder: str) -> DataFrame:

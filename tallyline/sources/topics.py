@@ -54,14 +54,13 @@ def parse_json(df: DataFrame, schema: T.StructType, on_error: str = "skip", valu
     """JSON text to columns; absent fields are NULL.
 
     Unreadable text is skipped or, with ``on_error="fail"``, ends the job. The
-    parsed record is unpacked by a generator, so a later filter on its fields does
-    not make Spark parse the text a second time.
+    parsed record is unpacked by a generator, so no filter makes Spark read or parse
+    the text a second time.
     """
-    given = df.where(F.trim(value) != "")
-    if on_error == "fail":
-        return given.select(F.inline(F.array(F.from_json(value, schema, {"mode": "FAILFAST"}))))
-    rows = given.select(F.inline(F.array(_parsed(schema, value))))
-    return rows.where(F.col(_BAD).isNull()).drop(_BAD)
+    fail = on_error == "fail"
+    record = F.from_json(value, schema, {"mode": "FAILFAST"}) if fail else _parsed(schema, value)
+    rows = df.select(F.inline(F.when(F.trim(value) != "", F.array(record))))
+    return rows if fail else rows.where(F.col(_BAD).isNull()).drop(_BAD)
 
 
 def _parsed(schema: T.StructType, value: str):

@@ -157,6 +157,11 @@ def daily_top_words(logs: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def stamped(df: DataFrame) -> DataFrame:
+    """A result with the time at which it is given out."""
+    return df.withColumn("emit_time", F.current_timestamp())
+
+
 def with_history(history: DataFrame, today: DataFrame) -> DataFrame:
     """Earlier days and the current day as one input, told apart by ``type``."""
     return history.withColumn("type", F.lit("history")).unionByName(

@@ -39,5 +39,16 @@ def flatten_changes(
     return rows.select(F.map_concat(own, added).alias("row"))
 
 
+def snapshot_rows(df: DataFrame, table_name: str) -> DataFrame:
+    """Rows of a table snapshot in the form of flattened changes, with the operation ``r``."""
+    return df.withColumns({"table_name": F.lit(table_name), "op": F.lit("r")})
+
+
+def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, table_name: str) -> DataFrame:
+    """Snapshot rows followed by the later changes of the same table, as one batch input."""
+    later = changes.where(F.col("table_name") == table_name)
+    return snapshot_rows(snapshot, table_name).unionByName(later, allowMissingColumns=True)
+
+
 def _table_name() -> Column:
     return F.concat_ws(".", "source.db", "source.schema", "source.table")

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators import clicks, orders, paths
+from tallyline.operators import clicks, orders, paths, skew
 from tallyline.operators.skew import number_rows
 from tallyline.sources.topics import with_event_time
 
@@ -85,6 +85,21 @@ def test_page_users(logs, part_rows):
         assert {r.part for r in rows} == {0}
 
 
+def test_many_heavy_groups(logs, order_rows, monkeypatch):
+    """Without any broadcast the parts are the same."""
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    jobs = [
+        lambda: clicks.page_view_users(logs, 7), lambda: paths.user_paths(logs, part_steps=10),
+        lambda: orders.cumulative_trace(order_rows, part_rows=5),
+    ]
+    small = [rows(job()) for job in jobs]
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(orders, "SLICE_ROWS", 0)
+    assert [rows(job()) for job in jobs] == small
+
+
 def test_numbering(spark):
     rows = spark.range(500).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("k"), (F.col("id") * 37 % 101).alias("t"), "id"

@@ -51,6 +51,14 @@ def test_changes(spark):
     assert rows == {(1, "x", "d.s.t", "c"), (None, None, "d.s.u", "r")}
 
 
+def test_snapshot_then_changes(spark):
+    source = {"db": "d", "schema": "s", "table": "t"}
+    df = text(spark, {"after": {"id": 2}, "source": source, "op": "c"}, {"after": {"id": 9}, "source": {**source, "table": "x"}, "op": "c"})
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    both = changes.snapshot_then_changes(spark.range(2), changes.flatten_changes(df, schema), "d.s.t")
+    assert sorted(map(tuple, both.collect())) == [(0, "d.s.t", "r"), (1, "d.s.t", "r"), (2, "d.s.t", "c")]
+
+
 def test_loads(spark):
     words = text(
         spark,

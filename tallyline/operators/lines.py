@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The texts below, with their labels and number formats.
+
 
 def _line(df: DataFrame, form: str, *columns: str) -> DataFrame:
     return df.select(F.format_string(form, *[F.col(c) for c in columns]).alias("line"))

@@ -192,7 +192,7 @@ def sequence_text(path: Column | str) -> Column:
 
 
 def path_text(paths: DataFrame) -> DataFrame:
-    """Readable line per path row."""
+    """Readable line per path row (fixed text)."""
     return paths.select(
         "user_id", "date", "part",
         F.format_string(

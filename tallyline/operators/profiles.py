@@ -85,7 +85,7 @@ def users_per_slot(logs: DataFrame) -> DataFrame:
 
 
 def profile_text(profiles: DataFrame) -> DataFrame:
-    """Readable line per profile."""
+    """Readable line per profile (fixed text)."""
     return profiles.select(
         "user_id",
         F.format_string(

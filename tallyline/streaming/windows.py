@@ -76,32 +76,49 @@ class CumulativeBatches:
         self.at, self.delay = at, -step if delay is None else delay
 
     def _last(self, spark, batch_id: int):
-        """Number, last window end and latest time of the newest older batch."""
-        try:
-            marks = spark.read.parquet(f"{self.folder}/marks")
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None  # nothing stored yet
-            raise
-        newest = F.max(F.struct("batch_id", "last_end", "latest")).alias("m")
-        return marks.where(F.col("batch_id") < batch_id).agg(newest).first()["m"]
+        """The mark of the batch before, or else the newest older one; None at the start.
+
+        Every batch leaves a mark, so normally one small file is read however long
+        the query has been running. Older carry folders are not needed any more.
+        """
+        home = f"{self.folder}/marks"
+        newest = F.max(F.struct("batch_id", "carry_id", "last_end", "latest")).alias("m")
+        for path in (f"{home}/batch_id={batch_id - 1}", home):
+            try:
+                marks = spark.read.option("basePath", home).parquet(path)
+            except AnalysisException as e:
+                if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    continue  # nothing stored there
+                raise
+            mark = marks.where(F.col("batch_id") < batch_id).agg(newest).first()["m"]
+            if mark is not None:
+                return mark
+        return None
+
+    def _mark(self, spark, batch_id: int, carry_id: int, last_end: int, latest: int) -> None:
+        values = {"carry_id": carry_id, "last_end": last_end, "latest": latest}
+        row = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in values.items()])
+        batch_folder(f"{self.folder}/marks")(row, batch_id)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
         given = rows.persist()
         try:
             latest = rows.agg(F.max(self.at)).first()[0]
+            last = self._last(spark, batch_id)
             if latest is not None:
-                self._store(rows, latest, batch_id)
+                self._store(rows, latest, last, batch_id)
+            elif last is not None:
+                self._mark(spark, batch_id, last["carry_id"], last["last_end"], last["latest"])
         finally:
             given.unpersist()
 
-    def _store(self, rows: DataFrame, latest: int, batch_id: int) -> None:
+    def _store(self, rows: DataFrame, latest: int, last, batch_id: int) -> None:
         spark = rows.sparkSession
-        last = self._last(spark, batch_id)
         closes = F.col("_slice") + self.step
         if last is not None:
             latest = max(latest, last["latest"])
-            carry = spark.read.parquet(f"{self.folder}/carry/batch_id={last['batch_id']}")
+            carry = spark.read.parquet(f"{self.folder}/carry/batch_id={last['carry_id']}")
             rows = rows.where(closes > last["last_end"]).select(*carry.columns).unionByName(carry)
         last_end = (latest - self.delay) // self.step * self.step
         if last is not None:
@@ -115,10 +132,7 @@ class CumulativeBatches:
         place = F.when(closes > last_end, F.col("_slice")).otherwise(last_end - self.step)
         next_carry = self.combine(rows.where(open_span).withColumn("_slice", place))
         batch_folder(f"{self.folder}/carry")(next_carry, batch_id)
-        mark = spark.range(1).select(
-            F.lit(last_end).cast("bigint").alias("last_end"), F.lit(latest).cast("bigint").alias("latest")
-        )
-        batch_folder(f"{self.folder}/marks")(mark, batch_id)
+        self._mark(spark, batch_id, batch_id, last_end, latest)
 
 
 def cumulative_sum_batches(

@@ -94,11 +94,8 @@ def region_counts(spark: SparkSession, folder: str) -> DataFrame:
         F.replace(F.split_part("formatted_time", F.lit(" "), F.lit(1)), F.lit("-"), F.lit("")).alias("date"),
         text.alias("region_raw"), "ip",
     )
-    last = flat.agg(F.max("date").alias("_last"))
-    both = clicks.with_history(
-        flat.join(F.broadcast(last), F.col("date") < F.col("_last")).drop("_last"),
-        flat.join(F.broadcast(last), F.col("date") == F.col("_last")).drop("_last"),
-    )
+    last = flat.agg(F.max("date")).first()[0]
+    both = clicks.with_history(flat.where(F.col("date") < last), flat.where(F.col("date") == last))
     return clicks.region_counts(both)
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.times import MINUTE
-from tallyline.operators import clicks, orders, paths, profiles
+from tallyline.operators import clicks, geo, orders, paths, profiles
 from tallyline.operators.windows import BOUNDS
-from tallyline.plans.standins import log_rows, order_rows
+from tallyline.plans.standins import ip_ranges, log_rows, order_rows, raw_log_text
 from tallyline.plans.streams import EVENTS
+from tallyline.schema import RAW_LOG
 from tallyline.sources import sinks
+from tallyline.sources.topics import parse_json
 from tallyline.streaming import clicks as stream_clicks
 from tallyline.streaming import orders as stream_orders
 
@@ -160,6 +162,23 @@ def test_alerts_console_and_memory(spark, split, tmp_path):
     finish(sinks.start_console(job.where("user_id = 'nobody'"), str(tmp_path / "ck2")))
 
 
+def test_enrichment_and_load_on_a_stream(spark, split, folder, tmp_path):
+    """Parsing, address lookup against a static table, and a JSON-path load."""
+    ranges = ip_ranges(spark, folder)
+
+    def enriched(rows):
+        return geo.enrich_logs(parse_json(raw_log_text(rows), RAW_LOG), ranges)
+
+    def loaded(rows):
+        text = enriched(rows).select(F.to_json(F.struct(F.col("plat").alias("system"), "brand", "model")).alias("value"))
+        return sinks.load_json(text, sinks.DEVICES).drop("proc_time")
+
+    for name, job in {"enriched": enriched, "loaded": loaded}.items():
+        out = str(tmp_path / name)
+        finish(sinks.start_to_folder(job(stream(spark, split)), out, f"{out}-ck"))
+        same(sinks.read_batches(spark, out), job(spark.read.parquet(split)))
+
+
 def test_bounds_are_local(spark, split):
     rows = stream_orders.window_sales(order_rows(stream(spark, split)))
     assert [dict(rows.dtypes)[b] for b in BOUNDS] == ["timestamp_ntz"] * 2

@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__
 import oracle
+from tallyline.plans import registry
 
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con(folder):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
 
 
 def test_entry(spark):

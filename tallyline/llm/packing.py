@@ -14,6 +14,7 @@ sequences whose lengths are powers of two, so nothing is padded.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -28,7 +29,7 @@ from tallyline.llm import common
 SEQUENCE, END = 2048, 1
 WINDOW, SHARD_TOKENS = 64 * SEQUENCE, 4_000_000
 #: Words whose ids a task remembers.
-MEMO = 1 << 18
+MEMO = 1 << 19
 _encoders: dict[str, Encoder] = {}
 
 
@@ -42,57 +43,76 @@ class Encoder:
     """Ids of whole texts as unsigned 16-bit integers; equal to the tokenizer's own.
 
     The tokenizer drops white space and never joins what it separates, so the ids of a
-    text are those of its words, which are remembered. A final full stop or comma after
-    a Latin letter is a token of its own, and case is ignored.
+    text are those of its words, which are remembered. Signs behind a word of Latin
+    letters are a token of their own, and case is ignored. Such words need no further
+    normalisation and end in one token with the end mark, so many of them are encoded in
+    one string and told apart by their ends; all others by their places in the string.
     """
 
+    #: Latin letters that lower case and composition leave alone, then signs.
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?*#$%&)]*)\Z")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        self.tokenizer, self.lower = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.lower.normalizer = None
+        size = self.tokenizer.get_vocab_size()
+        if size > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
-        self.ends = {c: self._ids(c) for c in ".,"}
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {"": b""}
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        memo, later, stems = self.memo, [], {}
-        for w in words:
-            stem, tail = w, b""
-            if len(w) > 1 and w[-1] in self.ends and w[-2] < "ɐ" and w[-2] != "İ" and w[-2].isalpha():
-                stem, tail = w[:-1], self.ends[w[-1]]
-            if stem.isascii() and "<|" not in stem:
-                stem = stem.lower()
-            known = memo.get(stem)
-            if known is None:
-                stems[stem] = None
-                later.append((w, stem, tail))
-            else:
-                memo[w] = known + tail
-        todo = list(stems)
-        for at in range(0, len(todo), 4096):
-            some = todo[at : at + 4096]
+    def _plain(self, words: list[str]) -> None:
+        """Learns words of lower-case Latin letters."""
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            lines = [" ".join(some[k : k + 256]) for k in range(0, len(some), 256)]
+            ids = np.concatenate([np.array(x.ids, "<u2") for x in self.lower.encode_batch_fast(lines, add_special_tokens=False)])
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 2
+            raw, begin = ids.tobytes(), 0
+            for w, end in zip(some, cuts.tolist(), strict=True):
+                self.memo[w] = raw[begin:end]
+                begin = end
+
+    def _other(self, words: list[str]) -> None:
+        """Learns words of any signs."""
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
             got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             starts = np.cumsum([0] + [len(w) + 1 for w in some])
             ids = np.array(got.ids, "<u2")
-            begin = np.array([a for a, _ in got.offsets], np.int64)
-            cuts = np.searchsorted(begin, starts)
+            cuts = np.searchsorted(np.array([a for a, _ in got.offsets], np.int64), starts)
             for w, a, b in zip(some, cuts, cuts[1:], strict=False):
-                memo[w] = ids[a:b].tobytes()
-        for w, stem, tail in later:
-            memo[w] = memo[stem] + tail
+                self.memo[w] = ids[a:b].tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        memo, later, plain, other = self.memo, [], set(), set()
+        for w in words:
+            m = self.PLAIN.match(w)
+            if m is None:
+                other.add(w)
+                continue
+            stem, tail = m[1].lower(), m[2]
+            if stem not in memo:
+                plain.add(stem)
+            if tail not in memo:
+                other.add(tail)
+            if stem != w:
+                later.append((w, stem, tail))
+        self._plain(list(plain))
+        self._other(list(other))
+        memo.update((w, memo[stem] + memo[tail]) for w, stem, tail in later)
 
-    def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if len(self.memo) > MEMO:
-            self.memo = {w: x for k, (w, x) in enumerate(self.memo.items()) if k % 2 == 0} | {"": b""}
-        if missing := set(words).difference(self.memo):
-            self._learn(missing)
-        return b"".join(map(self.memo.__getitem__, words))
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        words = set().union(*split)
+        if len(self.memo) > MEMO:  # what this batch needs is likely to come again
+            self.memo = {w: self.memo[w] for w in words if w in self.memo} | {"": b""}
+        self._learn(words.difference(self.memo))
+        return [b"".join(map(self.memo.__getitem__, x)) for x in split]
 
 
 def encoder(path: str) -> Encoder:
@@ -109,7 +129,7 @@ def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         enc = encoder(path)
         end = np.array([END], "<u2").tobytes()
         for b in batches:
-            ids = [enc.encode(t.as_py()) + end for t in b.column(3)]
+            ids = [x + end for x in enc.encode_batch(b.column(3).to_pylist())]
             n = pa.array([len(x) // 2 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), n, pa.array(ids, pa.binary())], ["doc_id", "source", "row", "n", "ids"])
 

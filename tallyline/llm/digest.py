@@ -125,8 +125,8 @@ RESULT = [
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text against its edited form and against the next document by identifier.
 
-    The documents are sorted over all tasks by (identifier, text), so that equal
-    identifiers have an order; a null identifier comes first. Inside a task the next
+    The documents are sorted over all tasks by identifier and hash of the text, so that
+    equal identifiers have an order (the keys only are sampled for the ranges); a null identifier comes first. Inside a task the next
     document is the next row. The first and last row of every task are stored besides,
     and the last one meets the first one of the next task that has rows; behind the
     last document of all comes the first. A single document is its own next. Null text
@@ -136,7 +136,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     kind = docs.schema[id_col].dataType.simpleString()
     common.small_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), common.text_or_empty(text_col).alias("t"))
-    sorted_rows = rows.repartitionByRange("doc_id", "t").sortWithinPartitions("doc_id", "t").withColumn("part", F.spark_partition_id())
+    key = ["doc_id", F.xxhash64("t")]
+    sorted_rows = rows.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("part", F.spark_partition_id())
     id_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     schema = pa.schema([("doc_id", id_type), ("part", pa.int32()), ("edge", pa.string()), ("t", pa.string()), *RESULT])
 

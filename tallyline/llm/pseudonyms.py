@@ -28,11 +28,16 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3
 DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[-./][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = (
-    r"(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])"
+    r"(?<![0-9A-Za-z])\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])"
     r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![0-9]|[-.][0-9])"
 )
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+# Groups in one of the printed forms, so that a number beside a card is not taken for a part of it.
+CARD = (
+    r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})"
+    r"(?![0-9A-Za-z])"
+)
 KINDS = {"email": EMAIL, "iban": IBAN, "date": DATE, "ssn": SSN, "phone": PHONE, "ip": IP, "card": CARD}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Days of a whole calendar cycle from FIRST_DAY on: 189 * 773.

@@ -26,6 +26,8 @@ DAY = 24 * 60 * MINUTE
 
 # First millisecond outside the years that the text form can show.
 _YEAR_10000_MS = 253_402_300_800_000
+#: Seconds from the year 1 to 1970.
+_YEAR_1_S = 62_135_596_800
 
 NO_TIME = "Invalid Time"
 BAD_TIME = "时间格式错误"
@@ -50,9 +52,13 @@ def col_of(c: Column | str) -> Column:
 
 
 def epoch_to_timestamp(ts: Column | str, millis_from: int = ORDER_MILLIS_FROM) -> Column:
-    """Epoch seconds or milliseconds (number or text) as a timestamp; NULL if unreadable."""
+    """Epoch seconds or milliseconds (number or text) as a timestamp.
+
+    NULL if unreadable or outside the years 1 to 9999.
+    """
     n = col_of(ts).try_cast("bigint")
-    return F.timestamp_millis(F.when(n < millis_from, n * 1000).otherwise(n))
+    ms = F.when(n.between(-_YEAR_1_S, millis_from - 1), n * 1000).when(n >= millis_from, n)
+    return F.timestamp_millis(F.when(ms < _YEAR_10000_MS, ms))
 
 
 def log_epoch_millis(ts: Column | str, millis_from: int = LOG_MILLIS_FROM) -> Column:

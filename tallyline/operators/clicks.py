@@ -102,8 +102,8 @@ def page_view_users(logs: DataFrame, part_rows: int = 10_000) -> DataFrame:
     """Views per day and page with the JSON list of its distinct users.
 
     A page-day of up to ``part_rows`` users is one row (``part`` 0). Bigger ones
-    have their users spread over parts by hash; ``pv`` and ``users`` are those of
-    the whole page-day in every part.
+    have their users spread over parts by hash. ``pv`` and ``users`` are those of the
+    row's own users, so their sums over a page-day are the same however it is split.
     """
     keys = ["day", "page"]
     rows = logs.where(F.col("log_type").isNotNull() & F.col("formatted_time").isNotNull())
@@ -118,12 +118,11 @@ def page_view_users(logs: DataFrame, part_rows: int = 10_000) -> DataFrame:
             F.sum("n").alias("pv"), F.count("user_id").alias("users"), ids
         )
         return whole.select(*keys, F.lit(0).cast("bigint").alias("part"), "pv", "users", "user_ids")
-    totals = heavy.withColumnsRenamed({"pv": "_pv", "users": "_users"})
+    totals = heavy.select(*keys, F.col("users").alias("_users"))
     parts = F.ceil(F.coalesce(F.col("_users"), F.lit(1)) / part_rows)
     split = per_user.join(small(totals), keys, "left").withColumn("part", hash_part(parts, "user_id"))
     return split.repartition(*keys, "part").groupBy(*keys, "part").agg(
-        F.coalesce(F.any_value("_pv"), F.sum("n")).alias("pv"),
-        F.coalesce(F.any_value("_users"), F.count("user_id")).alias("users"),
+        F.sum("n").alias("pv"), F.count("user_id").alias("users"),
         ids,
     )
 

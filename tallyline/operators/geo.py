@@ -52,7 +52,9 @@ def locate(
     else:
         on = ["_prefix", "_salt"]
         cut = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        numbered = numbered.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+        # rows without an address match nothing: they go anywhere
+        spread = F.when(F.col("_ip").isNull(), F.lit(1 << 20)).otherwise(F.lit(SALTS))
+        numbered = numbered.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), spread).cast("int"))
     left, right = numbered.alias("l"), cut.alias("r")
     match = F.col("l._ip").between(F.col("r.lo"), F.col("r.hi"))
     for c in on:

@@ -113,8 +113,8 @@ def longer_paths(paths: DataFrame, at_least: int = 2) -> DataFrame:
 def path_patterns(logs: DataFrame, window: int | None = None, part_steps: int = PART_STEPS) -> DataFrame:
     """How often each page sequence of two or more steps occurs.
 
-    The pattern is the text ``a->b->c``. For a path in several parts it is a digest
-    of the parts, which is equal exactly for equal sequences.
+    The pattern is the text ``a->b->c`` for paths of any length; the parts of a long
+    path are put together again.
     """
     keys = ["user_id", "date", *(["window_start"] if window else [])]
     paths = longer_paths(user_paths(logs, window, part_steps)).withColumn(
@@ -122,12 +122,10 @@ def path_patterns(logs: DataFrame, window: int | None = None, part_steps: int =
     )
     in_one = F.size("path") == F.col("path_length")
     whole = paths.where(in_one).select("pattern", "path_length")
-    digests = paths.where(~in_one).groupBy(*keys, "path_length").agg(
-        text_list(F.sha2("pattern", 256), "part", "").alias("_digests")
-    )
-    parted = digests.select(
-        F.concat(F.lit("sha256:"), F.sha2("_digests", 256)).alias("pattern"), "path_length"
+    joined = paths.where(~in_one).groupBy(*keys, "path_length").agg(
+        text_list("pattern", F.struct("part", "pattern"), ARROW).alias("pattern")
     )
+    parted = joined.select("pattern", "path_length")
     return whole.unionByName(parted).groupBy("pattern", "path_length").agg(F.count("*").alias("cnt"))
 
 
@@ -167,6 +165,14 @@ def purchase_alerts(logs: DataFrame) -> DataFrame:
     return steps.select("user_id", "date", "at", "log_id", text.alias("line"))
 
 
+def sequence_flags(logs: DataFrame, window: int | None = None) -> DataFrame:
+    """``sequence_metrics`` of every path as plain aggregates, so that no path is put together."""
+    has = {f"has_{stage}": F.bool_or(F.col("page") == stage) for stage in ("search", "product_detail", "payment")}
+    order = F.struct("at", "log_id", "page")
+    ends = [F.min_by("page", order).alias("start_page"), F.max_by("page", order).alias("end_page")]
+    return path_steps(logs, window).groupBy(*_keys(window)).agg(*ends, *[c.alias(n) for n, c in has.items()])
+
+
 def sequence_metrics(path: Column | str) -> dict[str, Column]:
     """First and last page and the presence of the main stages of a page array."""
     c = F.col(path) if isinstance(path, str) else path

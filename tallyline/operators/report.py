@@ -37,12 +37,12 @@ def day_products(days: DataFrame) -> DataFrame:
 def with_descriptions(products: DataFrame, dimension: DataFrame) -> DataFrame:
     """Left join to the product dimension (``product_id``, ``product_desc``).
 
-    The listed ids are a handful per day, so the dimension is cut down to them with
-    a broadcast semi join before it is joined; the dimension is never shuffled whole.
+    The dimension is cut down to the listed ids before it is joined; how, is left to
+    Spark, which knows the sizes.
     """
     wanted = products.select("product_id").distinct()
     described = dimension.select("product_id", "product_desc").join(
-        F.broadcast(wanted), "product_id", "left_semi"
+        wanted, "product_id", "left_semi"
     )
     return products.join(described, "product_id", "left")
 

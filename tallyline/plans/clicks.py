@@ -69,8 +69,8 @@ def item_daily_words(spark: SparkSession, folder: str) -> DataFrame:
 def drill_down(spark: SparkSession, folder: str) -> DataFrame:
     """Customers and their balance by region, nation and segment, with all subtotals."""
     customer, nation, region = (table(spark, folder, t) for t in ("customer", "nation", "region"))
-    rows = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).join(
-        F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
+    rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
     return clicks.region_drill_down(
         rows.select(
@@ -94,8 +94,11 @@ def region_counts(spark: SparkSession, folder: str) -> DataFrame:
         F.replace(F.split_part("formatted_time", F.lit(" "), F.lit(1)), F.lit("-"), F.lit("")).alias("date"),
         text.alias("region_raw"), "ip",
     )
-    last = flat.agg(F.max("date")).first()[0]
-    both = clicks.with_history(flat.where(F.col("date") < last), flat.where(F.col("date") == last))
+    last = flat.agg(F.max("date")).scalar()
+    # rows without a date belong to the history
+    both = clicks.with_history(
+        flat.where(F.col("date").isNull() | (F.col("date") < last)), flat.where(F.col("date") == last)
+    )
     return clicks.region_counts(both)
 
 
@@ -127,8 +130,7 @@ def time_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sequence_checks(spark: SparkSession, folder: str) -> DataFrame:
-    rows = paths.user_paths(logs(spark, folder))
-    return rows.withColumns(paths.sequence_metrics("path")).groupBy(
+    return paths.sequence_flags(logs(spark, folder)).groupBy(
         "start_page", "end_page", "has_search", "has_product_detail", "has_payment"
     ).agg(F.count("*").alias("cnt"))
 

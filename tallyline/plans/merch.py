@@ -88,7 +88,7 @@ def stock(spark: SparkSession, folder: str) -> DataFrame:
 
 def traffic(spark: SparkSession, folder: str) -> DataFrame:
     clean = cleaned(spark, folder)
-    return merch.traffic_sources(clean["visits"], clean["orders"], ["shop_id", "ds"], 5)
+    return merch.traffic_sources(clean["visits"], clean["orders"], ["shop_id", "ds"])
 
 
 def touches(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,7 +225,7 @@ SQL = {
               FROM x LEFT JOIN y USING (shop_id, ds, user_id) GROUP BY ALL),
         r AS (SELECT *, row_number() OVER (PARTITION BY shop_id, ds ORDER BY visitor_count DESC, visit_reason)
                           AS traffic_rank FROM n)
-        SELECT *, CAST(pay_buyer_count AS DOUBLE) / visitor_count AS pay_conversion_rate FROM r WHERE traffic_rank <= 5""",
+        SELECT *, CAST(pay_buyer_count AS DOUBLE) / visitor_count AS pay_conversion_rate FROM r WHERE traffic_rank <= 10""",
     "order_touches": f"""{_D}, {_TOUCH}
         SELECT order_detail_id, user_id, product_id, first_touch, last_touch FROM ft""",
     "channel_attribution": f"""{_D}, {_TOUCH},

@@ -159,7 +159,7 @@ QUERIES = {
     "stream_top_keywords_complete": _complete(clicks.top_keywords),
     "stream_daily_words": _latest(
         stream_clicks.daily_word_counts, ["day", "word"],
-        lambda d: top_n(d, ["day"], [F.desc("cnt"), F.asc("word")], 3).drop("rn"),
+        lambda d: top_n(d, ["day"], [F.desc("cnt"), F.asc("word")], 10).drop("rn"),
     ),
     "stream_platform_share": _complete(clicks.platform_share),
     "stream_live_monitor": _complete(paths.live_monitor),
@@ -196,7 +196,7 @@ SQL = {
         w AS (SELECT day, trim(unnest(string_split(replace(keywords, '，', ','), ','))) AS word FROM l),
         n AS (SELECT day, word, count(*) AS cnt FROM w WHERE word <> '' GROUP BY 1, 2),
         r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY cnt DESC, word) AS rn FROM n)
-        SELECT day, word, cnt FROM r WHERE rn <= 3""",
+        SELECT day, word, cnt FROM r WHERE rn <= 10""",
     "stream_platform_share": CLICK_SQL["platform_share"],
     "stream_live_monitor": CLICK_SQL["live_monitor"],
     "stream_users_per_slot": CLICK_SQL["users_per_slot"],

@@ -16,6 +16,11 @@ def test_epoch_seconds_and_millis_are_the_same_instant(spark):
     assert got == [1761500000000, 1761500000000, None, None]
 
 
+def test_absurd_epochs_are_unreadable(spark):
+    far = ["9223372036854775807", "-9223372036854775808", "99999999999999999", "-62135596801"]
+    assert values(spark, F.unix_millis(times.epoch_to_timestamp("c")), *far) == [None] * 4
+
+
 def test_epoch_text(spark):
     got = values(
         spark, times.epoch_text("c"), "1761500000", "1761500000.75", "1761500000000", "", None, "soon", "1e300"

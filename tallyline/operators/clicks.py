@@ -10,7 +10,7 @@ from tallyline.functions.text import (
 )
 from tallyline.functions.times import date_part_of
 from tallyline.operators.ranking import top_n
-from tallyline.operators.skew import hash_part, heavy_groups
+from tallyline.operators.skew import hash_part
 
 
 def page_views(logs: DataFrame) -> DataFrame:
@@ -43,15 +43,19 @@ def region_logins(logs: DataFrame) -> DataFrame:
     return rows.groupBy(region.alias("region")).agg(F.count("*").alias("cnt"))
 
 
-def _devices(logs: DataFrame) -> DataFrame:
-    """Counts with date, platform and brand; rows without date or known platform dropped.
+def raw_devices(logs: DataFrame) -> DataFrame:
+    """Rows per date and raw device texts."""
+    return logs.where(filled("formatted_time")).groupBy(
+        date_part_of("formatted_time").alias("date"), "plat", "brand"
+    ).agg(F.count("*").alias("cnt"))
+
+
+def _devices(counts: DataFrame) -> DataFrame:
+    """``raw_devices`` with labels; rows without date or known platform dropped.
 
     Rows are counted by their raw texts first, so the label rules run once per
     distinct text and not once per row. A label can occur in several rows.
     """
-    counts = logs.where(filled("formatted_time")).groupBy(
-        date_part_of("formatted_time").alias("date"), "plat", "brand"
-    ).agg(F.count("*").alias("cnt"))
     labelled = counts.select(
         "date", platform_label("plat").alias("platform"), brand_label("brand").alias("brand"), "cnt"
     )
@@ -60,7 +64,7 @@ def _devices(logs: DataFrame) -> DataFrame:
 
 def device_counts(logs: DataFrame) -> DataFrame:
     """Devices per date and category: both platforms and the six counted brands."""
-    both = _devices(logs).select("date", F.explode(F.array("platform", "brand")).alias("category"), "cnt")
+    both = _devices(raw_devices(logs)).select("date", F.explode(F.array("platform", "brand")).alias("category"), "cnt")
     kept = both.where(F.col("category").isin(PLATFORMS + COUNTED_BRANDS))
     return kept.groupBy("date", "category").agg(F.sum("cnt").alias("cnt"))
 
@@ -82,7 +86,12 @@ def platform_share(logs: DataFrame) -> DataFrame:
 
 
 def top_brands(logs: DataFrame, n: int = 10) -> DataFrame:
-    counts = _devices(logs).groupBy("brand").agg(F.sum("cnt").alias("cnt"))
+    return top_brands_of(raw_devices(logs), n)
+
+
+def top_brands_of(counts: DataFrame, n: int = 10) -> DataFrame:
+    """Top brands of ``raw_devices``, which a stream keeps as a table."""
+    counts = _devices(counts).groupBy("brand").agg(F.sum("cnt").alias("cnt"))
     return counts.orderBy(F.desc("cnt"), "brand").limit(n)
 
 
@@ -98,32 +107,34 @@ def _day_key(formatted_time: str):
     return F.replace(date_part_of(formatted_time), F.lit("-"), F.lit(""))
 
 
+def page_day_users(logs: DataFrame) -> DataFrame:
+    """Views per day, page and user: one row per user, however many a page-day has."""
+    rows = logs.where(F.col("log_type").isNotNull() & F.col("formatted_time").isNotNull())
+    return rows.groupBy(
+        _day_key("formatted_time").alias("day"), F.col("log_type").alias("page"), "user_id"
+    ).agg(F.count("*").alias("pv"))
+
+
 def page_view_users(logs: DataFrame, part_rows: int = 10_000) -> DataFrame:
     """Views per day and page with the JSON list of its distinct users.
 
-    A page-day of up to ``part_rows`` users is one row (``part`` 0). Bigger ones
-    have their users spread over parts by hash. ``pv`` and ``users`` are those of the
-    row's own users, so their sums over a page-day are the same however it is split.
+    The users of a page-day are spread by hash over as many ``part``s as keep each
+    list near ``part_rows``. ``pv`` and ``users`` are those of the row's own users, so
+    their sums over a page-day are the same however it is split.
     """
+    return user_lists(page_day_users(logs), part_rows)
+
+
+def user_lists(per_user: DataFrame, part_rows: int = 10_000) -> DataFrame:
+    """The lists of ``page_view_users`` from the rows of ``page_day_users``."""
     keys = ["day", "page"]
-    rows = logs.where(F.col("log_type").isNotNull() & F.col("formatted_time").isNotNull())
-    per_user = rows.groupBy(
-        _day_key("formatted_time").alias("day"), F.col("log_type").alias("page"), "user_id"
-    ).agg(F.count("*").alias("n"))
-    sizes = per_user.groupBy(*keys).agg(F.sum("n").alias("pv"), F.count("user_id").alias("users"))
-    ids = F.to_json(F.array_sort(F.collect_list("user_id"))).alias("user_ids")
-    heavy, small = heavy_groups(sizes, "users", part_rows)
-    if heavy is None:
-        whole = per_user.groupBy(*keys).agg(
-            F.sum("n").alias("pv"), F.count("user_id").alias("users"), ids
-        )
-        return whole.select(*keys, F.lit(0).cast("bigint").alias("part"), "pv", "users", "user_ids")
-    totals = heavy.select(*keys, F.col("users").alias("_users"))
-    parts = F.ceil(F.coalesce(F.col("_users"), F.lit(1)) / part_rows)
-    split = per_user.join(small(totals), keys, "left").withColumn("part", hash_part(parts, "user_id"))
-    return split.repartition(*keys, "part").groupBy(*keys, "part").agg(
-        F.sum("n").alias("pv"), F.count("user_id").alias("users"),
-        ids,
+    parts = per_user.groupBy(*keys).agg(
+        F.ceil(F.greatest(F.count("user_id"), F.lit(1)) / part_rows).alias("_parts")
+    )
+    split = per_user.join(parts, keys).withColumn("part", hash_part(F.col("_parts"), "user_id"))
+    return split.groupBy(*keys, "part").agg(
+        F.sum("pv").alias("pv"), F.count("user_id").alias("users"),
+        F.to_json(F.array_sort(F.collect_list("user_id"))).alias("user_ids"),
     )
 
 

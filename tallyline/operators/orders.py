@@ -11,18 +11,15 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import clean_id, filled, lenient_number
 from tallyline.functions.times import (
-    DAY, MINUTE, ORDER_ZONE, floor_to, on_dates, wall_date, wall_micros,
+    DAY, MINUTE, ORDER_ZONE, SECOND, floor_to, on_dates, wall_date, wall_micros,
 )
 from tallyline.operators.ranking import ranked_slots, text_list, top_n
-from tallyline.operators.skew import hash_part
+from tallyline.operators.skew import number_rows
 from tallyline.operators.windows import (
     BOUNDS, cumulate, cumulative_sums, hop_sums, show_bounds, slice_sums, spread_over_windows, tumble,
 )
-from tallyline.session import fits, stored
 
 STEP = 10 * MINUTE
-# Slices (three numbers each) that may be broadcast: 19 years of ten minutes.
-SLICE_ROWS = 1_000_000
 MONEY = "decimal(38,2)"
 
 
@@ -102,44 +99,22 @@ def cumulative_trace(
 ) -> DataFrame:
     """Cumulative amount with the text ``id(amount)+id(amount)+...`` of all its orders.
 
-    A window of up to ``part_rows`` orders is one row (``part`` 0). The text of a
-    bigger window goes on in further parts, in the order of ``part``, so no task
-    ever holds a whole window. Orders follow each other by slice, then time and id;
-    within a slice of more than ``part_rows`` orders they are first spread by hash.
+    The orders of a span are numbered by time, then id; the text of a window is cut
+    after every ``part_rows`` orders into rows numbered by ``part``, so no task ever
+    holds a whole window. ``trace_orders`` gives the same content without any text.
     """
-    rows = _rows(df, dates, zone, filled("total_amount")).select(
-        "id", "_at", _amount().alias("_amount"), floor_to(F.col("_at"), step).alias("_slice")
-    )
-    # One row per slice: its size depends on the days covered, not on the orders.
-    sliced = stored(
-        rows.groupBy("_slice").agg(F.count("*").alias("_n"), F.sum("_amount").alias("period_amount"))
-    )
-    earlier = (
-        Window.partitionBy(floor_to(F.col("_slice"), span))
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    pieces = sliced.select(
-        "_slice",
-        F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / part_rows).alias("_base"),
-        F.ceil(F.col("_n") / part_rows).alias("_pieces"),
-    )
-    pieces = F.broadcast(pieces) if fits(sliced, SLICE_ROWS) else pieces
+    numbered = _numbered(_trace_rows(df, dates, zone), step, span)
     entry = F.concat(F.col("id"), F.lit("("), F.col("_amount").cast("string"), F.lit(")"))
-    texts = (
-        rows.join(pieces, "_slice")
-        .withColumn("_piece", hash_part(F.col("_pieces"), "id", "_at", "_amount"))
-        .repartition("_slice", "_base", "_piece")
-        .groupBy("_slice", "_base", "_piece")
-        .agg(text_list(entry, F.struct("_at", "id"), "+").alias("_text"))
-        .withColumn("part", F.col("_base") + F.col("_piece"))
+    texts = numbered.groupBy("_slice", F.floor(F.col("_pos") / part_rows).alias("part")).agg(
+        text_list(entry, F.struct("_pos"), "+").alias("_text")
     )
     joined = (
         cumulate(texts, "_slice", step, span)
         .groupBy(*BOUNDS, "part")
-        .agg(text_list(F.nullif("_text", F.lit("")), F.struct("_slice", "_piece"), "+").alias("cumulative_process"))
+        .agg(text_list(F.nullif("_text", F.lit("")), F.struct("_slice"), "+").alias("cumulative_process"))
     )
-    amounts = spread_over_windows(sliced, "_slice", step, span, [], ["period_amount"])
+    sums = slice_sums(_trace_rows(df, dates, zone), "_at", step, [], {"period_amount": F.col("_amount")})
+    amounts = spread_over_windows(sums, "_slice", step, span, [], ["period_amount"])
     return show_bounds(
         joined.join(amounts, BOUNDS).select(
             *BOUNDS, "part", F.col("period_amount").cast(MONEY).alias("period_amount"),
@@ -148,6 +123,45 @@ def cumulative_trace(
     )
 
 
+def _trace_rows(df: DataFrame, dates, zone: str) -> DataFrame:
+    return _rows(df, dates, zone, filled("total_amount")).select("id", "_at", _amount().alias("_amount"))
+
+
+def _numbered(rows: DataFrame, step: int, span: int) -> DataFrame:
+    """Orders with their slice and their position in the span, counted by seconds first."""
+    spans = rows.withColumn("_span", floor_to(F.col("_at"), span))
+    return number_rows(spans, ["_span"], "_at", ["id", "_amount"], SECOND, "_pos").withColumn(
+        "_slice", floor_to(F.col("_at"), step)
+    )
+
+
+def trace_orders(
+    df: DataFrame, step: int = STEP, span: int = DAY, dates=None, zone: str = ORDER_ZONE
+) -> DataFrame:
+    """The trace as one row per order: first window that holds it, position and amount up to it.
+
+    The trace of a window are the rows of its start up to its end by ``position``
+    (from 0), so an order is stored once and not once per window.
+    """
+    rows = _numbered(_trace_rows(df, dates, zone), step, span)
+    second = F.floor(F.col("_at") / SECOND)
+    cut = ["_span", "_second"]
+    earlier = Window.partitionBy("_span").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*cut).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    timed = rows.withColumn("_second", second)
+    before = timed.groupBy(*cut).agg(F.sum("_amount").alias("_sum")).select(
+        *cut, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")
+    )
+    running = F.col("_before") + F.coalesce(F.sum("_amount").over(inside), F.lit(0))
+    return show_bounds(
+        timed.join(before, cut).select(
+            F.col("_span").alias("window_start"), (F.col("_slice") + step).alias("window_end"),
+            F.col("_pos").alias("position"), "id", F.col("_amount").alias("amount"),
+            running.cast(MONEY).alias("running_amount"),
+        )
+    )
+
+
 def product_amounts(df: DataFrame, dates=None, zone: str = ORDER_ZONE) -> DataFrame:
     """Clean product id, strict amount and local time of the order rows."""
     return _rows(df, dates, zone).select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import is_key_page, ratio, yes_no
 from tallyline.functions.times import MINUTE, epoch_date, floor_to, log_epoch_millis
 from tallyline.operators.ranking import text_list
-from tallyline.operators.skew import heavy_groups, number_rows
+from tallyline.operators.skew import number_rows
 from tallyline.operators.windows import show_bounds
 
 WINDOW = 2 * MINUTE
@@ -61,34 +61,36 @@ def path_metrics(logs: DataFrame, window: int | None = None) -> DataFrame:
 def user_paths(logs: DataFrame, window: int | None = None, part_steps: int = PART_STEPS) -> DataFrame:
     """Pages of each path in the order of time and log id, with the path's metrics.
 
-    A path of up to ``part_steps`` steps is one row (``part`` 0); a longer one goes
-    on in further parts, while the metrics are those of the whole path in each.
+    Steps are numbered and the path is cut after every ``part_steps`` of them into
+    rows numbered by ``part``; the metrics are those of the whole path in each.
     """
     keys = _keys(window)
-    steps = path_steps(logs, window)
-    entries = F.array_sort(F.collect_list(F.struct("at", "log_id", "page"))).alias("_entries")
-    columns = [*keys, "part", "path", *METRICS]
-    heavy, small = heavy_groups(
-        steps.groupBy(*keys).agg(F.count("*").alias("path_length")), "path_length", part_steps
-    )
-    short = steps if heavy is None else steps.join(small(heavy), keys, "left_anti")
-    whole = short.groupBy(*keys).agg(entries).withColumns({"path": F.col("_entries.page"), **_list_metrics()})
-    result = whole.withColumn("part", F.lit(0).cast("bigint")).select(*columns)
-    if heavy is not None:
-        long = steps.join(small(heavy), keys, "left_semi")
-        numbered = number_rows(long, keys, "at", ["log_id", "page"], 1000, "_step")
-        parts = numbered.groupBy(*keys, F.floor(F.col("_step") / part_steps).alias("part")).agg(entries)
-        metrics = long.groupBy(*keys).agg(*_metrics())
-        parts = parts.withColumn("path", F.col("_entries.page")).join(small(metrics), keys)
-        result = result.unionByName(parts.select(*columns))
-    return _shown(result, window)
-
-
-def _list_metrics() -> dict[str, Column]:
-    """The metrics of a path that is whole in one list."""
-    page, at = F.col("_entries.page"), F.col("_entries.at")
+    entries = F.array_sort(F.collect_list(F.struct("position", "page")))
+    parts = path_positions(logs, window).groupBy(
+        *keys, F.floor(F.col("position") / part_steps).alias("part")
+    ).agg(F.transform(entries, lambda e: e["page"]).alias("path"))
+    metrics = path_steps(logs, window).groupBy(*keys).agg(*_metrics())
+    return _shown(parts.join(metrics, keys).select(*keys, "part", "path", *METRICS), window)
+
+
+def path_positions(logs: DataFrame, window: int | None = None) -> DataFrame:
+    """Every step of every path with its ``position`` (from 0) by time and log id.
+
+    A step is one row, however long its path, and a path is counted by seconds first,
+    so no task holds more than a second of it.
+    """
+    keys = _keys(window)
+    numbered = number_rows(path_steps(logs, window), keys, "at", ["log_id", "page"], 1000, "position")
+    return numbered.select(*keys, "position", "page", "at", "log_id")
+
+
+def list_metrics(steps: str) -> dict[str, Column]:
+    """Pages and metrics of a path that is whole in one ordered list of steps (``part`` 0)."""
+    page, at = F.col(f"{steps}.page"), F.col(f"{steps}.at")
     first, last = F.lit(1), F.lit(-1)
     return {
+        "part": F.lit(0).cast("bigint"),
+        "path": page,
         "path_length": F.size(page).cast("bigint"),
         "has_purchase": F.array_contains(page, "payment"),
         "has_search": F.array_contains(page, "search"),
@@ -111,22 +113,17 @@ def longer_paths(paths: DataFrame, at_least: int = 2) -> DataFrame:
 
 
 def path_patterns(logs: DataFrame, window: int | None = None, part_steps: int = PART_STEPS) -> DataFrame:
-    """How often each page sequence of two or more steps occurs.
+    """How often each page sequence of two or more steps occurs, with text ``a->b->c``."""
+    return count_patterns(user_paths(logs, window, part_steps), _keys(window))
 
-    The pattern is the text ``a->b->c`` for paths of any length; the parts of a long
-    path are put together again.
-    """
-    keys = ["user_id", "date", *(["window_start"] if window else [])]
-    paths = longer_paths(user_paths(logs, window, part_steps)).withColumn(
-        "pattern", F.array_join("path", ARROW)
-    )
-    in_one = F.size("path") == F.col("path_length")
-    whole = paths.where(in_one).select("pattern", "path_length")
-    joined = paths.where(~in_one).groupBy(*keys, "path_length").agg(
-        text_list("pattern", F.struct("part", "pattern"), ARROW).alias("pattern")
+
+def count_patterns(paths: DataFrame, keys: list[str]) -> DataFrame:
+    """Patterns of path rows (of ``user_paths``, or stored by a stream), their parts put together."""
+    texts = longer_paths(paths).select(*keys, "part", "path_length", F.array_join("path", ARROW).alias("_text"))
+    whole = texts.groupBy(*keys, "path_length").agg(
+        text_list("_text", F.struct("part", "_text"), ARROW).alias("pattern")
     )
-    parted = joined.select("pattern", "path_length")
-    return whole.unionByName(parted).groupBy("pattern", "path_length").agg(F.count("*").alias("cnt"))
+    return whole.groupBy("pattern", "path_length").agg(F.count("*").alias("cnt"))
 
 
 def top_patterns(patterns: DataFrame, n: int = 5) -> DataFrame:

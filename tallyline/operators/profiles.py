@@ -51,7 +51,11 @@ def user_profiles(logs: DataFrame, window: int | None = None, login_only: bool =
 
 def user_flags(logs: DataFrame) -> DataFrame:
     """Login days and flags per user, without the lists."""
-    per_day = behaviours(logs).groupBy("user_id", "date").agg(
+    return _flags_of(behaviours(logs))
+
+
+def _flags_of(rows: DataFrame) -> DataFrame:
+    per_day = rows.groupBy("user_id", "date").agg(
         *[F.bool_or(flag).alias(flag) for flag in FLAGS]
     )
     return per_day.groupBy("user_id").agg(
@@ -61,8 +65,13 @@ def user_flags(logs: DataFrame) -> DataFrame:
 
 def user_summary(logs: DataFrame) -> DataFrame:
     """Users in total and with each behaviour, as count and percent, and mean login days."""
+    return summary_of(behaviours(logs))
+
+
+def summary_of(rows: DataFrame) -> DataFrame:
+    """``user_summary`` from the rows of ``behaviours``, which a stream keeps as a table."""
     names = {"has_purchase": "purchase", "has_search": "search", "has_browse": "browse"}
-    totals = user_flags(logs).agg(
+    totals = _flags_of(rows).agg(
         F.count("*").alias("total_users"),
         *[F.count_if(flag).alias(f"{name}_users") for flag, name in names.items()],
         F.sum("login_days").alias("_days"),
@@ -80,7 +89,12 @@ def user_summary(logs: DataFrame) -> DataFrame:
 
 def users_per_slot(logs: DataFrame) -> DataFrame:
     """Distinct users per time of day, most frequent first."""
-    pairs = behaviours(logs).select("user_id", "time_slot").distinct()
+    return slots_of(behaviours(logs))
+
+
+def slots_of(rows: DataFrame) -> DataFrame:
+    """``users_per_slot`` from the rows of ``behaviours``."""
+    pairs = rows.select("user_id", "time_slot").distinct()
     return pairs.groupBy("time_slot").agg(F.count("*").alias("users")).orderBy(F.desc("users"), "time_slot")
 
 

@@ -1,38 +1,19 @@
 """Help for groups that are too big for one task.
 
 Lists (paths, user ids, order traces) are the only results whose size grows with
-a group. They are given in *parts* of bounded size: a group of up to ``part_rows``
-entries is one row, a bigger one continues in further rows.
+a group. They are given in numbered parts of bounded size by one rule for every
+group, or as one row per entry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.session import fits, stored
-
-# A table of group keys and a few numbers is broadcast up to this many rows (some 10 MB).
+# A table of a few numbers per row is broadcast up to this many rows (some 10 MB).
 BROADCAST_ROWS = 200_000
 
 
-def heavy_groups(
-    sizes: DataFrame, size: str, over: int
-) -> tuple[DataFrame | None, Callable[[DataFrame], DataFrame]]:
-    """Groups with more than ``over`` rows, stored once, or None if there are none.
-
-    The second value marks a table of these groups for broadcast if their counted
-    number allows it. Otherwise it leaves the join to Spark, where AQE splits skewed
-    partitions.
-    """
-    heavy = stored(sizes.where(F.col(size) > over))
-    if fits(heavy, 0):
-        return None, F.broadcast
-    return heavy, F.broadcast if fits(heavy, BROADCAST_ROWS) else lambda table: table
-
-
 def number_rows(
     rows: DataFrame, keys: list[str], at: str, tie: list[str], slice_size: int, position: str
 ) -> DataFrame:

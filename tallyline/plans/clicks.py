@@ -115,10 +115,12 @@ def path_rows(df: DataFrame) -> DataFrame:
     return df.withColumn("path", F.array_join("path", paths.ARROW))
 
 
-def windowed_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of two-hour windows: the events are too sparse for two minutes."""
-    rows = paths.user_paths(logs(spark, folder), window=2 * HOUR)
-    return path_rows(_text_bounds(paths.longer_paths(rows)))
+def windowed_paths(window: int, at_least: int):
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        rows = paths.user_paths(logs(spark, folder), window=window)
+        return path_rows(_text_bounds(paths.longer_paths(rows, at_least)))
+
+    return query
 
 
 def time_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,10 +137,6 @@ def sequence_checks(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(F.count("*").alias("cnt"))
 
 
-def alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return paths.purchase_alerts(logs(spark, folder)).drop("line")
-
-
 QUERIES = {
     "page_views": _over_logs(clicks.page_views),
     "keyword_counts": _over_logs(clicks.keyword_counts),
@@ -159,7 +157,9 @@ QUERIES = {
     "user_summary": _over_logs(profiles.user_summary),
     "users_per_slot": _over_logs(profiles.users_per_slot),
     "user_paths": _over_logs(paths.user_paths, path_rows),
-    "user_paths_windowed": windowed_paths,
+    "user_paths_windowed": windowed_paths(2 * HOUR, 2),
+    "user_paths_two_minutes": windowed_paths(paths.WINDOW, 1),  # few events share two minutes
+    "user_path_steps": _over_logs(paths.path_positions),
     "path_metrics": _over_logs(paths.path_metrics),
     "path_sequence_metrics": sequence_checks,
     "path_patterns": _over_logs(paths.path_patterns),
@@ -167,8 +167,9 @@ QUERIES = {
     "path_pattern_lengths": _over_logs(paths.path_patterns, paths.pattern_lengths),
     "path_conversions": _over_logs(paths.path_metrics, paths.path_conversions),
     "live_monitor": _over_logs(paths.live_monitor),
-    "purchase_alerts": alerts,
+    "purchase_alerts": _over_logs(paths.purchase_alerts),
     "page_view_users": _over_logs(clicks.page_view_users),
+    "page_day_users": _over_logs(clicks.page_day_users),
 }
 
 _L = f"WITH {LOGS_SQL}"
@@ -202,6 +203,14 @@ _PATH = "string_agg(page, '->' ORDER BY tm, log_id)"
 _PATTERNS = f"""{_STEPS}, p AS (SELECT user_id, day, {_PATH} AS pattern, count(*) AS path_length FROM s GROUP BY 1, 2),
     pat AS (SELECT pattern, path_length, count(*) AS cnt FROM p WHERE path_length >= 2 GROUP BY 1, 2)"""
 
+
+def _windowed_paths_sql(size: str, at_least: int) -> str:
+    return f"""{_STEPS}, x AS (SELECT *, time_bucket(INTERVAL {size}, ts) AS ws FROM s)
+        SELECT user_id, day AS date, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+               strftime(ws + INTERVAL {size}, '%Y-%m-%d %H:%M:%S') AS window_end, CAST(0 AS BIGINT) AS part,
+               {_PATH} AS path, {_METRICS} FROM x GROUP BY user_id, day, ws HAVING count(*) >= {at_least}"""
+
+
 SQL = {
     "page_views": f"{_L} SELECT day AS date, log_type AS page, count(*) AS pv FROM l GROUP BY 1, 2",
     "keyword_counts": f"{_WORDS} SELECT word, cnt FROM n",
@@ -258,10 +267,11 @@ SQL = {
     "users_per_slot": f"{_L} SELECT {_SLOT} AS time_slot, count(DISTINCT user_id) AS users FROM l GROUP BY 1",
     "user_paths": f"""{_STEPS}
         SELECT user_id, day AS date, CAST(0 AS BIGINT) AS part, {_PATH} AS path, {_METRICS} FROM s GROUP BY 1, 2""",
-    "user_paths_windowed": f"""{_STEPS}, x AS (SELECT *, time_bucket(INTERVAL 2 HOUR, ts) AS ws FROM s)
-        SELECT user_id, day AS date, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
-               strftime(ws + INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, CAST(0 AS BIGINT) AS part,
-               {_PATH} AS path, {_METRICS} FROM x GROUP BY user_id, day, ws HAVING count(*) >= 2""",
+    "user_paths_windowed": _windowed_paths_sql("2 HOUR", 2),
+    "user_paths_two_minutes": _windowed_paths_sql("2 MINUTE", 1),
+    "user_path_steps": f"""{_STEPS}
+        SELECT user_id, day AS date, row_number() OVER (PARTITION BY user_id, day ORDER BY tm, log_id) - 1 AS position,
+               page, tm AS "at", log_id FROM s""",
     "path_metrics": f"{_STEPS} SELECT user_id, day AS date, {_METRICS} FROM s GROUP BY 1, 2",
     "path_sequence_metrics": f"""{_STEPS},
         p AS (SELECT {_METRICS}, bool_or(page = 'product_detail') AS has_product_detail FROM s GROUP BY user_id, day)
@@ -279,7 +289,11 @@ SQL = {
     "live_monitor": f"""{_STEPS}
         SELECT count(*) AS path_count, arg_max(user_id, row(tm, log_id)) AS user_id,
                arg_max(page, row(tm, log_id)) AS page FROM s""",
-    "purchase_alerts": f"{_STEPS} SELECT user_id, day AS date, tm AS \"at\", log_id FROM s WHERE page = 'payment'",
+    "purchase_alerts": f"{_STEPS} SELECT user_id, day AS date, tm AS \"at\", log_id, "
+        "'🔥 转化路径提醒 - 用户' || user_id || '完成购买，路径: payment' AS line FROM s WHERE page = 'payment'",
+    "page_day_users": f"""{_L}
+        SELECT replace(day, '-', '') AS day, log_type AS page, user_id, count(*) AS pv FROM l
+        GROUP BY l.day, log_type, user_id""",
     "page_view_users": f"""{_L}
         SELECT replace(day, '-', '') AS day, log_type AS page, CAST(0 AS BIGINT) AS part, count(*) AS pv,
                count(DISTINCT user_id) AS users,

@@ -79,6 +79,7 @@ QUERIES = {
     "order_cumulative_top_rows": _over_orders(op.cumulative_top_rows),
     "order_tumbling_top_ids": _over_orders(op.tumbling_top_ids),
     "order_cumulative_trace": _over_orders(op.cumulative_trace),
+    "order_trace_rows": _over_orders(op.trace_orders),
     "product_window_gmv": _over_orders(op.product_window_gmv),
     "cumulative_top_products": top_products,
     "cumulative_top_products_of_days": top_products_of_days,
@@ -114,6 +115,11 @@ SQL = {
         r AS (SELECT *, row_number() OVER (PARTITION BY ws, we ORDER BY sale_num DESC, id) AS rn FROM c)
         SELECT {BOUNDS_SQL}, sum(amount) AS total_cumulative_amount,
                '[' || string_agg(id, ',' ORDER BY rn) || ']' AS top5_ids FROM r WHERE rn <= 5 GROUP BY 1, 2""",
+    "order_trace_rows": f"""WITH {ORDERS_SQL}
+        SELECT strftime(date_trunc('day', tm), '%Y-%m-%d %H:%M:%S') AS window_start,
+               strftime(time_bucket(INTERVAL 10 MINUTE, tm) + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+               row_number() OVER w - 1 AS position, id, amount, sum(amount) OVER w AS running_amount
+        FROM o WINDOW w AS (PARTITION BY date_trunc('day', tm) ORDER BY tm, id)""",
     "order_tumbling_top_ids": f"""WITH {ORDERS_SQL},
         w AS (SELECT time_bucket(INTERVAL 10 MINUTE, tm) AS ws, id, sum(sale_num) AS n FROM o GROUP BY ALL),
         r AS (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY n DESC, id) AS rn FROM w)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,25 +108,37 @@ def windowed_profiles(spark: SparkSession, folder: str) -> DataFrame:
     return _text_bounds(profile_rows(sinks.read_batches(spark, out)))
 
 
-def windowed_paths(spark: SparkSession, folder: str) -> DataFrame:
+def _closed_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths of two-hour windows as a stream stores them."""
     job = lambda logs: stream_clicks.user_paths(logs, 120 * MINUTE)
-    rows = sinks.read_batches(spark, _logs_to(job, "append")(spark, folder))
-    return path_rows(_text_bounds(paths.longer_paths(rows))).withColumn(
-        "path_length", F.col("path_length").cast("bigint")
-    )
+    return sinks.read_batches(spark, _logs_to(job, "append")(spark, folder))
+
+
+def windowed_paths(spark: SparkSession, folder: str) -> DataFrame:
+    return path_rows(_text_bounds(paths.longer_paths(_closed_paths(spark, folder))))
+
+
+def _path_statistics(then):
+    """First level streamed (closed paths), second level on read, as often as it is wanted."""
+    return lambda spark, folder: then(_closed_paths(spark, folder))
+
+
+def _patterns(rows: DataFrame) -> DataFrame:
+    return paths.count_patterns(rows, ["user_id", "date", "window_start"])
 
 
 def alerts(spark: SparkSession, folder: str) -> DataFrame:
-    job = lambda logs: paths.purchase_alerts(logs).drop("line")
-    return sinks.read_batches(spark, _logs_to(job, "append")(spark, folder))
+    return sinks.read_batches(spark, _logs_to(paths.purchase_alerts, "append")(spark, folder))
 
 
-def summary_of_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    """First level streamed into a keyed table, second level on read."""
-    out = _logs_to(profiles.behaviours, "update")(spark, folder)
-    rows = sinks.read_latest(spark, out, ["user_id", "date", "time_slot"])
-    pairs = rows.select("user_id", "time_slot").distinct()
-    return pairs.groupBy("time_slot").agg(F.count("*").alias("users"))
+def _profile_table(then):
+    """Behaviours streamed into a keyed table, the second level on read."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        out = _logs_to(profiles.behaviours, "update")(spark, folder)
+        return then(sinks.read_latest(spark, out, ["user_id", "date", "time_slot"]))
+
+    return query
 
 
 def fan_out(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,9 +160,9 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "stream_window_sales": window_sales,
     "stream_cumulative_sales": lambda s, f: _text_bounds(_started(stream_orders.start_cumulative_sales)(s, f)),
-    "stream_cumulative_top_products": lambda s, f: _started(stream_orders.start_cumulative_top_products)(s, f).withColumn(
-        "ds", F.col("ds").cast("string")
-    ),
+    "stream_cumulative_top_products": lambda s, f: _started(
+        partial(stream_orders.start_cumulative_top_products, with_total=True)
+    )(s, f).withColumn("ds", F.col("ds").cast("string")),
     "stream_cumulative_top_rows": lambda s, f: _text_bounds(_started(stream_orders.start_cumulative_top_rows)(s, f)),
     "stream_tumbling_top_ids": top_ids,
     "stream_page_views": _latest(clicks.page_views, ["date", "page"]),
@@ -163,7 +176,19 @@ QUERIES = {
     ),
     "stream_platform_share": _complete(clicks.platform_share),
     "stream_live_monitor": _complete(paths.live_monitor),
-    "stream_users_per_slot": summary_of_profiles,
+    "stream_users_per_slot": _profile_table(profiles.slots_of),
+    "stream_user_summary": _profile_table(profiles.summary_of),
+    "stream_top_brands": _latest(clicks.raw_devices, ["date", "plat", "brand"], clicks.top_brands_of),
+    "stream_device_models": _latest(
+        clicks.device_models, ["platform", "brand", "model", "stat_date"],
+        lambda d: d.withColumn("stat_date", F.col("stat_date").cast("string")),
+    ),
+    "stream_page_view_users": _latest(
+        clicks.page_day_users, ["day", "page", "user_id"], clicks.user_lists
+    ),
+    "stream_top_path_patterns": _path_statistics(lambda p: paths.top_patterns(_patterns(p))),
+    "stream_path_pattern_lengths": _path_statistics(lambda p: paths.pattern_lengths(_patterns(p))),
+    "stream_path_conversions": _path_statistics(paths.path_conversions),
     "stream_user_profiles": windowed_profiles,
     "stream_user_paths": windowed_paths,
     "stream_purchase_alerts": alerts,
@@ -173,20 +198,18 @@ QUERIES = {
 # Windows count as closed up to the largest event time less the watermark delay.
 _CLOSED_ORDERS = """SELECT * FROM ({sql}) WHERE CAST(window_end AS TIMESTAMP) <=
     (SELECT max(date_trunc('millisecond', ts)) + INTERVAL 8 HOUR - INTERVAL 5 SECOND FROM events WHERE event_type = 'purchase')"""
-# Cumulative windows are given out up to the last closed slice that holds a row.
-_CLOSED_SLICES = """SELECT * FROM ({sql}) WHERE CAST(window_end AS TIMESTAMP) <=
-    (SELECT max(time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE) + INTERVAL 8 HOUR FROM events
-     WHERE event_type = 'purchase' AND time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE <=
-       (SELECT max(ts) - INTERVAL 5 SECOND FROM events WHERE event_type = 'purchase'))"""
 _CLOSED_LOGS = """SELECT {columns} FROM ({sql}) WHERE CAST(window_end AS TIMESTAMP) <=
     (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 5 SECOND FROM events {rows})"""
 
+_CLOSED_PATHS = _CLOSED_LOGS.format(
+    sql=CLICK_SQL["user_paths_windowed"], rows="WHERE event_type <> 'error'", columns="*"
+)
+_PATTERNS = f"WITH n AS (SELECT path AS pattern, path_length, count(*) AS cnt FROM ({_CLOSED_PATHS}) GROUP BY ALL)"
+
 SQL = {
     "stream_window_sales": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_window_sales"]),
-    "stream_cumulative_sales": _CLOSED_SLICES.format(sql=ORDER_SQL["order_cumulative_sales"]),
-    "stream_cumulative_top_products": _CLOSED_SLICES.format(sql=ORDER_SQL["cumulative_top_products"]).replace(
-        "SELECT * FROM (", "SELECT * EXCLUDE (total_gmv) FROM (", 1
-    ),
+    "stream_cumulative_sales": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_cumulative_sales"]),
+    "stream_cumulative_top_products": _CLOSED_ORDERS.format(sql=ORDER_SQL["cumulative_top_products"]),
     "stream_cumulative_top_rows": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_cumulative_top_rows"]),
     "stream_tumbling_top_ids": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_tumbling_top_ids"]),
     "stream_page_views": CLICK_SQL["page_views"],
@@ -201,10 +224,17 @@ SQL = {
     "stream_live_monitor": CLICK_SQL["live_monitor"],
     "stream_users_per_slot": CLICK_SQL["users_per_slot"],
     "stream_user_profiles": _CLOSED_LOGS.format(sql=CLICK_SQL["user_profiles_windowed"], rows="", columns="*"),
-    "stream_user_paths": _CLOSED_LOGS.format(
-        sql=CLICK_SQL["user_paths_windowed"], rows="WHERE event_type <> 'error'",
-        columns="* EXCLUDE (part, start_page, end_page)",
-    ),
+    "stream_user_paths": _CLOSED_PATHS,
+    "stream_user_summary": CLICK_SQL["user_summary"],
+    "stream_top_brands": CLICK_SQL["top_brands"],
+    "stream_device_models": CLICK_SQL["device_models"],
+    "stream_page_view_users": CLICK_SQL["page_view_users"],
+    "stream_top_path_patterns": f"{_PATTERNS} SELECT * FROM n ORDER BY cnt DESC, pattern LIMIT 5",
+    "stream_path_pattern_lengths": f"""{_PATTERNS}
+        SELECT CAST(sum(path_length) AS DOUBLE) / count(*) AS avg_path_length,
+               CAST(sum(path_length * cnt) AS DOUBLE) / sum(cnt) AS weighted_path_length FROM n""",
+    "stream_path_conversions": f"""SELECT count(*) FILTER (WHERE has_purchase) AS conversion_paths,
+        count(*) FILTER (WHERE has_purchase AND end_page = 'payment') AS payment_end_paths FROM ({_CLOSED_PATHS})""",
     "stream_purchase_alerts": CLICK_SQL["purchase_alerts"],
     "stream_fan_out": f"""
         SELECT 'page_views' AS metric, date, page AS name, pv AS n FROM ({CLICK_SQL["page_views"]})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import word_array
 from tallyline.functions.times import LOG_ZONE, date_part_of, log_epoch_millis, time_slot
 from tallyline.operators.paths import WINDOW as PATH_WINDOW
-from tallyline.operators.paths import path_steps
+from tallyline.operators.paths import list_metrics, path_steps
 from tallyline.operators.profiles import FLAGS
 from tallyline.operators.profiles import WINDOW as PROFILE_WINDOW
 from tallyline.operators.windows import show_bounds
@@ -39,18 +39,8 @@ def user_paths(logs: DataFrame, window: int = PATH_WINDOW, delay: str = DELAY) -
     steps = path_steps(logs).withColumn("ts_ms", F.timestamp_millis("at"))
     rows = timed(steps, zone=LOG_ZONE, delay=delay)
     ordered = F.array_sort(F.collect_list(F.struct("at", "log_id", "page")))
-    paths = rows.groupBy(window_of(window), "user_id", "date").agg(
-        F.transform(ordered, lambda e: e["page"]).alias("path"),
-        F.bool_or(F.col("page") == "payment").alias("has_purchase"),
-        F.bool_or(F.col("page") == "search").alias("has_search"),
-        F.min("at").alias("start_time"),
-        F.max("at").alias("end_time"),
-    )
-    return show_bounds(
-        with_bounds(paths).withColumns(
-            {"path_length": F.size("path"), "duration": F.col("end_time") - F.col("start_time")}
-        )
-    )
+    paths = rows.groupBy(window_of(window), "user_id", "date").agg(ordered.alias("_steps"))
+    return show_bounds(with_bounds(paths.withColumns(list_metrics("_steps")).drop("_steps")))
 
 
 def daily_word_counts(logs: DataFrame) -> DataFrame:

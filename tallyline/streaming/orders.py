@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tallyline.functions.text import clean_id, filled, lenient_number
 from tallyline.functions.times import DAY, ORDER_ZONE, SECOND, floor_to, wall_date, wall_micros
@@ -13,9 +14,14 @@ from tallyline.operators.ranking import ranked_slots, text_list, top_n
 from tallyline.operators.windows import BOUNDS, show_bounds
 from tallyline.sources.sinks import start_batches, start_to_folder
 from tallyline.streaming.windows import (
-    DELAY, cumulative_row_batches, cumulative_sum_batches, slice_sums, timed, window_sums,
+    DELAY, LOCAL, cumulative_row_batches, cumulative_sum_batches, size_text, slice_sums, timed, window_sums,
+    with_clock,
 )
 
+MILLI = SECOND // 1000
+# Shares of a slice that keep their best rows on their own.
+SHARES = 16
+
 
 def window_sales(
     orders: DataFrame, size: int = STEP, slide: int | None = None, zone: str = ORDER_ZONE, delay: str = DELAY
@@ -28,36 +34,42 @@ def window_sales(
 
 def start_cumulative_sales(
     orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY,
-    zone: str = ORDER_ZONE, delay: str = DELAY, every: str | None = None,
+    zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None,
 ) -> StreamingQuery:
-    """Sales amount per cumulative window, into ``folder``/windows."""
+    """Sales amount per cumulative window, into ``folder``/windows; the delay is in microseconds."""
     name = "total_cumulative_amount"
-    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=delay)
+    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=size_text(delay))
     amount = lenient_number("total_amount", "decimal(10,2)")
     slices = slice_sums(rows, step, {name: amount}).withColumn(name, F.col(name).cast(MONEY))
-    write = cumulative_sum_batches(folder, [], [name], step, show_bounds, span)
-    return start_batches(slices, write, checkpoint, every=every)
+    write = cumulative_sum_batches(folder, [], [name], step, show_bounds, span, delay)
+    return start_batches(with_clock(slices, rows), write, checkpoint, every=every)
 
 
 def start_cumulative_top_products(
     orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY, n: int = 5,
-    zone: str = ORDER_ZONE, delay: str = DELAY, every: str | None = None,
+    zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None, with_total: bool = False,
 ) -> StreamingQuery:
-    """Best-selling products per cumulative window in the report form, into ``folder``/windows."""
+    """Best-selling products per cumulative window in the report form, into ``folder``/windows.
+
+    ``with_total`` adds the amount of the whole window; the delay is in microseconds.
+    """
     amounts = orders.select(
         "ts_ms", clean_id("product_id").alias("product_id"),
         F.col("total_amount").cast("decimal(18,2)").alias("total_amount"),
     )
-    sums = {"product_gmv": F.col("total_amount")}
-    slices = slice_sums(timed(amounts, zone=zone, delay=delay), step, sums, ["product_id"])
+    rows = timed(amounts, zone=zone, delay=size_text(delay))
+    slices = slice_sums(rows, step, {"product_gmv": F.col("total_amount")}, ["product_id"])
     slices = slices.withColumn("product_gmv", F.col("product_gmv").cast(MONEY))
 
     def finish(given: DataFrame) -> DataFrame:
-        result = top_products(given, n).withColumn("ds", wall_date("window_start"))
-        return show_bounds(result, as_text=True)
+        result = top_products(given, n)
+        if with_total:
+            total = F.sum("product_gmv").cast("decimal(18,2)").alias("total_gmv")
+            result = result.join(given.groupBy(*BOUNDS).agg(total), BOUNDS)
+        return show_bounds(result.withColumn("ds", wall_date("window_start")), as_text=True)
 
-    write = cumulative_sum_batches(folder, ["product_id"], ["product_gmv"], step, finish, span)
-    return start_batches(slices, write, checkpoint, every=every)
+    write = cumulative_sum_batches(folder, ["product_id"], ["product_gmv"], step, finish, span, delay)
+    return start_batches(with_clock(slices, rows), write, checkpoint, every=every)
 
 
 def start_tumbling_top_ids(
@@ -75,19 +87,69 @@ def start_tumbling_top_ids(
     return start_to_folder(sums, folder, checkpoint, every=every, batch=rank)
 
 
+BEST_ROWS = "_slice bigint, id string, _rank_by int, _at bigint, _amount string"
+BEST_STATE = "ids array<string>, ranks array<int>, ats array<bigint>, amounts array<string>"
+
+
+def slice_top_rows(rows: DataFrame, step: int, n: int) -> DataFrame:
+    """The n best rows of each slice and share, given out once the watermark has passed the slice.
+
+    ``rows`` hold ``id``, ``_rank_by``, ``_at``, ``_amount`` (text) and the watermarked
+    time. The rows of a slice are spread over shares by hash; the state of a share is
+    its n best rows, in the order of the batch form: rank downwards with NULL last,
+    then id, time and amount upwards with NULL first.
+    """
+
+    def best(key, batches, state):
+        from decimal import Decimal
+
+        import pandas as pd
+
+        def place(row):
+            name, rank, at, amount = row
+            return rank is None, -(rank or 0), name is not None, name or "", at, amount is not None, Decimal(amount or 0)
+
+        def shown(kept):
+            frame = pd.DataFrame(kept, columns=["id", "_rank_by", "_at", "_amount"], dtype=object)
+            frame.insert(0, "_slice", key[0])
+            return frame
+
+        end = (int(key[0]) + step) // 1000
+        kept = list(zip(*state.get)) if state.exists else []
+        if state.hasTimedOut or end <= state.getCurrentWatermarkMs():
+            if kept:
+                state.remove()
+                yield shown(kept)
+            return
+        for batch in batches:
+            plain = batch[["id", "_rank_by", "_at", "_amount"]].astype(object)
+            new = plain.where(plain.notna(), None).itertuples(index=False, name=None)
+            new = [(i, None if r is None else int(r), int(t), a) for i, r, t, a in new]
+            kept = sorted(kept + new, key=place)[:n]
+        state.update(tuple(list(values) for values in zip(*kept)))
+        state.setTimeoutTimestamp(end)
+
+    shares = rows.withColumns(
+        {"_slice": floor_to(F.col("_at"), step), "_share": F.pmod(F.xxhash64("id", "_at"), F.lit(SHARES))}
+    )
+    return shares.groupBy("_slice", "_share").applyInPandasWithState(
+        best, BEST_ROWS, BEST_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
 def start_cumulative_top_rows(
     orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY, n: int = 5,
     rank_by: str = "sale_num", zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None,
 ) -> StreamingQuery:
     """The n best order rows per cumulative window, into ``folder``/windows.
 
-    Each micro-batch is cut to the best rows of its slices; only those are kept. The
-    delay is in microseconds, as it is applied by the batches themselves.
+    The delay is in microseconds. Rows behind the watermark are late.
     """
-    rows = orders.where(filled("total_amount") & F.col("ts_ms").isNotNull()).select(
-        "id", lenient_number("total_amount", "decimal(10,2)").alias("_amount"),
-        lenient_number(rank_by, "int").alias("_rank_by"), wall_micros("ts_ms", zone).alias("_at"),
-    ).withColumn("_slice", floor_to(F.col("_at"), step))
+    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=size_text(delay)).select(
+        "id", lenient_number("total_amount", "decimal(10,2)").cast("string").alias("_amount"),
+        lenient_number(rank_by, "int").alias("_rank_by"), wall_micros("ts_ms", zone).alias("_at"), LOCAL,
+    )
+    slices = slice_top_rows(rows, step, n).withColumn("_amount", F.col("_amount").cast("decimal(10,2)"))
     order = [F.desc("_rank_by"), F.asc("id"), F.asc("_at"), F.asc("_amount")]
 
     def best(some: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,4 +164,6 @@ def start_cumulative_top_rows(
             )
         )
 
-    return start_batches(rows, cumulative_row_batches(folder, best, step, finish, span, delay), checkpoint, every=every)
+    # the state times out after the watermark has passed its time, in milliseconds
+    write = cumulative_row_batches(folder, best, step, finish, span, delay + MILLI)
+    return start_batches(with_clock(slices, rows), write, checkpoint, every=every)

@@ -14,6 +14,7 @@ from tallyline.sources.sinks import batch_folder
 
 DELAY = "5 seconds"
 LOCAL = "_local"
+CLOCK = "_clock"
 
 
 def timed(df: DataFrame, ts: str = "ts_ms", zone: str = ORDER_ZONE, delay: str = DELAY) -> DataFrame:
@@ -22,12 +23,12 @@ def timed(df: DataFrame, ts: str = "ts_ms", zone: str = ORDER_ZONE, delay: str =
     return known.withColumn(LOCAL, F.from_utc_timestamp(ts, zone)).withWatermark(LOCAL, delay)
 
 
-def _size(micros: int) -> str:
+def size_text(micros: int) -> str:
     return f"{micros} microseconds"
 
 
 def window_of(size: int, slide: int | None = None) -> Column:
-    return F.window(LOCAL, _size(size), _size(slide or size)).alias("_w")
+    return F.window(LOCAL, size_text(size), size_text(slide or size)).alias("_w")
 
 
 def with_bounds(df: DataFrame) -> DataFrame:
@@ -50,39 +51,47 @@ def slice_sums(df: DataFrame, step: int, sums: dict[str, Column], keys: list[str
     return closed.withColumnRenamed("window_start", "_slice").drop("window_end")
 
 
+def with_clock(slices: DataFrame, rows: DataFrame) -> DataFrame:
+    """Closed slices together with the event times of the rows they are made of.
+
+    A batch then knows how far the watermark had come when its slices closed, also
+    through stretches without any row. ``rows`` are the input of ``slices``.
+    """
+    clock = rows.select(F.unix_micros(LOCAL).alias(CLOCK))
+    return slices.unionByName(clock, allowMissingColumns=True)
+
+
 class CumulativeBatches:
-    """Cumulative windows from slices or rows, for ``foreachBatch``.
-
-    Between batches a table ``carry`` is kept: per key the value from the start of
-    the span up to the last window given out, and the slices that are still open. A
-    batch takes the carry of the batch before, adds its rows and gives out all
-    windows that ended in between. Work and storage follow the keys, not keys times
-    windows. Each batch writes folders of its own and reads only older ones, so a
-    replay gives the same rows again.
-
-    ``windows`` turns rows into window rows, ``finish`` makes the result of them and
-    ``combine`` reduces rows with equal ``_slice``. Input with a ``delay`` is open:
-    a slice closes that long (microseconds) after the latest ``at`` seen, and later
-    rows of it are dropped. Input without one holds closed slices only.
+    """Cumulative windows from closed slices, for ``foreachBatch``.
+
+    The engine closes the slices; a batch gives out all windows up to the watermark
+    that closed them, those of quiet stretches too. Between batches a table ``carry``
+    is kept, with one row per key: the value from the start of the span up to the last
+    window given out. Work follows the keys, not keys times windows. A batch reads one
+    of two carry folders and writes the other, so storage does not grow with time and
+    a replay of the last batch gives the same rows again.
+
+    Input is that of ``with_clock``. ``windows`` turns slices into window rows,
+    ``finish`` makes the result of them and ``combine`` reduces rows with equal
+    ``_slice``. ``delay`` (microseconds) is that of the watermark.
     """
 
     def __init__(
         self, folder: str, step: int, windows: Callable[[DataFrame, int], DataFrame],
         combine: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame], span: int = DAY,
-        at: str = "_slice", delay: int | None = None,
+        delay: int = 0,
     ):
-        self.folder, self.step, self.span = folder.rstrip("/"), step, span
+        self.folder, self.step, self.span, self.delay = folder.rstrip("/"), step, span, delay
         self.windows, self.combine, self.finish = windows, combine, finish
-        self.at, self.delay = at, -step if delay is None else delay
 
     def _last(self, spark, batch_id: int):
         """The mark of the batch before, or else the newest older one; None at the start.
 
         Every batch leaves a mark, so normally one small file is read however long
-        the query has been running. Older carry folders are not needed any more.
+        the query has been running.
         """
         home = f"{self.folder}/marks"
-        newest = F.max(F.struct("batch_id", "carry_id", "last_end", "latest")).alias("m")
+        newest = F.max(F.struct("batch_id", "slot", "last_end", "latest")).alias("m")
         for path in (f"{home}/batch_id={batch_id - 1}", home):
             try:
                 marks = spark.read.option("basePath", home).parquet(path)
@@ -95,49 +104,49 @@ class CumulativeBatches:
                 return mark
         return None
 
-    def _mark(self, spark, batch_id: int, carry_id: int, last_end: int, latest: int) -> None:
-        values = {"carry_id": carry_id, "last_end": last_end, "latest": latest}
+    def _mark(self, spark, batch_id: int, slot: int | None, last_end: int | None, latest: int | None) -> None:
+        values = {"slot": slot, "last_end": last_end, "latest": latest}
         row = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in values.items()])
-        batch_folder(f"{self.folder}/marks")(row, batch_id)
+        batch_folder(f"{self.folder}/marks")(row.coalesce(1), batch_id)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         given = rows.persist()
         try:
-            latest = rows.agg(F.max(self.at)).first()[0]
+            seen = given.agg(F.max(CLOCK)).first()[0]
             last = self._last(spark, batch_id)
-            if latest is not None:
-                self._store(rows, latest, last, batch_id)
-            elif last is not None:
-                self._mark(spark, batch_id, last["carry_id"], last["last_end"], last["latest"])
+            slot, last_end, before = (last["slot"], last["last_end"], last["latest"]) if last else (None, None, None)
+            # the watermark of a batch comes from the batches before it
+            closed = None if before is None else (before - self.delay) // self.step * self.step
+            if closed is not None and (last_end is None or closed > last_end):
+                slices = given.where(F.col("_slice").isNotNull()).drop(CLOCK)
+                slot, last_end = self._store(slices, slot, last_end, closed, batch_id), closed
+            latest = max((t for t in (seen, before) if t is not None), default=None)
+            self._mark(spark, batch_id, slot, last_end, latest)
         finally:
             given.unpersist()
 
-    def _store(self, rows: DataFrame, latest: int, last, batch_id: int) -> None:
-        spark = rows.sparkSession
-        closes = F.col("_slice") + self.step
-        if last is not None:
-            latest = max(latest, last["latest"])
-            carry = spark.read.parquet(f"{self.folder}/carry/batch_id={last['carry_id']}")
-            rows = rows.where(closes > last["last_end"]).select(*carry.columns).unionByName(carry)
-        last_end = (latest - self.delay) // self.step * self.step
-        if last is not None:
-            last_end = max(last_end, last["last_end"])
-        ended = self.windows(rows.where(closes <= last_end), last_end)
-        if last is not None:
-            ended = ended.where(F.col("window_end") > last["last_end"])
+    def _store(self, slices: DataFrame, slot: int | None, before: int | None, closed: int, batch_id: int) -> int:
+        """Gives out the windows that end after ``before`` up to ``closed``; returns the slot of the carry."""
+        if slot is not None:
+            carry = slices.sparkSession.read.parquet(f"{self.folder}/carry/{slot}")
+            slices = slices.select(*carry.columns).unionByName(carry)
+        ended = self.windows(slices, closed)
+        if before is not None:
+            ended = ended.where(F.col("window_end") > before)
         batch_folder(f"{self.folder}/windows")(self.finish(ended), batch_id)
 
-        open_span = floor_to(F.col("_slice"), self.span) + self.span > last_end
-        place = F.when(closes > last_end, F.col("_slice")).otherwise(last_end - self.step)
-        next_carry = self.combine(rows.where(open_span).withColumn("_slice", place))
-        batch_folder(f"{self.folder}/carry")(next_carry, batch_id)
-        self._mark(spark, batch_id, batch_id, last_end, latest)
+        open_span = floor_to(F.col("_slice"), self.span) + self.span > closed
+        place = F.greatest(F.col("_slice"), F.lit(closed - self.step))
+        next_slot = 1 - (slot or 0)
+        kept = self.combine(slices.where(open_span).withColumn("_slice", place))
+        kept.write.mode("overwrite").parquet(f"{self.folder}/carry/{next_slot}")
+        return next_slot
 
 
 def cumulative_sum_batches(
     folder: str, keys: list[str], sums: list[str], step: int, finish: Callable[[DataFrame], DataFrame],
-    span: int = DAY,
+    span: int = DAY, delay: int = 0,
 ) -> CumulativeBatches:
     """Running sums per key and cumulative window."""
 
@@ -148,17 +157,17 @@ def cumulative_sum_batches(
         types = dict(rows.dtypes)
         return rows.groupBy("_slice", *keys).agg(*[F.sum(s).cast(types[s]).alias(s) for s in sums])
 
-    return CumulativeBatches(folder, step, windows, combine, finish, span)
+    return CumulativeBatches(folder, step, windows, combine, finish, span, delay)
 
 
 def cumulative_row_batches(
     folder: str, best: Callable[[DataFrame, list[str]], DataFrame], step: int,
     finish: Callable[[DataFrame], DataFrame], span: int = DAY, delay: int = 0,
 ) -> CumulativeBatches:
-    """Best rows per cumulative window, from open rows with ``_at`` and ``_slice``.
+    """Best rows per cumulative window, from the best rows of closed slices.
 
     ``best(rows, keys)`` keeps the top rows of each group, so the carry holds only the
-    top rows of the span and of the slices that are still open.
+    top rows of the span.
     """
 
     def windows(rows: DataFrame, last_end: int) -> DataFrame:
@@ -167,4 +176,4 @@ def cumulative_row_batches(
     def combine(rows: DataFrame) -> DataFrame:
         return best(rows, ["_slice"])
 
-    return CumulativeBatches(folder, step, windows, combine, finish, span, "_at", delay)
+    return CumulativeBatches(folder, step, windows, combine, finish, span, delay)

@@ -19,7 +19,7 @@ ORDER_ROW = T.StructType(
         T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DecimalType(18, 2)),
     ]
 )
-PAGE_LAYOUT = web.PageLayout(title=r"<h1[^>]*>([^<]*)", content=r"(?s)<article>(.*)</article>")
+PAGE_LAYOUT = web.PageLayout(title=web.Block("h1"), content=web.Block("article"))
 BASE = "https://pages.example.com/"
 
 
@@ -97,13 +97,29 @@ def fields(spark: SparkSession, folder: str) -> DataFrame:
     return web.page_fields(table(spark, folder, "pages"), PAGE_LAYOUT)
 
 
+def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a detail page: nested and upper-case tags, references, a footer behind the text."""
+    page, address = F.col("page_id").cast("string"), F.replace("url", F.lit("&"), F.lit("&amp;"))
+    parts = [
+        "<html><body><H1 align='center' data-title='no'>Page &#78;&#x6f; ", page, " &amp; more<br></H1>",
+        "<p class='xx'>来源：office", page, " <b>发布日期：2024-01-", page, "</b> read</p><p>〔2024〕", page, "号</p>",
+        '<div class="v_news_content"><div><p>', address, "<p>second &lt;", page, "&gt;</div><!-- </div> --><P>third</P></div>",
+        "<div class='footer'>footer</div></body></html>",
+    ]
+    html = F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+    return table(spark, folder, "pages").select(F.concat(F.lit(f"{BASE}p"), page).alias("url"), html.alias("html"))
+
+
+def details(spark: SparkSession, folder: str) -> DataFrame:
+    return web.page_fields(detail_pages(spark, folder))
+
+
 def merged(spark: SparkSession, folder: str) -> DataFrame:
-    """Links with the fields of their pages; the pages are addressed by their first link name."""
-    pages = table(spark, folder, "pages")
-    by_link = pages.withColumn("url", F.concat(F.lit(BASE), F.lit("p"), F.col("page_id") % 50))
-    listed = links(spark, folder).withColumn("link", F.concat(F.lit(BASE), F.lit("p"), F.length("name") % 60))
-    titles = web.page_fields(by_link, PAGE_LAYOUT).groupBy("url").agg(F.max("title").alias("title"))
-    return web.merged_pages(listed, titles)
+    """All links with the fields of their pages: a link leads as many pages on as its name is long."""
+    pages = table(spark, folder, "pages").withColumn("url", F.col("page_id").cast("string"))
+    listed = web.page_links(pages, BASE)
+    target = F.concat(F.lit(f"{BASE}p"), F.col("page_url").cast("bigint") + F.length("name"))
+    return web.merged_pages(listed.withColumn("link", target), details(spark, folder))
 
 
 QUERIES = {
@@ -116,6 +132,7 @@ QUERIES = {
     "load_devices": loaded_devices,
     "page_links": links,
     "page_fields": fields,
+    "page_detail_fields": details,
     "merged_pages": merged,
 }
 
@@ -123,21 +140,33 @@ _CLEAN = """p AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_repl
     '<script\\b.*?</script\\s*>', '', 'gsi'), '<style\\b.*?</style\\s*>', '', 'gsi') AS h FROM pages)"""
 
 
+# Character references of the given pages, the ampersand last.
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+    ("&copy;", "©"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&"),
+]
+
+
 def _decoded(text: str) -> str:
-    for name, char in web.ENTITIES:
+    for name, char in ENTITIES:
         text = f"replace({text}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
     return text
 
 
 _LINKS = f"""{_CLEAN},
-    a AS (SELECT url, unnest(regexp_extract_all(h, '<li[^>]*>\\s*(<a\\b[^>]*>.*?)</a>', 1, 's')) AS a FROM p),
-    b AS (SELECT url, trim(regexp_extract(a, 'href=["'']([^"'']*)["'']', 1)) AS href,
+    a AS (SELECT page_id, url, unnest(regexp_extract_all(h, '<li[^>]*>\\s*(<a\\b[^>]*>.*?)</a>', 1, 's')) AS a FROM p),
+    b AS (SELECT page_id, url, trim(regexp_extract(a, 'href=["'']([^"'']*)["'']', 1)) AS href,
                  trim({_decoded("regexp_replace(a, '<[^>]*>', '', 'g')")}) AS t FROM a),
-    n AS (SELECT url AS page_url, CASE WHEN href LIKE 'http%' THEN href
+    n AS (SELECT page_id, url AS page_url, CASE WHEN href LIKE 'http%' THEN href
                    ELSE '{BASE}' || regexp_replace(href, '^/+', '') END AS link,
                  CASE WHEN length(t) > 10 AND contains(substring(t, 1, 10), '-') THEN trim(substring(t, 11)) ELSE t END AS name
           FROM b WHERE href <> '' AND t <> '')"""
 _TITLE = "trim(" + _decoded("regexp_extract(h, '<h1[^>]*>([^<]*)', 1)") + ")"
+# What the detail pages say, without any markup.
+_DETAILS = f"""d AS (SELECT '{BASE}p' || page_id AS url, 'Page No ' || page_id || ' & more' AS title,
+    'office' || page_id AS publish_dept, '2024-01-' || page_id AS publish_date, '〔2024〕' || page_id || '号' AS doc_number,
+    'office' || page_id AS source,
+    url || E'\\n\\n' || 'second <' || page_id || '>' || E'\\n\\n' || 'third' AS content FROM pages)"""
 _WORDS = CLICK_SQL["item_daily_top_words"].split("SELECT day, string_agg")[0]
 
 SQL = {
@@ -160,7 +189,7 @@ SQL = {
     "load_devices": f"""
         SELECT platform, brand, model, stat_date, CASE WHEN model = 'm1' THEN NULL ELSE count END AS count,
                TRUE AS has_proc_time FROM ({CLICK_SQL["device_models"]})""",
-    "page_links": f"WITH {_LINKS} SELECT * FROM n",
+    "page_links": f"WITH {_LINKS} SELECT * EXCLUDE (page_id) FROM n",
     "page_fields": f"""WITH {_CLEAN},
         t AS (SELECT url, {_TITLE} AS title,
                      [trim({_decoded("x")}, E' \\t\\r\\n') FOR x IN
@@ -168,8 +197,10 @@ SQL = {
                                                   '<[^>]*>', chr(1), 'g'), chr(1))] AS nodes FROM p)
         SELECT url, title, '' AS publish_dept, '' AS publish_date, '' AS doc_number, '' AS source,
                array_to_string([x FOR x IN nodes IF x <> ''], E'\\n\\n') AS content FROM t""",
-    "merged_pages": f"""WITH {_LINKS},
-        t AS (SELECT '{BASE}p' || (page_id % 50) AS link, max({_TITLE}) AS title FROM p GROUP BY 1),
-        m AS (SELECT '{BASE}p' || (length(name) % 60) AS link, name FROM n)
-        SELECT m.link, name, coalesce(title, '') AS title FROM m LEFT JOIN t USING (link)""",
+    "page_detail_fields": f"WITH {_DETAILS} SELECT * FROM d",
+    "merged_pages": f"""WITH {_LINKS}, {_DETAILS},
+        m AS (SELECT '{BASE}p' || (page_id + length(name)) AS url, name FROM n)
+        SELECT m.url AS link, name, coalesce(title, '') AS title, coalesce(publish_dept, '') AS publish_dept,
+               coalesce(publish_date, '') AS publish_date, coalesce(doc_number, '') AS doc_number,
+               coalesce(source, '') AS source, coalesce(content, '') AS content FROM m LEFT JOIN d USING (url)""",
 }

@@ -223,3 +223,30 @@ def test_web_fields(spark):
     assert (one.title, one.source, one.publish_dept, one.publish_date) == ("通知", "教育部", "教育部", "2025-10-27")
     assert (one.doc_number, one.content) == ("教基〔2025〕6号", "第一 段\n\n第二 段")
     assert rows["https://other.example.org/2.htm"].content == ""
+
+
+def test_web_nesting(spark):
+    """Footers, nested blocks, anchors anywhere in an entry, attribute names, letter case, references."""
+    from tallyline.operators import web
+
+    base = "https://base.example.org/"
+    pages = {
+        "nested": "<div class='fylb'><div><p>x</p></div><ul><li><a href='1'>one</a></li></ul></div>"
+                  "<div class='fylb'><ul><li><span>new</span> <a href='2'>two</a><a href='3'>three</a></ul></div>"
+                  "<ul><li><a href='4'>outside</a></li></ul>",
+        "names": "<link rel='x'><DIV CLASS='fylb'><UL><LI><A data-href='no' data-title='no' HREF=5 title=''>&#20116;&#x4e94;</A></LI></UL></DIV>",
+        "none": None, "empty": "", "odd": "<div class='fylb'><![if x]><ul><li><a href='6'>six<li><a href='7'>seven",
+    }
+    rows = spark.createDataFrame(list(pages.items()), "url string, html string")
+    got = sorted((r.page_url, r.link.removeprefix(base), r.name) for r in web.page_links(rows, base, web.PageLayout()).collect())
+    assert got == [
+        ("names", "5", "五五"), ("nested", "1", "one"), ("nested", "2", "two"), ("nested", "3", "three"),
+        ("odd", "6", "six"), ("odd", "7", "seven"),
+    ]
+    assert web.page_links(rows, base).where("name = 'outside'").count() == 1
+    page = ("<h1>no</h1><h1 align=center>T</h1><div class=v_news_content><div>a</div>b</div><div>footer</div>"
+            "<div class=v_news_content>again</div>")
+    fields = web.page_fields(spark.createDataFrame([("p", page), ("n", None)], "url string, html string")).collect()
+    by_url = {r.url: r for r in fields}
+    assert (by_url["p"].title, by_url["p"].content) == ("T", "a\n\nb")
+    assert set(by_url["n"][1:]) == {""}

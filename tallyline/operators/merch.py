@@ -42,12 +42,14 @@ TIMES = {"visits": "visit_time", "favourites": "favorite_time", "carts": "cart_t
 
 FLAGS = ["visited", "clicked", "favourited", "carted", "paid"]
 SUMS = ["pv", "order_count", "pay_amount", "pay_quantity"]
+NEW = "pay_new_buyer_count"
 
 
-def clean_details(raw: DataFrame, kind: str) -> DataFrame:
+def clean_details(raw: DataFrame, kind: str, key: list[str] | None = None) -> DataFrame:
     """Typed rows of one detail table with day key ``ds``; repeated rows are kept once.
 
-    Text is trimmed, values of a wrong type become NULL, and rows without user,
+    Rows repeat each other if they are equal in all columns or, with a ``key``, in that;
+    the largest of them stays. An empty ``key`` keeps all rows. Text is trimmed, values of a wrong type become NULL, and rows without user,
     product, shop or time are dropped.
     """
     typed = raw.select(
@@ -58,7 +60,13 @@ def clean_details(raw: DataFrame, kind: str) -> DataFrame:
     )
     for needed in ("user_id", "product_id", "shop_id", TIMES[kind]):
         typed = typed.where(F.col(needed).isNotNull())
-    return typed.dropDuplicates().withColumn("ds", F.col(TIMES[kind]).cast("date").cast("string"))
+    if key is None:
+        typed = typed.dropDuplicates()
+    elif key:
+        rest = [c for c in typed.columns if c not in key]
+        largest = typed.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_rest"))
+        typed = largest.select(*[F.col(c if c in key else f"_rest.{c}") for c in typed.columns])
+    return typed.withColumn("ds", F.col(TIMES[kind]).cast("date").cast("string"))
 
 
 def _tagged(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
@@ -154,11 +162,18 @@ def trailing_summary(activity: DataFrame, days: int) -> DataFrame:
 
     Users are counted once per period without repeating their rows for every report
     day: a user counts from an active day until the period has passed or the next
-    active day begins, i.e. +1 and -1 on two days, summed up over time.
+    active day begins, i.e. +1 and -1 on two days, summed up over time. A buyer is new
+    in a period that holds the first purchase of the product, else returning.
     """
-    flags = {"visited": "visitor_count", "favourited": "favorite_count", "carted": "cart_count", "paid": "buyer_count"}
+    flags = {
+        "visited": "visitor_count", "clicked": "_clickers", "favourited": "favorite_count", "carted": "cart_count",
+        "paid": "buyer_count",
+    }
     day = F.unix_date(F.col("ds").cast("date"))
     rows = activity.select(*PRODUCT, "user_id", day.alias("_day"), *flags, *SUMS)
+    first = F.min(F.when(F.col("paid"), F.col("_day"))).over(Window.partitionBy(*PRODUCT, "user_id"))
+    rows = rows.withColumn(NEW, (F.col("paid") & (F.col("_day") == first)).cast("bigint"))
+    sums = [*SUMS, NEW]
     later = Window.partitionBy(*PRODUCT, "user_id").orderBy(F.desc("_day")).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -172,12 +187,12 @@ def trailing_summary(activity: DataFrame, days: int) -> DataFrame:
     changes = [
         F.struct(
             F.col("_day").alias("_day"), F.lit(1).cast("bigint").alias("_active"),
-            *[F.col(f).cast("bigint").alias(f) for f in flags], *[F.col(s).alias(s) for s in SUMS],
+            *[F.col(f).cast("bigint").alias(f) for f in flags], *[F.col(s).alias(s) for s in sums],
         )
     ]
     for f in flags:
         nothing = [
-            (F.lit(0).cast("decimal(28,2)") if s == "pay_amount" else F.lit(0).cast("bigint")).alias(s) for s in SUMS
+            (F.lit(0).cast("decimal(28,2)") if s == "pay_amount" else F.lit(0).cast("bigint")).alias(s) for s in sums
         ]
         changes.append(
             F.struct(
@@ -185,7 +200,7 @@ def trailing_summary(activity: DataFrame, days: int) -> DataFrame:
                 *[F.lit(-1 if g == f else 0).cast("bigint").alias(g) for g in flags], *nothing,
             )
         )
-    measures = [*flags, *SUMS]
+    measures = [*flags, *sums]
     per_day = (
         rows.withColumns(ends)
         .select(*PRODUCT, F.inline(F.array(*[F.when(c["_day"].isNotNull(), c) for c in changes])))
@@ -199,12 +214,22 @@ def trailing_summary(activity: DataFrame, days: int) -> DataFrame:
     counted = per_day.withColumns(
         {
             **{flags[f]: F.sum(f).over(so_far) for f in flags},
-            **{f"_{s}": F.sum(s).over(period) for s in SUMS},
+            **{f"_{s}": F.sum(s).over(period) for s in sums},
         }
     ).where(F.col("_active") > 0)
-    return counted.select(
+    amount = F.col("_pay_amount").cast("decimal(38,2)")
+    periods = counted.select(
         *PRODUCT, F.date_from_unix_date("_day").cast("string").alias("ds"), *flags.values(),
-        *[(F.col(f"_{s}").cast("decimal(38,2)") if s == "pay_amount" else F.col(f"_{s}")).alias(s) for s in SUMS],
+        *[(amount if s == "pay_amount" else F.col(f"_{s}")).alias(s) for s in sums],
+    )
+    bounced = F.col("visitor_count") - F.col("_clickers")
+    return with_rates(
+        periods.withColumns(
+            {
+                "bounce_rate": ratio(bounced, F.col("visitor_count")),
+                "pay_old_buyer_count": F.col("buyer_count") - F.col(NEW),
+            }
+        ).drop("_clickers")
     )
 
 
@@ -269,14 +294,17 @@ def sku_sales(orders: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
-def stock_days(sales: DataFrame, stock: DataFrame, days: int) -> DataFrame:
+def stock_days(orders: DataFrame, stock: DataFrame, days: int, last: str) -> DataFrame:
     """Days that the stock lasts at the mean daily sales of the period; NULL without sales.
 
-    ``sales`` from ``sku_sales`` over ``days`` days, ``stock`` with ``sku_id`` and
-    ``current_stock``.
+    The period are the ``days`` days up to ``last``. Input: ``orders`` with ``sku_id``,
+    ``ds`` and ``quantity``, ``stock`` with ``sku_id`` and ``current_stock``.
     """
+    day, end = F.col("ds").cast("date"), F.lit(last).cast("date")
+    held = orders.where((day > F.date_sub(end, days)) & (day <= end))
+    sales = held.groupBy("sku_id").agg(F.sum("quantity").alias("pay_quantity"))
     mean = ratio(F.coalesce("pay_quantity", F.lit(0)), F.lit(days))
-    joined = stock.select("sku_id", "current_stock").join(sales.select("sku_id", "pay_quantity"), "sku_id", "left")
+    joined = stock.select("sku_id", "current_stock").join(sales, "sku_id", "left")
     return joined.withColumn("stock_sale_days", ratio(F.col("current_stock"), mean))
 
 

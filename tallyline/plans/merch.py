@@ -11,6 +11,7 @@ from tallyline.plans.standins import DETAILS_SQL, details, table
 PRICE_BANDS = [100, 1000, 2000]
 QUANTITY_BANDS = [10, 25, 50]
 AMOUNT_BANDS = [1000, 20000, 80000]
+LAST_DAY = "2024-01-30"
 
 
 def cleaned(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -76,14 +77,18 @@ def skus(spark: SparkSession, folder: str) -> DataFrame:
     return merch.sku_sales(_sku_orders(spark, folder))
 
 
-def stock(spark: SparkSession, folder: str) -> DataFrame:
-    """Stock from the parts: one row per part and third SKU."""
-    part = table(spark, folder, "part")
-    rows = part.select(
-        F.concat(F.col("p_partkey"), F.lit("-"), F.col("p_partkey") % 3).alias("sku_id"),
-        (F.col("p_size") * 10).alias("current_stock"),
-    )
-    return merch.stock_days(skus(spark, folder), rows, 30)
+def stock(days: int):
+    """Stock from the parts, one row per part and third SKU, at the sales up to the last day of the events."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        part = table(spark, folder, "part")
+        rows = part.select(
+            F.concat(F.col("p_partkey"), F.lit("-"), F.col("p_partkey") % 3).alias("sku_id"),
+            (F.col("p_size") * 10).alias("current_stock"),
+        )
+        return merch.stock_days(_sku_orders(spark, folder), rows, days, LAST_DAY)
+
+    return query
 
 
 def traffic(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,7 +118,8 @@ QUERIES = {
     "segment_analysis": segments,
     "product_ranking": ranking,
     "sku_sales": skus,
-    "stock_days": stock,
+    "stock_days": stock(30),
+    "stock_days_7d": stock(7),
     "traffic_sources": traffic,
     "order_touches": touches,
     "channel_attribution": attribution,
@@ -162,10 +168,30 @@ def _trailing_sql(days: int) -> str:
     window = f"""OVER (PARTITION BY shop_id, product_id ORDER BY CAST(ds AS DATE)
         RANGE BETWEEN INTERVAL {days - 1} DAY PRECEDING AND CURRENT ROW)"""
     return f"""{_D}, {_PRODUCT},
+        fb AS (SELECT shop_id, product_id, user_id, min(CAST(ds AS DATE)) AS first_day FROM b GROUP BY ALL),
         d AS (SELECT shop_id, product_id, ds, sum(pv) {window} AS pv, sum(order_count) {window} AS order_count,
-                     sum(pay_amount) {window} AS pay_amount, sum(pay_quantity) {window} AS pay_quantity FROM ps)
-        SELECT d.*, {users('visitor_count', 'v')}, {users('favorite_count', 'f', 'NOT is_cancel')},
-               {users('cart_count', 'k')}, {users('buyer_count', 'b')} FROM d"""
+                     sum(pay_amount) {window} AS pay_amount, sum(pay_quantity) {window} AS pay_quantity FROM ps),
+        c AS (SELECT d.*, {users('visitor_count', 'v')}, {users('clickers', 'v', 'has_click')},
+               {users('favorite_count', 'f', 'NOT is_cancel')}, {users('cart_count', 'k')}, {users('buyer_count', 'b')},
+               (SELECT count(*) FROM fb x WHERE x.shop_id = d.shop_id AND x.product_id = d.product_id AND first_day
+                BETWEEN CAST(d.ds AS DATE) - {days - 1} AND CAST(d.ds AS DATE)) AS pay_new_buyer_count FROM d)
+        SELECT * EXCLUDE (clickers), buyer_count - pay_new_buyer_count AS pay_old_buyer_count,
+               CAST(visitor_count - clickers AS DOUBLE) / nullif(visitor_count, 0) AS bounce_rate,
+               CAST(favorite_count AS DOUBLE) / nullif(visitor_count, 0) AS visit_to_favorite_rate,
+               CAST(cart_count AS DOUBLE) / nullif(visitor_count, 0) AS visit_to_cart_rate,
+               CAST(order_count AS DOUBLE) / nullif(visitor_count, 0) AS visit_to_order_rate,
+               CAST(buyer_count AS DOUBLE) / nullif(visitor_count, 0) AS pay_conversion_rate,
+               CAST(pay_amount AS DOUBLE) / nullif(buyer_count, 0) AS unit_price FROM c"""
+
+
+def _stock_sql(days: int) -> str:
+    return f"""{_D},
+        sk AS (SELECT sku_id, sum(quantity) AS pay_quantity FROM b WHERE CAST(ds AS DATE)
+               BETWEEN DATE '{LAST_DAY}' - {days - 1} AND DATE '{LAST_DAY}' GROUP BY 1),
+        st AS (SELECT p_partkey || '-' || (p_partkey % 3) AS sku_id, p_size * 10 AS current_stock FROM part)
+        SELECT sku_id, current_stock, pay_quantity,
+               CAST(current_stock AS DOUBLE) / nullif(CAST(coalesce(pay_quantity, 0) AS DOUBLE) / {days}, 0)
+                 AS stock_sale_days FROM st LEFT JOIN sk USING (sku_id)"""
 
 
 def _band_sql(value: str, bounds: list) -> str:
@@ -213,11 +239,8 @@ SQL = {
         SELECT *, CAST(pay_quantity AS DOUBLE) / CAST(sum(pay_quantity) OVER (PARTITION BY shop_id, product_id) AS DOUBLE)
                     AS quantity_ratio,
                rank() OVER (PARTITION BY shop_id, product_id ORDER BY pay_quantity DESC) AS sales_rank FROM sk""",
-    "stock_days": f"""{_D}, {_SKU},
-        st AS (SELECT p_partkey || '-' || (p_partkey % 3) AS sku_id, p_size * 10 AS current_stock FROM part)
-        SELECT sku_id, current_stock, pay_quantity,
-               CAST(current_stock AS DOUBLE) / nullif(CAST(coalesce(pay_quantity, 0) AS DOUBLE) / 30, 0)
-                 AS stock_sale_days FROM st LEFT JOIN sk USING (sku_id)""",
+    "stock_days": _stock_sql(30),
+    "stock_days_7d": _stock_sql(7),
     "traffic_sources": f"""{_D},
         x AS (SELECT DISTINCT shop_id, ds, visit_reason, user_id FROM v),
         y AS (SELECT DISTINCT shop_id, ds, user_id, 1 AS paid FROM b),

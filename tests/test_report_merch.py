@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -157,7 +157,7 @@ def test_trailing_counts_users_once(spark):
         (F.col("id") * 31 % 7).cast("string").alias("user_id"),
         F.date_add(F.lit("2025-10-01").cast("date"), (F.col("id") * 17 % 23).cast("int")).cast("string").alias("ds"),
         (F.col("id") % 3 == 0).alias("visited"), F.lit(False).alias("clicked"), (F.col("id") % 4 == 0).alias("favourited"),
-        F.lit(True).alias("carted"), F.lit(False).alias("paid"), F.lit(1).cast("bigint").alias("pv"),
+        F.lit(True).alias("carted"), (F.col("id") % 5 == 0).alias("paid"), F.lit(1).cast("bigint").alias("pv"),
         F.lit(0).cast("bigint").alias("order_count"), F.lit(1).cast("decimal(28,2)").alias("pay_amount"),
         F.lit(1).cast("bigint").alias("pay_quantity"),
     )
@@ -170,7 +170,11 @@ def test_trailing_counts_users_once(spark):
             held = [x for x in raw if x.product_id == r.product_id and 0 <= (last - datetime.fromisoformat(x.ds)).days < days]
             assert r.visitor_count == len({x.user_id for x in held if x.visited})
             assert r.favorite_count == len({x.user_id for x in held if x.favourited})
-            assert (r.cart_count, r.buyer_count, r.pv) == (len({x.user_id for x in held}), 0, sum(x.pv for x in held))
+            assert (r.cart_count, r.pv) == (len({x.user_id for x in held}), sum(x.pv for x in held))
+            buyers = {x.user_id for x in held if x.paid}
+            before = (last - timedelta(days=days - 1)).date().isoformat()
+            old = {x.user_id for x in raw if x.paid and x.product_id == r.product_id and x.ds < before}
+            assert (r.buyer_count, r.pay_new_buyer_count, r.pay_old_buyer_count) == (len(buyers), len(buyers - old), len(buyers & old))
 
 
 def test_touches_of_one_busy_user(spark):
@@ -189,10 +193,23 @@ def test_touches_of_one_busy_user(spark):
     assert got == want
 
 
-def test_stock_without_sales(spark):
-    sales = spark.createDataFrame([("a", 60), ("b", 0)], "sku_id string, pay_quantity long")
+def test_stock_days(spark):
+    """Only the sales of the period count; no sales, no value."""
+    sold = [("a", "2025-10-30", 40), ("a", "2025-10-01", 20), ("a", "2025-09-30", 500), ("a", "2025-10-31", 500), ("b", "2025-10-02", 0)]
+    orders = spark.createDataFrame(sold, "sku_id string, ds string, quantity long")
     stock = spark.createDataFrame([("a", 10), ("b", 5), ("c", 5)], "sku_id string, current_stock long")
-    assert {r.sku_id: r.stock_sale_days for r in merch.stock_days(sales, stock, 30).collect()} == {"a": 5.0, "b": None, "c": None}
+    got = merch.stock_days(orders, stock, 30, "2025-10-30").collect()
+    assert {r.sku_id: r.stock_sale_days for r in got} == {"a": 5.0, "b": None, "c": None}
+
+
+def test_cleaning_by_key(spark):
+    t = "2025-10-27 10:00:00"
+    rows = [("u1", "p", "s", t, "pc"), ("u1", "p", "s", t, "pc"), ("u1", "p", "s", t, "wireless"), ("u2", "p", "s", t, "pc")]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in merch.DETAILS["carts"]))
+    assert merch.clean_details(raw, "carts").count() == 3
+    assert merch.clean_details(raw, "carts", []).count() == 4
+    kept = merch.clean_details(raw, "carts", ["user_id"]).collect()
+    assert {(r.user_id, r.terminal_type) for r in kept} == {("u1", "wireless"), ("u2", "pc")}
 
 
 def test_bands(spark):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import common
 
-#: Runs merged by one exchange, and exchanges: FAN ** LEVELS runs.
+#: Runs merged by one exchange, and the fewest exchanges.
 FAN, LEVELS = 16, 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -39,11 +39,22 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def merged(rows: DataFrame, fan: int = FAN, levels: int = LEVELS) -> DataFrame:
+def rounds(spark: SparkSession, fan: int = FAN) -> int:
+    """Exchanges that give every shuffle partition of the session a run of its own."""
+    partitions, levels = int(spark.conf.get("spark.sql.shuffle.partitions")), LEVELS
+    while fan**levels < partitions:
+        levels += 1
+    return levels
+
+
+def merged(rows: DataFrame, fan: int = FAN, levels: int | None = None) -> DataFrame:
     """(digest, check, bytes, keep_id, group_size) once per text, by rounds of exchanges.
 
     The largest identifier of a text stays; a null identifier only if there is no other.
+    The number of rounds follows the session's shuffle partitions unless it is given;
+    the result does not depend on it.
     """
+    levels = rounds(rows.sparkSession, fan) if levels is None else levels
     runs = fan**levels
     keys = ["slot", "digest", "check", "bytes"]
     slice_of = F.pmod(F.xxhash64("digest"), F.lit(runs))

@@ -50,6 +50,18 @@ def test_exact_tree_of_any_size(spark):
         assert sorted((r.keep_id, r.group_size) for r in got.collect()) == sorted((max(range(k, 3000, 17)), len(range(k, 3000, 17))) for k in range(17))
 
 
+def test_exact_rounds_follow_the_partitions(spark):
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = []
+        for n in ("2", "256", "257", "4097"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(exact.rounds(spark))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert got == [2, 2, 3, 4]
+
+
 def test_pieces_of_packing(docs):
     out = packing.packed(docs, packing.vocabulary()).collect()
     assert sum(r.length for r in out if r.doc_id == 5) == next(r.doc_tokens for r in out if r.doc_id == 5) > 2048

@@ -13,11 +13,14 @@ from tallyline.operators.ranking import top_n
 from tallyline.operators.skew import hash_part
 
 
-def page_views(logs: DataFrame) -> DataFrame:
-    """Views per date and page; rows without a page or a time are left out."""
+def page_views(logs: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Views per date and page; rows without a page or a time are left out.
+
+    ``extra``: further columns to group by, here and below.
+    """
     rows = logs.where(F.col("log_type").isNotNull() & F.col("formatted_time").isNotNull())
     return rows.groupBy(
-        date_part_of("formatted_time").alias("date"), F.col("log_type").alias("page")
+        *(extra or []), date_part_of("formatted_time").alias("date"), F.col("log_type").alias("page")
     ).agg(F.count("*").alias("pv"))
 
 
@@ -43,10 +46,10 @@ def region_logins(logs: DataFrame) -> DataFrame:
     return rows.groupBy(region.alias("region")).agg(F.count("*").alias("cnt"))
 
 
-def raw_devices(logs: DataFrame) -> DataFrame:
+def raw_devices(logs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Rows per date and raw device texts."""
     return logs.where(filled("formatted_time")).groupBy(
-        date_part_of("formatted_time").alias("date"), "plat", "brand"
+        *(extra or []), date_part_of("formatted_time").alias("date"), "plat", "brand"
     ).agg(F.count("*").alias("cnt"))
 
 
@@ -95,10 +98,10 @@ def top_brands_of(counts: DataFrame, n: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("cnt"), "brand").limit(n)
 
 
-def device_models(logs: DataFrame) -> DataFrame:
+def device_models(logs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Rows per platform, brand, model and date, the shape of the stored device table."""
     return logs.where(filled("formatted_time")).groupBy(
-        platform_label("plat").alias("platform"), "brand", "model",
+        *(extra or []), platform_label("plat").alias("platform"), "brand", "model",
         date_part_of("formatted_time").try_cast("date").alias("stat_date"),
     ).agg(F.count("*").alias("count"))
 
@@ -107,11 +110,11 @@ def _day_key(formatted_time: str):
     return F.replace(date_part_of(formatted_time), F.lit("-"), F.lit(""))
 
 
-def page_day_users(logs: DataFrame) -> DataFrame:
+def page_day_users(logs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Views per day, page and user: one row per user, however many a page-day has."""
     rows = logs.where(F.col("log_type").isNotNull() & F.col("formatted_time").isNotNull())
     return rows.groupBy(
-        _day_key("formatted_time").alias("day"), F.col("log_type").alias("page"), "user_id"
+        *(extra or []), _day_key("formatted_time").alias("day"), F.col("log_type").alias("page"), "user_id"
     ).agg(F.count("*").alias("pv"))
 
 

@@ -98,6 +98,19 @@ def _latest(job, keys: list[str], then=lambda df: df):
     return lambda spark, folder: then(sinks.read_latest(spark, run(spark, folder), keys))
 
 
+def _daily(job, keys: list[str], then=lambda df: df):
+    """A daily table with bounded state, stored with snapshots, then the second level on read."""
+    stored = [stream_clicks.STATE_DAY, *keys]
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        rows = stream_clicks.by_day(job, log_rows(events(spark, folder)))
+        write = lambda out, ck: sinks.start_batches(rows, sinks.keyed_batches(out, stored), ck, mode="update")
+        table = sinks.read_latest(spark, _run(spark, write), stored)
+        return then(stream_clicks.over_days(table, keys))
+
+    return query
+
+
 def _complete(job):
     run = _logs_to(job, "complete")
     return lambda spark, folder: sinks.latest_batch(spark, run(spark, folder))
@@ -133,12 +146,7 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _profile_table(then):
     """Behaviours streamed into a keyed table, the second level on read."""
-
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        out = _logs_to(profiles.behaviours, "update")(spark, folder)
-        return then(sinks.read_latest(spark, out, ["user_id", "date", "time_slot"]))
-
-    return query
+    return _daily(profiles.behaviours, ["user_id", "date", "time_slot"], then)
 
 
 def fan_out(spark: SparkSession, folder: str) -> DataFrame:
@@ -165,12 +173,12 @@ QUERIES = {
     )(s, f).withColumn("ds", F.col("ds").cast("string")),
     "stream_cumulative_top_rows": lambda s, f: _text_bounds(_started(stream_orders.start_cumulative_top_rows)(s, f)),
     "stream_tumbling_top_ids": top_ids,
-    "stream_page_views": _latest(clicks.page_views, ["date", "page"]),
+    "stream_page_views": _daily(clicks.page_views, ["date", "page"]),
     "stream_top_keywords": _latest(
         clicks.keyword_counts, ["word"], lambda d: d.orderBy(F.desc("cnt"), "word").limit(10)
     ),
     "stream_top_keywords_complete": _complete(clicks.top_keywords),
-    "stream_daily_words": _latest(
+    "stream_daily_words": _daily(
         stream_clicks.daily_word_counts, ["day", "word"],
         lambda d: top_n(d, ["day"], [F.desc("cnt"), F.asc("word")], 10).drop("rn"),
     ),
@@ -178,12 +186,12 @@ QUERIES = {
     "stream_live_monitor": _complete(paths.live_monitor),
     "stream_users_per_slot": _profile_table(profiles.slots_of),
     "stream_user_summary": _profile_table(profiles.summary_of),
-    "stream_top_brands": _latest(clicks.raw_devices, ["date", "plat", "brand"], clicks.top_brands_of),
-    "stream_device_models": _latest(
+    "stream_top_brands": _daily(clicks.raw_devices, ["date", "plat", "brand"], clicks.top_brands_of),
+    "stream_device_models": _daily(
         clicks.device_models, ["platform", "brand", "model", "stat_date"],
         lambda d: d.withColumn("stat_date", F.col("stat_date").cast("string")),
     ),
-    "stream_page_view_users": _latest(
+    "stream_page_view_users": _daily(
         clicks.page_day_users, ["day", "page", "user_id"], clicks.user_lists
     ),
     "stream_top_path_patterns": _path_statistics(lambda p: paths.top_patterns(_patterns(p))),

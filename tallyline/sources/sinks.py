@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -179,14 +180,63 @@ def read_batches(spark, folder: str, schema: T.StructType | None = None) -> Data
     return reader.option("basePath", folder).parquet(folder).drop("batch_id")
 
 
-def read_latest(spark, folder: str, keys: list[str]) -> DataFrame:
-    """The last stored row of each key: the table behind a query in update mode."""
+def keyed_batches(folder: str, keys: list[str], every: int = 50) -> Callable[[DataFrame, int], None]:
+    """Writer for update mode: batch folders, and after every so many batches a snapshot.
+
+    A snapshot holds the last row of each key and comes from the snapshot before it and
+    the batches since, so ``read_latest`` reads at most ``every`` batches. It counts only
+    with its mark, which is written behind it; a replay writes the same again. Batches
+    up to a mark are not needed any more.
+    """
+    folder = folder.rstrip("/")
+    store = batch_folder(folder)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        store(df, batch_id)
+        if (batch_id + 1) % every == 0:
+            spark = df.sparkSession
+            rows = _since_snapshot(spark, folder, keys, batch_id)
+            rows.write.mode("overwrite").parquet(f"{folder}-snapshots/upto={batch_id}")
+            mark = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("upto"))
+            mark.write.mode("overwrite").parquet(f"{folder}-marks/batch_id={batch_id}")
+
+    return write
+
+
+def _last_mark(spark, folder: str, before: int | None) -> int | None:
+    """The newest snapshot's batch, of those before a batch if one is given."""
+    try:
+        marks = spark.read.schema("upto bigint").parquet(f"{folder}-marks")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None  # no snapshot yet
+        raise
+    return (marks if before is None else marks.where(F.col("upto") < before)).agg(F.max("upto")).first()[0]
+
+
+def _since_snapshot(spark, folder: str, keys: list[str], upto: int | None = None) -> DataFrame:
+    """The last row of each key with its ``batch_id``, of the batches up to the given one."""
     rows = spark.read.option("basePath", folder).parquet(folder)
+    mark = _last_mark(spark, folder, upto)
+    if upto is not None:
+        rows = rows.where(F.col("batch_id") <= upto)
+    if mark is not None:
+        old = spark.read.schema(rows.schema).parquet(f"{folder}-snapshots/upto={mark}")
+        rows = rows.where(F.col("batch_id") > mark).unionByName(old)
+    return _newest(rows, keys, "batch_id")
+
+
+def _newest(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("_row")
+    newest = F.max_by(F.struct(*values, *more), "batch_id").alias("_row")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
 
 
+def read_latest(spark, folder: str, keys: list[str]) -> DataFrame:
+    """The last stored row of each key: the table behind a query in update mode."""
+    return _since_snapshot(spark, folder.rstrip("/"), keys).drop("batch_id")
+
+
 def latest_batch(spark, folder: str) -> DataFrame:
     """Rows of the last batch, the current state of a query in complete mode."""
     rows = spark.read.option("basePath", folder).parquet(folder)

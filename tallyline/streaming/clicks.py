@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,10 @@ from tallyline.operators.paths import list_metrics, path_steps
 from tallyline.operators.profiles import FLAGS
 from tallyline.operators.profiles import WINDOW as PROFILE_WINDOW
 from tallyline.operators.windows import show_bounds
-from tallyline.streaming.windows import DELAY, timed, window_of, with_bounds
+from tallyline.streaming.windows import DELAY, LOCAL, timed, window_of, with_bounds
+
+#: Event-time day whose rows of a daily table are one row of state; see ``by_day``.
+STATE_DAY = "_day"
 
 
 def log_time(logs: DataFrame) -> DataFrame:
@@ -43,9 +48,27 @@ def user_paths(logs: DataFrame, window: int = PATH_WINDOW, delay: str = DELAY) -
     return show_bounds(with_bounds(paths.withColumns(list_metrics("_steps")).drop("_steps")))
 
 
-def daily_word_counts(logs: DataFrame) -> DataFrame:
+def daily_word_counts(logs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Counts per day and word for update mode; the top words follow on read."""
     words = logs.where(F.col("formatted_time").isNotNull()).select(
-        date_part_of("formatted_time").alias("day"), F.explode(word_array("keywords")).alias("word")
+        *(extra or []), date_part_of("formatted_time").alias("day"), F.explode(word_array("keywords")).alias("word")
     )
-    return words.groupBy("day", "word").agg(F.count("*").alias("cnt"))
+    return words.groupBy(*(extra or []), "day", "word").agg(F.count("*").alias("cnt"))
+
+
+def by_day(job: Callable[..., DataFrame], logs: DataFrame, delay: str = DELAY) -> DataFrame:
+    """A daily table of ``job(logs, extra=[...])`` in update mode with bounded state.
+
+    Rows are grouped by their event-time day as well, so a day leaves the state once
+    the watermark has passed it. Rows without an event time are left out, and rows
+    behind the watermark are late. ``over_days`` takes the added column off on read.
+    """
+    rows = timed(log_time(logs), zone=LOG_ZONE, delay=delay).withColumn("_w", F.window(LOCAL, "1 day"))
+    counted = job(rows, extra=["_w"])
+    return counted.select(F.col("_w.start").alias(STATE_DAY), *[c for c in counted.columns if c != "_w"])
+
+
+def over_days(table: DataFrame, keys: list[str]) -> DataFrame:
+    """The stored table of ``by_day`` by its own keys: counts summed, flags joined by or."""
+    values = [(c, t) for c, t in table.dtypes if c not in (*keys, STATE_DAY)]
+    return table.groupBy(*keys).agg(*[(F.bool_or(c) if t == "boolean" else F.sum(c)).alias(c) for c, t in values])

@@ -129,6 +129,32 @@ def test_update_mode_table(spark, split, tmp_path, job, keys):
     same(sinks.read_latest(spark, out, keys), job(log_rows(spark.read.parquet(split))))
 
 
+DAILY = {
+    "views": (clicks.page_views, ["date", "page"]),
+    "users": (clicks.page_day_users, ["day", "page", "user_id"]),
+    "words": (stream_clicks.daily_word_counts, ["day", "word"]),
+    "behaviours": (profiles.behaviours, ["user_id", "date", "time_slot"]),
+}
+
+
+@pytest.mark.parametrize("name", DAILY)
+def test_daily_table_is_bounded(spark, split, tmp_path, name):
+    """Past days leave the state, and batches behind a snapshot are not read any more."""
+    job, keys = DAILY[name]
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    stored = [stream_clicks.STATE_DAY, *keys]
+    rows = stream_clicks.by_day(job, log_rows(stream(spark, split)))
+    query = sinks.start_batches(rows, sinks.keyed_batches(out, stored, every=2), ck, mode="update")
+    finish(query)
+    want = job(log_rows(spark.read.parquet(split)))
+    same(stream_clicks.over_days(sinks.read_latest(spark, out, stored), keys), want)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < want.count()
+    assert sum(p["stateOperators"][0]["numRowsRemoved"] for p in query.recentProgress if p["stateOperators"]) > 0
+    junk = spark.read.parquet(f"{out}/batch_id=1")
+    junk.withColumns({keys[-2]: F.lit("junk")}).write.mode("overwrite").parquet(f"{out}/batch_id=0")
+    same(stream_clicks.over_days(sinks.read_latest(spark, out, stored), keys), want)
+
+
 @pytest.mark.parametrize(
     "job", [clicks.top_keywords, clicks.platform_share, clicks.region_logins, clicks.page_view_reach, paths.live_monitor]
 )

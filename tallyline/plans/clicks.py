@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.times import MINUTE, epoch_date, epoch_text, time_slot
-from tallyline.operators import clicks, geo, paths, profiles
+from tallyline.operators import clicks, geo, lines, paths, profiles
 from tallyline.operators.windows import BOUNDS
 from tallyline.plans.standins import LOGS_SQL, RANGES_SQL, ip_ranges, logs, raw_log_text, table
 from tallyline.schema import RAW_LOG
@@ -137,7 +137,30 @@ def sequence_checks(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(F.count("*").alias("cnt"))
 
 
+def report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The readable lines of the click results, each with the name of its report."""
+    rows = logs(spark, folder)
+    reports = {
+        "page_views": lines.page_view_lines(clicks.page_views(rows)),
+        "keywords": lines.keyword_lines(clicks.top_keywords(rows)),
+        "devices": lines.device_lines(clicks.device_counts(rows)),
+        "slots": lines.slot_lines(profiles.users_per_slot(rows)),
+    }
+    named = [df.select(F.lit(name).alias("report"), "line") for name, df in reports.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
+
+
+def path_report(spark: SparkSession, folder: str) -> DataFrame:
+    rows = logs(spark, folder)
+    patterns = paths.path_patterns(rows)
+    return lines.path_statistics_lines(
+        paths.top_patterns(patterns), paths.path_conversions(paths.path_metrics(rows)), paths.pattern_lengths(patterns)
+    )
+
+
 QUERIES = {
+    "report_lines": report_lines,
+    "path_report": path_report,
     "page_views": _over_logs(clicks.page_views),
     "keyword_counts": _over_logs(clicks.keyword_counts),
     "top_keywords": _over_logs(clicks.top_keywords),
@@ -300,3 +323,18 @@ SQL = {
                '["' || string_agg(DISTINCT user_id, '","' ORDER BY user_id) || '"]' AS user_ids
         FROM l GROUP BY l.day, log_type""",
 }
+
+SQL |= {
+    "report_lines": f"""
+        SELECT 'page_views' AS report, printf('日期: %s, 页面: %s, PV: %d', date, page, pv) AS line FROM ({SQL["page_views"]})
+        UNION ALL SELECT 'keywords', printf('搜索词: %s, 次数: %d', word, cnt) FROM ({SQL["top_keywords"]})
+        UNION ALL SELECT 'devices', printf('设备统计 - 日期: %s, 类型: %s, 数量: %d', date, category, cnt) FROM ({SQL["device_counts"]})
+        UNION ALL SELECT 'slots', printf('  %s: %d用户', time_slot, users) FROM ({SQL["users_per_slot"]})""",
+    "path_report": f"""
+        SELECT E'\\n=== 路径分析统计 ===\\n最常见路径TOP5:\\n'
+               || (SELECT string_agg('  ' || pattern || ': ' || cnt || E'次\\n', '' ORDER BY cnt DESC, pattern) FROM ({SQL["top_path_patterns"]}))
+               || E'转化统计:\\n' || CASE WHEN conversion_paths > 0 THEN '  总转化路径: ' || conversion_paths || E'\\n' ELSE '' END
+               || CASE WHEN payment_end_paths > 0 THEN '  支付结束路径: ' || payment_end_paths || E'\\n' ELSE '' END
+               || printf(E'平均路径长度: %.1f\\n', avg_path_length) || E'==================\\n' AS line
+        FROM ({SQL["path_conversions"]}), ({SQL["path_pattern_lengths"]})""",
+}

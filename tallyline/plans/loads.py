@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +13,11 @@ from tallyline.operators import clicks, web
 from tallyline.plans.clicks import part_words, region_counts
 from tallyline.plans.clicks import SQL as CLICK_SQL
 from tallyline.plans.standins import LOGS_SQL, logs, table
-from tallyline.sources import sinks
-from tallyline.sources.changes import changed_rows, flatten_changes
+from tallyline.session import checkpoint_dir
+from tallyline.sources import sinks, tables
+from tallyline.sources.changes import changed_rows, flatten_changes, snapshot_then_changes
+from tallyline.sources.topics import logs_from_json, since
+from tallyline.streaming.clicks import log_time
 
 ORDER_ROW = T.StructType(
     [
@@ -52,10 +58,34 @@ def change_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def snapshot_and_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders as a snapshot, then the changes of that table."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice")
+    snapshot = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", price)
+    return snapshot_then_changes(snapshot, flatten_changes(change_text(spark, folder), ORDER_ROW), "shop.public.orders")
+
+
+def copied_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and customers copied to the shared folder, then read with few columns."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/copies/{uuid.uuid4().hex}"
+    orders, customer = tables.copy_tables(["orders", "customer"], lambda name: table(spark, folder, name), home)
+    bought = tables.read_result(spark, orders, "o_orderkey", "o_custkey")
+    names = tables.read_result(spark, customer, "c_custkey", "c_name")
+    return bought.join(names, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+
+
 def _as_text(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
+def later_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Log messages parsed again, from a start position on."""
+    rows = log_time(logs_from_json(_as_text(logs(spark, folder))))
+    return since(rows, "ts_ms", datetime(2024, 1, 15, tzinfo=UTC)).select(
+        "log_id", "plat", "brand", "model", "ip", "log_type", "ts", "user_id", "keywords"
+    )
+
+
 def loaded_views(spark: SparkSession, folder: str) -> DataFrame:
     text = _as_text(clicks.page_view_users(logs(spark, folder)).withColumn("emit_time", F.lit("2024-02-01 00:00:00")))
     rows = sinks.load_json(text, sinks.PAGE_VIEWS, proc_time=False)
@@ -125,6 +155,9 @@ def merged(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "order_changes": order_changes,
     "change_counts": change_counts,
+    "snapshot_and_changes": snapshot_and_changes,
+    "copied_tables": copied_tables,
+    "later_logs": later_logs,
     "load_page_views": loaded_views,
     "load_search_words": loaded_words,
     "load_all_search_words": loaded_all_words,
@@ -204,3 +237,14 @@ SQL = {
                coalesce(publish_date, '') AS publish_date, coalesce(doc_number, '') AS doc_number,
                coalesce(source, '') AS source, coalesce(content, '') AS content FROM m LEFT JOIN d USING (url)""",
 }
+
+SQL |= {
+    "snapshot_and_changes": f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
+               'shop.public.orders' AS table_name, 'r' AS op FROM orders
+        UNION ALL {SQL["order_changes"]}""",
+    "copied_tables": "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
+    "later_logs": f"""WITH {LOGS_SQL}
+        SELECT log_id, plat, brand, model, ip, log_type, CAST(ms AS VARCHAR) AS ts, user_id, keywords
+        FROM l WHERE ms >= epoch_ms(TIMESTAMP '2024-01-15 00:00:00')""",
+}

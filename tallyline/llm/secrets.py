@@ -104,10 +104,10 @@ def literal_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def spans_of(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """Base spans, and all spans; a literal that a base span touches adds none."""
+    """Base spans, and all spans; a literal adds one unless a base span holds all of it."""
     order = lambda s: (s[0], KINDS[s[2]], s[1])
     base = sorted(base_spans(text), key=order)
-    more = [s for s in literal_spans(text) if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+    more = [s for s in literal_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
     return base, sorted(base + more, key=order)
 
 

@@ -78,6 +78,12 @@ class Bytes:
         return out
 
 
+def page_key(said: str) -> int | None:
+    """A page id as it is written in a header, if it is one: any long."""
+    key = int(said) if re.fullmatch(r"-?[0-9]{1,19}", said) else None
+    return key if key is not None and -(1 << 63) <= key < 1 << 63 else None
+
+
 def http_block(page_id: int | None, payload: bytes) -> bytes:
     head = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]
     if page_id is not None:
@@ -134,23 +140,23 @@ def arc_records(chunks: Iterator[bytes], name: str) -> Iterator[dict]:
     stream, version, place = Bytes(chunks, ARC_END.encode()), 1, 0
     while (line := stream.until(b"\n")) is not None:
         fields = line.decode("utf-8", "replace").rsplit(" ", len(ARC_FIELDS[version].split()) - 1)
-        if line.startswith(b"filedesc://"):  # a version 1 line may stand before a version 2 body
+        opening = place == 0 and line.startswith(b"filedesc://")  # a page may have such an address, too
+        if opening:  # a version 1 line may stand before a version 2 body
             fields = [*line.decode("utf-8", "replace").split(" ")[:4], line.decode("utf-8", "replace").split(" ")[-1]]
         if len(fields) < 5 or not fields[-1].isdigit() or not re.fullmatch(r"\d{14}", fields[2]):
             continue
         block = stream.read(int(fields[-1]))
         stream.read(1)
         url, date, kind = fields[0], fields[2], fields[3]
-        if line.startswith(b"filedesc://"):
+        if opening:
             version = 2 if block[:1] == b"2" else 1
             warc_type, http, payload = "warcinfo", {}, block
         else:
             http, head, payload = split_http(block)
             warc_type = "response" if head else "resource"
-        key = http.get("x-page-id", "")
         yield {
             "record_id": f"<urn:uuid:{uuid.uuid5(SPACE, f'{name} {place} {url}')}>",
-            "key": int(key) if re.fullmatch(r"-?\d{1,18}", key) else None,
+            "key": page_key(http.get("x-page-id", "")),
             "type": warc_type, "uri": url, "mime": kind, "place": place,
             "date": f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:]}Z",
             "payload_bytes": len(payload), "payload_digest": sha1_base32(payload), "block": block,
@@ -192,13 +198,12 @@ def warc_records(chunks: Iterator[bytes], name: str) -> Iterator[dict]:
         block = stream.read(int(fields["content-length"]))
         stream.read(4)
         http, header, payload = split_http(block)
-        key, refers = http.get("x-page-id", ""), fields.get("x-refers-to-key", "")
         whole = fields.get("warc-type") != "revisit"
         number = http.get("content-length", "")
         yield {
             "record_id": fields.get("warc-record-id"), "record_type": fields.get("warc-type"),
-            "page_id": int(key) if re.fullmatch(r"-?\d{1,18}", key) else None, "uri": fields.get("warc-target-uri"),
-            "refers_to": int(refers) if re.fullmatch(r"-?\d{1,18}", refers) else None,
+            "page_id": page_key(http.get("x-page-id", "")), "uri": fields.get("warc-target-uri"),
+            "refers_to": page_key(fields.get("x-refers-to-key", "")),
             "payload_bytes": len(payload) if whole or not number.isdigit() else int(number),
             "payload_digest": sha1_base32(payload) if whole else fields.get("warc-payload-digest", "").removeprefix("sha1:"),
             "sound": fields.get("warc-block-digest") == f"sha1:{sha1_base32(block)}",
@@ -243,7 +248,7 @@ def convert(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0) -> N
     """
     heads = common.stored(read_files(spark, arc, ARC_END, arc_records, ARC_SCHEMA, ARC_KIND).select("record_id", "type", "key", "payload_digest", "payload_bytes"), "heads")
     pages = heads.where((F.col("type") == "response") & (F.col("payload_bytes") >= least_bytes))
-    best = F.min_by(F.struct("key", "record_id"), F.struct(F.col("key").isNull().alias("none"), (-F.col("key")).alias("large"), "record_id"))
+    best = F.min_by(F.struct("key", "record_id"), F.struct(F.col("key").isNull().alias("none"), F.bitwise_not("key").alias("large"), "record_id"))
     groups = pages.groupBy("payload_digest", "payload_bytes").agg(best.alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = common.stored(groups, "groups")
     chosen = common.attach(pages.select("record_id", "payload_digest", "payload_bytes"), groups, ["payload_digest", "payload_bytes"], "n")

@@ -24,13 +24,52 @@ KEY = "tallyline"
 
 # One alternative per kind, in order of precedence; repeats are bounded or possessive.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Account numbers of the registry by their length, so that what stands beside one is not taken in.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])"
+
+
+# A code of a country, else of the general form.
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:"
+    + "|".join(_iban(n, c) for n, c in IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
+)
 DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[-./][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
+#: Most digits by country code, the code included; other numbers have up to 15.
+PHONE_DIGITS = {
+    10: "45 47 65", 11: "27 31 32 33 34 36 40 41 48 51 56 61 66 7 94 216 352 370 371 372 386 852",
+    12: "20 30 44 46 57 58 60 63 64 81 82 84 90 91 92 98 212 213 351 353 354 359 380 381 385 420 421 966 971 972",
+    13: "39 49 52 54 55 86", 14: "62 358",
+}
+
+
+def _abroad(code: str, size: int, most: int) -> str:
+    """A code of ``size`` digits and the most digits, 8 to ``most`` with the code, after which a printed group ends."""
+    return rf"(?<![0-9A-Za-z])\+{code}(?:\)?[ .-]?\(?[0-9]){{{8 - size},{most - size}}}(?![0-9])"
+
+
+def _coded(codes: str, most: int) -> str:
+    """Numbers of some countries. The code stands by itself, since only then it is kept; a trunk digit in brackets is one more."""
+    sizes = {n: "|".join(c for c in codes.split() if len(c) == n) for n in (1, 2, 3)}
+    return "|".join(_abroad(rf"(?:{c})(?=[ .-])(?:[ .-]?\([0-9]\))?", n, most) for n, c in sizes.items() if c)
+
+
 PHONE = (
-    r"(?<![0-9A-Za-z])\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-    r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])"
-    r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![0-9]|[-.][0-9])"
+    r"(?<![0-9A-Za-z])\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|"
+    + "|".join(_coded(c, n) for n, c in PHONE_DIGITS.items())
+    + f"|{_abroad('[0-9]', 1, 15)}"
+    + r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}(?![0-9]|[-.][0-9])"
 )
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 # Groups in one of the printed forms, so that a number beside a card is not taken for a part of it.

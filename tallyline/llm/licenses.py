@@ -42,6 +42,16 @@ TEMPLATES: dict[str, list[str]] = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ],
+    "BSD-2-Clause": [
+        "Licensed under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
@@ -58,11 +68,10 @@ TEMPLATES: dict[str, list[str]] = {
         "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1."],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
-        "version.",
     ],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
@@ -70,15 +79,41 @@ TEMPLATES: dict[str, list[str]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "Unlicense": [
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
         "purpose, commercial or non-commercial, and by any means.",
     ],
 }
+for _id, _kind, _version in (("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3")):
+    TEMPLATES[_id].append(
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {_kind}General Public "
+        f"License as published by the Free Software Foundation, either version {_version} of the License, or (at your option) any later "
+        "version."
+    )
+# Titles of the full texts.
+for _id, _title in {
+    "GPL-2.0": "GNU General Public License Version 2, June 1991",
+    "GPL-3.0": "GNU General Public License Version 3, 29 June 2007",
+    "LGPL-2.1": "GNU Lesser General Public License Version 2.1, February 1999",
+    "LGPL-3.0": "GNU Lesser General Public License Version 3, 29 June 2007",
+    "AGPL-3.0": "GNU Affero General Public License Version 3, 19 November 2007",
+    "Apache-2.0": "Apache License Version 2.0, January 2004",
+    "MPL-2.0": "Mozilla Public License Version 2.0",
+}.items():
+    TEMPLATES[_id].append(_title)
+for _kind, _words in (("", ""), ("-SA", "-ShareAlike"), ("-NC", "-NonCommercial"), ("-ND", "-NoDerivatives"), ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives")):
+    for _version, _where in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES[f"CC-BY{_kind}-{_version}"] = [
+            f"Licensed under CC BY{_kind} {_version}.",
+            f"This work is licensed under a Creative Commons Attribution{_words} {_version} {_where} License.",
+        ]
+#: Words that tell relatives apart: none may be missing, and in these families none may be added.
+TELLING = frozenset("lesser affero nd nc sa noncommercial commercial sharealike alike noderivatives noderivs derivatives derivs".split())
+NAMES = frozenset("mit bsd apache mozilla gnu cc creative".split())
+FAMILIES = frozenset("gnu cc creative".split())
+#: A word close behind a find that makes it a part of a longer license.
+UNLESS = {"BSD-2-Clause": "endorse"}
 
 
 class Template:
@@ -88,6 +123,11 @@ class Template:
         count = Counter(self.words)
         #: Rare words and their places; enough of them that a match cannot do without.
         self.keys = {w: i for i, w in enumerate(self.words) if count[w] == 1 and w not in COMMON and not w.isdigit()}
+        # a version counts where it is first said; numbers of a list do not count
+        listed = " 1. " in text
+        self.must = {self.words.index(w) for w in count if w in NAMES or w in TELLING or (w.isdigit() and not listed)}
+        self.must_words = {self.words[i] for i in self.must}
+        self.family = not FAMILIES.isdisjoint(self.words)
         self.slack = max(3, len(self.words) // 3)
         if len(self.keys) <= (1 - COVERAGE) * len(self.words):
             raise ValueError(f"too few rare words in a template of {name}")
@@ -156,8 +196,11 @@ def found(text: str) -> list[tuple[int, int, str, float]]:
         for t, i in KEYS.get(w, ()):
             votes.setdefault(t, []).append((p - i, w))
     hits = []
+    have = set(words)
     for t, starts in votes.items():
         template = ALL[t]
+        if not template.must_words <= have:
+            continue
         n, starts = len(template.words), sorted(starts)
         need = max(1, len(template.keys) - int((1 - COVERAGE) * n + 1e-9))
         group: list[tuple[int, str]] = []
@@ -177,6 +220,19 @@ def found(text: str) -> list[tuple[int, int, str, float]]:
     return sorted(out)
 
 
+def _told_apart(words: list[str], template: Template, pairs: list[tuple[int, int]]) -> bool:
+    """Whether the telling words of the template found partners and the text adds none of another license."""
+    first, last = pairs[0][0], pairs[-1][0]
+    if not template.must <= {j for _, j in pairs}:
+        return False
+    if (word := UNLESS.get(template.name)) and word in words[first : last + 40]:
+        return False
+    own = {i for i, _ in pairs}
+    return not template.family or not any(
+        i not in own and (words[i] in TELLING or words[i : i + 2] == ["library", "general"]) for i in range(first, last + 1)
+    )
+
+
 def _windows(words: list[str], template: Template, group: list[tuple[int, str]]) -> Iterator[tuple[int, int, str, float, int]]:
     """Alignments around each likely start of a group, one per copy of the license."""
     n = len(template.words)
@@ -190,7 +246,7 @@ def _windows(words: list[str], template: Template, group: list[tuple[int, str]])
         low, high = max(0, start - template.slack), min(len(words), start + n + template.slack)
         for a, b in ((low, high), (max(0, start), min(len(words), start + n))):
             pairs = align(words[a:b], template.words)
-            if pairs and len(pairs) >= COVERAGE * n:
+            if pairs and len(pairs) >= COVERAGE * n and _told_apart(words, template, [(a + i, j) for i, j in pairs]):
                 yield a + pairs[0][0], a + pairs[-1][0], template.name, len(pairs) / n, len(pairs)
 
 

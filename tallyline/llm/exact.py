@@ -1,10 +1,10 @@
-"""Exact dedup: sorted digest runs merged over a tree of exchanges.
+"""Exact dedup: digest runs combined over a tree of exchanges.
 
-Every document belongs to one of ``fan ** levels`` runs. A run holds its digests in
-order, each once, with the identifier that stays and the number of copies. In round k
+Every document belongs to one of ``fan ** levels`` runs. A run holds each
+of its digests once, with the identifier that stays and the number of copies. In round k
 the runs that differ only in digit k of their number exchange rows: each of them keeps
-the slice of digests that has its own digit there, and merges the ``fan`` sorted
-pieces it gets. After the last round each run holds one slice of all digests, and no
+the slice of digests that has its own digit there, and combines the ``fan`` pieces it
+gets by hash aggregation; nothing is sorted. After the last round each run holds one slice of all digests, and no
 task ever sees more than its slice. Every level combines copies before the next
 exchange, so a text that fills a third of the corpus moves ``runs`` rows at most.
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import common
 
-#: Runs merged by one exchange, and the fewest exchanges.
+#: Runs combined by one exchange, and the fewest exchanges.
 FAN, LEVELS = 16, 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -66,7 +66,6 @@ def merged(rows: DataFrame, fan: int = FAN, levels: int | None = None) -> DataFr
         level = (
             level.withColumn("slot", moved.cast("long"))
             .repartition("slot")
-            .sortWithinPartitions("slot", "digest")
             .groupBy(*keys)
             .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
         )

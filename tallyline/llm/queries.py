@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyline.llm import archive, digest, exact, licenses, packing, pieces, pseudonyms, quality, secrets, simhash
+from tallyline.llm import archive, codes, counts, digest, exact, licenses, packing, phrases, pieces, pseudonyms, quality, secrets, simhash
 
 QUERIES = {
     "op1_warc": archive.op1_warc,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_quality": quality.op10_quality,
+    "op11_token_counts": counts.op11_token_counts,
+    "op12_vector_codes": codes.op12_vector_codes,
+    "op13_collocations": phrases.op13_collocations,
 }
 
 SQL = {
     "op1_warc": archive.OP1_SQL,
     "op6_exact_dedup": exact.OP6_SQL,
+    "op12_vector_codes": codes.OP12_SQL,
+    "op13_collocations": phrases.OP13_SQL,
 }

@@ -16,8 +16,10 @@ others. No word holds a blank, so a zero byte inside a word is written as a blan
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,10 @@ WORDS, LEAST, TOP = 4, 30, 2_000
 ABSORBED = 80
 SCORE = 2_000_000
 #: Different windows that a task counts before it hands them on, and text bytes counted at once.
-HELD, AT_ONCE = 400_000, 4 << 20
+HELD, AT_ONCE = 500_000, 4 << 20
+#: The ranges are cut by windows of so many rows: every STEP-th, up to MOST_OF of a row, and
+#: their first EDGE bytes. How even the ranges are depends on them, no result does.
+SAMPLE, STEP, MOST_OF, EDGE = 8_192, 64, 1_000, 64
 
 _TABLE = bytearray(range(256))
 _TABLE[0x41:0x5B] = bytes(range(0x61, 0x7B))
@@ -67,16 +72,20 @@ def _language(lang: str) -> bytes:
     return lang.encode().replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
 
 
-def _counted_windows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _counted_windows(batches: Iterator[pa.RecordBatch], most: int, cuts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """slot, key, f: windows in sorted runs, ``slot`` the range between two cuts."""
     held: dict[str, Counter[bytes]] = {}
 
     def out() -> Iterator[pa.RecordBatch]:
         for lang, own in held.items():
             head = _language(lang) + b"\x00"
-            keys, counts = list(own), list(own.values())
+            keys = sorted(own)
+            edges = [0, *(bisect_left(keys, c[len(head) :]) if c.startswith(head) else len(keys) * (c > head) for c in cuts), len(keys)]
+            slots = np.repeat(np.arange(len(cuts) + 1, dtype=np.int32), np.diff(edges))
             for i in range(0, len(keys), 1 << 15):
-                some = [head + k for k in keys[i : i + (1 << 15)]]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array(counts[i : i + (1 << 15)], pa.int64())], ["key", "f"])
+                some = keys[i : i + (1 << 15)]
+                cols = [pa.array(slots[i : i + (1 << 15)]), pa.array([head + k for k in some], pa.binary()), pa.array([own[k] for k in some], pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, ["slot", "key", "f"])
         held.clear()
 
     def slices(text: str) -> Iterator[str]:
@@ -153,14 +162,32 @@ def _beginnings(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Ite
             yield pa.RecordBatch.from_arrays([parts.take(pa.array(new[give])).cast(pa.binary()), pa.array(sums[give])], ["key", "f"])
 
 
+def edges(rows: DataFrame, n: int, most: int) -> list[bytes]:
+    """Up to n - 1 keys that cut the windows of all rows into about equal ranges, from a bounded sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            some = []
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = windows([text], most)
+                some += [(_language(lang) + b"\x00" + w)[:EDGE] for w in found[crc32(text[:99].encode()) % STEP :: max(STEP, len(found) // MOST_OF)]]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], ["key"])
+
+    total = rows.count()
+    some = rows.sample(SAMPLE / total, seed=1) if total > SAMPLE else rows
+    keys = sorted(r[0] for r in some.mapInArrow(run, "key binary").collect())
+    return sorted({bytes(keys[len(keys) * i // n]) for i in range(1, n)}) if keys else []
+
+
 def counted(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", most: int = WORDS, least: int = LEAST) -> DataFrame:
     """key, f: counts of all phrases of up to ``most`` words that occur ``least`` times.
 
     The key of a language alone counts all its words.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), common.text_or_empty(text_col).alias("text"))
-    found = rows.mapInArrow(lambda b: _counted_windows(b, most), "key binary, f bigint")
-    dealt = found.repartitionByRange("key").sortWithinPartitions("key")
+    cuts = edges(rows, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), most)
+    found = rows.mapInArrow(lambda b: _counted_windows(b, most, cuts), "slot int, key binary, f bigint")
+    dealt = found.repartitionById(len(cuts) + 1, "slot").select("key", "f").sortWithinPartitions("key")
     parts = dealt.mapInArrow(lambda b: _beginnings(b, most, least), "key binary, f bigint")
     return parts.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 

@@ -68,7 +68,9 @@ def test_long_texts_in_parts(monkeypatch, spark, rows):
 
     batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
     got = Counter()
-    for b in phrases._counted_windows(iter([batch]), 4):
-        got.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+    cuts = [b"en\x00b", b"en\x00kind\x00z", b"zz"]
+    for b in phrases._counted_windows(iter([batch]), 4, cuts):
+        got.update(dict(zip(b.column(1).to_pylist(), b.column(2).to_pylist())))
+        assert all(s == sum(k >= c for c in cuts) for s, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
     assert got == Counter(b"en\x00" + w for w in phrases.windows([text]))
     assert sum(got.values()) == 220

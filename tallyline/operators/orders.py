@@ -21,6 +21,7 @@ from tallyline.operators.windows import (
 
 STEP = 10 * MINUTE
 MONEY = "decimal(38,2)"
+SALES, GMV = "total_cumulative_amount", "product_gmv"
 
 
 def _amount() -> Column:
@@ -50,10 +51,13 @@ def cumulative_sales(
 ) -> DataFrame:
     """Sales amount from the start of the span up to each step."""
     rows = _rows(df, dates, zone, filled("total_amount"))
-    sums = cumulative_sums(rows, "_at", step, span, [], {"total_cumulative_amount": _amount()})
-    return show_bounds(
-        sums.withColumn("total_cumulative_amount", F.col("total_cumulative_amount").cast(MONEY))
-    )
+    return sales_of_slices(slice_sums(rows, "_at", step, [], {SALES: _amount()}), step, span)
+
+
+def sales_of_slices(slices: DataFrame, step: int, span: int, last_end: Column | int | None = None) -> DataFrame:
+    """Cumulative sales from the sums of slices; with ``last_end`` no window ends later."""
+    sums = spread_over_windows(slices, "_slice", step, span, [], [SALES], last_end)
+    return show_bounds(sums.withColumn(SALES, F.col(SALES).cast(MONEY)))
 
 
 def cumulative_top_rows(
@@ -65,13 +69,27 @@ def cumulative_top_rows(
     ``total_cumulative_amount`` is the amount of these rows only. Rows are cut to
     the best n of each slice before they are repeated for the windows.
     """
-    order = [F.desc("_rank_by"), F.asc("id"), F.asc("_at"), F.asc("_amount")]
-    rows = _rows(df, dates, zone, filled("total_amount")).select(
-        "id", "_at", _amount().alias("_amount"), lenient_number(rank_by, "int").alias("_rank_by"),
-        floor_to(F.col("_at"), step).alias("_slice"),
+    rows = rankable_rows(_rows(df, dates, zone, filled("total_amount")), rank_by).withColumn(
+        "_slice", floor_to(F.col("_at"), step)
+    )
+    return top_rows_of_slices(top_n(rows, ["_slice"], _row_order(), n).drop("rn"), step, span, n)
+
+
+def _row_order() -> list[Column]:
+    return [F.desc("_rank_by"), F.asc("id"), F.asc("_at"), F.asc("_amount")]
+
+
+def rankable_rows(rows: DataFrame, rank_by: str, *more: str) -> DataFrame:
+    return rows.select(
+        "id", "_at", _amount().alias("_amount"), lenient_number(rank_by, "int").alias("_rank_by"), *more
     )
-    best = top_n(rows, ["_slice"], order, n).drop("rn")
-    ranked = top_n(cumulate(best, "_slice", step, span), BOUNDS, order, n)
+
+
+def top_rows_of_slices(
+    best: DataFrame, step: int, span: int, n: int, last_end: Column | int | None = None
+) -> DataFrame:
+    """Best rows of the cumulative windows from the n best rows of their slices (or of parts of them)."""
+    ranked = top_n(cumulate(best, "_slice", step, span, last_end), BOUNDS, _row_order(), n)
     return show_bounds(
         ranked.groupBy(*BOUNDS).agg(
             F.sum("_amount").cast(MONEY).alias("total_cumulative_amount"),
@@ -176,8 +194,8 @@ def product_window_gmv(
 ) -> DataFrame:
     """Sales amount per product and cumulative window."""
     rows = product_amounts(df, dates, zone)
-    sums = cumulative_sums(rows, "_at", step, span, ["product_id"], {"product_gmv": F.col("total_amount")})
-    return show_bounds(sums.withColumn("product_gmv", F.col("product_gmv").cast(MONEY)))
+    sums = cumulative_sums(rows, "_at", step, span, ["product_id"], {GMV: F.col("total_amount")})
+    return show_bounds(sums.withColumn(GMV, F.col(GMV).cast(MONEY)))
 
 
 def cumulative_product_gmv(
@@ -189,13 +207,20 @@ def cumulative_product_gmv(
     ``win_gmv`` is the amount of these products only; ``with_total`` adds the amount
     of the whole window.
     """
-    measure = "product_gmv"
     rows = product_amounts(df, dates, zone)
-    slices = slice_sums(rows, "_at", step, ["product_id"], {measure: F.col("total_amount")})
-    result = top_products(spread_over_windows(slices, "_slice", step, span, ["product_id"], [measure]), n)
+    slices = slice_sums(rows, "_at", step, ["product_id"], {GMV: F.col("total_amount")})
+    return report_of_slices(slices, step, span, n, with_total)
+
+
+def report_of_slices(
+    slices: DataFrame, step: int, span: int, n: int = 5, with_total: bool = False,
+    last_end: Column | int | None = None,
+) -> DataFrame:
+    """The report form from the sums of products per slice; with ``last_end`` no window ends later."""
+    result = top_products(spread_over_windows(slices, "_slice", step, span, ["product_id"], [GMV], last_end), n)
     if with_total:
-        whole = slices.groupBy("_slice").agg(F.sum(measure).alias("total_gmv"))
-        total = spread_over_windows(whole, "_slice", step, span, [], ["total_gmv"])
+        whole = slices.groupBy("_slice").agg(F.sum(GMV).alias("total_gmv"))
+        total = spread_over_windows(whole, "_slice", step, span, [], ["total_gmv"], last_end)
         result = result.join(total, BOUNDS).withColumn("total_gmv", F.col("total_gmv").cast("decimal(18,2)"))
     return show_bounds(result.withColumn("ds", wall_date("window_start")), as_text=True).select(
         "ds", *BOUNDS, "win_gmv", *(["total_gmv"] if with_total else []), "win_gmv_ids", "top5_product_ids"
@@ -204,10 +229,10 @@ def cumulative_product_gmv(
 
 def top_products(sums: DataFrame, n: int = 5) -> DataFrame:
     """Best products of each window with their common amount and their ids by rank."""
-    ranked = top_n(sums, BOUNDS, [F.desc("product_gmv"), F.asc("product_id")], n)
+    ranked = top_n(sums, BOUNDS, [F.desc(GMV), F.asc("product_id")], n)
     ids = text_list("product_id", "rn")
     return ranked.groupBy(*BOUNDS).agg(
-        F.sum("product_gmv").cast("decimal(18,2)").alias("win_gmv"),
+        F.sum(GMV).cast("decimal(18,2)").alias("win_gmv"),
         ids.alias("win_gmv_ids"),
         ids.alias("top5_product_ids"),
     )

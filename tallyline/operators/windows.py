@@ -45,7 +45,7 @@ def hop_sums(
 
 
 def cumulate(
-    df: DataFrame, at: str, step: int, span: int, last_end: int | None = None
+    df: DataFrame, at: str, step: int, span: int, last_end: Column | int | None = None
 ) -> DataFrame:
     """Each row once per cumulative window that holds it.
 
@@ -85,7 +85,7 @@ def slice_sums(df: DataFrame, at: str, step: int, keys: list[str], sums: dict[st
 
 def spread_over_windows(
     sliced: DataFrame, at: str, step: int, span: int, keys: list[str], sums: list[str],
-    last_end: int | None = None,
+    last_end: Column | int | None = None,
 ) -> DataFrame:
     """Running sums of per-slice rows, repeated for each window up to the next slice.
 

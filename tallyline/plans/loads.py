@@ -15,7 +15,7 @@ from tallyline.plans.clicks import SQL as CLICK_SQL
 from tallyline.plans.standins import LOGS_SQL, logs, table
 from tallyline.session import checkpoint_dir
 from tallyline.sources import sinks, tables
-from tallyline.sources.changes import changed_rows, flatten_changes, snapshot_then_changes
+from tallyline.sources.changes import changed_rows, current_rows, flatten_changes, keyed_changes, snapshot_then_changes
 from tallyline.sources.topics import logs_from_json, since
 from tallyline.streaming.clicks import log_time
 
@@ -65,6 +65,40 @@ def snapshot_and_changes(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot_then_changes(snapshot, flatten_changes(change_text(spark, folder), ORDER_ROW), "shop.public.orders")
 
 
+def order_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order's changes one after the other as envelopes with their position, and some snapshot rows.
+
+    Of four orders one is made, one changed later, one deleted in the end, one deleted and made
+    again; the price grows by one each time. Some orders are in a snapshot, one in eight only there.
+    """
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    key = F.col("o_orderkey")
+    steps = F.element_at(F.array(*[F.split(F.lit(o), "") for o in ("c", "cu", "cud", "cdc")]), (key % 4 + 1).cast("int"))
+    steps = F.when(key % 8 == 7, F.array().cast("array<string>")).otherwise(steps)
+    first = F.when(key % 8 >= 6, F.array(F.lit("r"))).otherwise(F.array().cast("array<string>"))
+    rows = table(spark, folder, "orders").withColumn("first", F.size(first)).select(
+        "*", F.posexplode(F.concat(first, steps)).alias("at", "op")
+    )
+    step = F.col("at") - F.col("first") + 1
+
+    def row(by):
+        grown = (price + F.greatest(by, F.lit(0))).cast("decimal(18,2)")
+        return F.struct("o_orderkey", "o_custkey", "o_orderstatus", grown.alias("o_totalprice"))
+
+    source = F.struct(F.lit("shop").alias("db"), F.lit("public").alias("schema"), F.lit("orders").alias("table"))
+    envelope = F.struct(
+        F.when(F.col("op").isin("u", "d"), row(step - 1)).alias("before"), F.when(F.col("op") != "d", row(step)).alias("after"),
+        source.alias("source"), "op", F.when(F.col("op") != "r", step * 1_000_000_000_000 + key).alias("position"),
+    )
+    return rows.select(F.to_json(envelope).alias("value"))
+
+
+def current_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders after all their changes."""
+    changes = keyed_changes(order_history(spark, folder), ORDER_ROW, ["o_orderkey"], "shop.public.orders")
+    return current_rows(changes, ["o_orderkey"])
+
+
 def copied_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Orders and customers copied to the shared folder, then read with few columns."""
     home = f"{checkpoint_dir(spark).rstrip('/')}/copies/{uuid.uuid4().hex}"
@@ -108,17 +142,24 @@ def loaded_regions(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.load_json(_as_text(region_counts(spark, folder)), sinks.REGIONS, proc_time=False)
 
 
-def loaded_devices(spark: SparkSession, folder: str) -> DataFrame:
+def device_text(spark: SparkSession, folder: str) -> DataFrame:
     """Device counts as messages with the field ``system``; odd models have a bad count."""
     rows = clicks.device_models(logs(spark, folder)).withColumnRenamed("platform", "system")
     count = F.when(F.col("model") == "m1", "many").otherwise(F.col("count").cast("string"))
-    loaded = sinks.load_json(_as_text(rows.withColumn("count", count)), sinks.DEVICES)
+    return _as_text(rows.withColumn("count", count))
+
+
+def shown_devices(loaded: DataFrame) -> DataFrame:
     return loaded.select(
         "platform", "brand", "model", F.col("stat_date").cast("string").alias("stat_date"), "count",
         F.col("proc_time").isNotNull().alias("has_proc_time"),
     )
 
 
+def loaded_devices(spark: SparkSession, folder: str) -> DataFrame:
+    return shown_devices(sinks.load_json(device_text(spark, folder), sinks.DEVICES))
+
+
 def links(spark: SparkSession, folder: str) -> DataFrame:
     return web.page_links(table(spark, folder, "pages"), BASE)
 
@@ -156,6 +197,7 @@ QUERIES = {
     "order_changes": order_changes,
     "change_counts": change_counts,
     "snapshot_and_changes": snapshot_and_changes,
+    "current_orders": current_orders,
     "copied_tables": copied_tables,
     "later_logs": later_logs,
     "load_page_views": loaded_views,
@@ -203,6 +245,9 @@ _DETAILS = f"""d AS (SELECT '{BASE}p' || page_id AS url, 'Page No ' || page_id |
 _WORDS = CLICK_SQL["item_daily_top_words"].split("SELECT day, string_agg")[0]
 
 SQL = {
+    "current_orders": """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2))
+        + CASE WHEN o_orderkey % 8 = 7 THEN 0 ELSE o_orderkey % 4 + CASE WHEN o_orderkey % 4 = 3 THEN 0 ELSE 1 END END AS DECIMAL(18,2)) AS o_totalprice
+        FROM orders WHERE o_orderkey % 4 <> 2""",
     "order_changes": """
         SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
                'shop.public.orders' AS table_name, ['c', 'r', 'u', 'd'][o_orderkey % 4 + 1] AS op

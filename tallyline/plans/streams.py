@@ -15,14 +15,17 @@ from tallyline.functions.times import MINUTE
 from tallyline.operators import clicks, paths, profiles
 from tallyline.operators.ranking import top_n
 from tallyline.operators.windows import BOUNDS
+from tallyline.plans import loads
 from tallyline.plans.clicks import SQL as CLICK_SQL
 from tallyline.plans.clicks import path_rows, profile_rows
+from tallyline.plans.loads import SQL as LOAD_SQL
 from tallyline.plans.orders import SQL as ORDER_SQL
 from tallyline.plans.standins import log_rows, order_rows
 from tallyline.session import checkpoint_dir
-from tallyline.sources import sinks
+from tallyline.sources import changes, sinks
 from tallyline.streaming import clicks as stream_clicks
 from tallyline.streaming import orders as stream_orders
+from tallyline.streaming.windows import closed_until
 
 EVENTS = T.StructType(
     [
@@ -52,11 +55,16 @@ def _state_partitions(spark: SparkSession):
 
 def _run(spark: SparkSession, start: Callable[[str, str], object]) -> str:
     """Runs a query to the end of its input; returns the folder of its results."""
+    return _finished(spark, start)[0]
+
+
+def _finished(spark: SparkSession, start: Callable[[str, str], object]) -> tuple[str, int | None]:
+    """The folder of a query's results and how far its watermark has come."""
     home = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
     with _state_partitions(spark):
         query = start(f"{home}/out", f"{home}/checkpoint")
         query.awaitTermination()
-    return f"{home}/out"
+    return f"{home}/out", closed_until(query)
 
 
 def _text_bounds(df: DataFrame) -> DataFrame:
@@ -68,11 +76,13 @@ def window_sales(spark: SparkSession, folder: str) -> DataFrame:
     return _text_bounds(sinks.read_batches(spark, _run(spark, lambda out, ck: sinks.start_to_folder(rows, out, ck))))
 
 
-def _started(start) -> Callable[[SparkSession, str], DataFrame]:
+def _cumulative(slices, windows) -> Callable[[SparkSession, str], DataFrame]:
+    """Closed slices stored by the stream, the cumulative windows made of them on read."""
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        rows = order_rows(events(spark, folder))
-        out = _run(spark, lambda target, checkpoint: start(rows, target, checkpoint))
-        return sinks.read_batches(spark, f"{out}/windows")
+        rows = slices(order_rows(events(spark, folder)))
+        out, until = _finished(spark, lambda o, ck: sinks.start_to_folder(rows, o, ck))
+        return windows(sinks.read_batches(spark, out), until=until)
 
     return query
 
@@ -165,13 +175,48 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _as_files(text: DataFrame, files: int) -> DataFrame:
+    """Messages as a stream of several batches, in no order of their content."""
+    spark = text.sparkSession
+    home = f"{checkpoint_dir(spark).rstrip('/')}/messages/{uuid.uuid4().hex}"
+    text.repartition(files, F.xxhash64("value")).write.parquet(home)
+    return spark.readStream.schema(text.schema).option("maxFilesPerTrigger", 1).parquet(home)
+
+
+def current_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The current table of the orders behind a stream of their changes, which come out of order."""
+    keys, given = ["o_orderkey"], _as_files(loads.order_history(spark, folder), 5)
+    rows = changes.keyed_changes(given, loads.ORDER_ROW, keys, "shop.public.orders")
+    write = lambda out, ck: sinks.start_batches(rows, changes.current_table(out, keys, every=2), ck)
+    return changes.read_current(spark, _run(spark, write), keys)
+
+
+def order_changes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = changes.flatten_changes(_as_files(loads.change_text(spark, folder), 3), loads.ORDER_ROW)
+    rows = rows.where(F.col("table_name") == "shop.public.orders")
+    return sinks.read_batches(spark, _run(spark, lambda out, ck: sinks.start_to_folder(rows, out, ck)))
+
+
+def loaded_devices(spark: SparkSession, folder: str) -> DataFrame:
+    """The lenient load of device counts from a stream of messages."""
+    rows = sinks.load_json(_as_files(loads.device_text(spark, folder), 3), sinks.DEVICES)
+    return loads.shown_devices(sinks.read_batches(spark, _run(spark, lambda out, ck: sinks.start_to_folder(rows, out, ck))))
+
+
 QUERIES = {
+    "stream_current_orders": current_orders,
+    "stream_order_changes": order_changes,
+    "stream_load_devices": loaded_devices,
     "stream_window_sales": window_sales,
-    "stream_cumulative_sales": lambda s, f: _text_bounds(_started(stream_orders.start_cumulative_sales)(s, f)),
-    "stream_cumulative_top_products": lambda s, f: _started(
-        partial(stream_orders.start_cumulative_top_products, with_total=True)
+    "stream_cumulative_sales": lambda s, f: _text_bounds(
+        _cumulative(stream_orders.sales_slices, stream_orders.cumulative_sales)(s, f)
+    ),
+    "stream_cumulative_top_products": lambda s, f: _cumulative(
+        stream_orders.product_slices, partial(stream_orders.cumulative_top_products, with_total=True)
     )(s, f).withColumn("ds", F.col("ds").cast("string")),
-    "stream_cumulative_top_rows": lambda s, f: _text_bounds(_started(stream_orders.start_cumulative_top_rows)(s, f)),
+    "stream_cumulative_top_rows": lambda s, f: _text_bounds(
+        _cumulative(stream_orders.top_row_slices, stream_orders.cumulative_top_rows)(s, f)
+    ),
     "stream_tumbling_top_ids": top_ids,
     "stream_page_views": _daily(clicks.page_views, ["date", "page"]),
     "stream_top_keywords": _latest(
@@ -215,6 +260,9 @@ _CLOSED_PATHS = _CLOSED_LOGS.format(
 _PATTERNS = f"WITH n AS (SELECT path AS pattern, path_length, count(*) AS cnt FROM ({_CLOSED_PATHS}) GROUP BY ALL)"
 
 SQL = {
+    "stream_current_orders": LOAD_SQL["current_orders"],
+    "stream_order_changes": LOAD_SQL["order_changes"],
+    "stream_load_devices": LOAD_SQL["load_devices"],
     "stream_window_sales": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_window_sales"]),
     "stream_cumulative_sales": _CLOSED_ORDERS.format(sql=ORDER_SQL["order_cumulative_sales"]),
     "stream_cumulative_top_products": _CLOSED_ORDERS.format(sql=ORDER_SQL["cumulative_top_products"]),

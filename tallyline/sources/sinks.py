@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tallyline.sources.commits import BATCH, CommittedBatches, newest
+
 
 @dataclass(frozen=True)
 class LoadSpec:
@@ -107,20 +108,13 @@ def write_json(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(folder)
 
 
-def batch_folder(folder: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """Writer for ``foreachBatch``: each batch owns one folder, so a replay replaces it.
-
-    Together with the checkpoint of the query every row is stored exactly once.
-    """
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").format(fmt).save(f"{folder.rstrip('/')}/batch_id={batch_id}")
-
-    return write
+def batch_folder(folder: str, every: int = 50) -> CommittedBatches:
+    """Writer for ``foreachBatch``: a batch counts once, and only when all of it is stored."""
+    return CommittedBatches(folder, every=every)
 
 
 def fan_out(
-    metrics: dict[str, Callable[[DataFrame], DataFrame]], folder: str, fmt: str = "parquet"
+    metrics: dict[str, Callable[[DataFrame], DataFrame]], folder: str
 ) -> Callable[[DataFrame, int], None]:
     """Writer that derives several results from one batch, which is parsed only once."""
 
@@ -128,7 +122,7 @@ def fan_out(
         df.persist()
         try:
             for name, metric in metrics.items():
-                batch_folder(f"{folder.rstrip('/')}/{name}", fmt)(metric(df), batch_id)
+                batch_folder(f"{folder.rstrip('/')}/{name}")(metric(df), batch_id)
         finally:
             df.unpersist()
 
@@ -142,13 +136,13 @@ def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> Stre
 
 def start_to_folder(
     df: DataFrame, folder: str, checkpoint: str, mode: str = "append", every: str | None = None,
-    fmt: str = "parquet", batch: Callable[[DataFrame], DataFrame] | None = None,
+    batch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Stream into batch folders; without ``every`` it ends when the input is read.
+    """Stream into committed batches; without ``every`` it ends when the input is read.
 
     ``batch`` is applied to each micro-batch first (ranking, second aggregation).
     """
-    store = batch_folder(folder, fmt)
+    store = batch_folder(folder) if mode != "complete" else CommittedBatches(folder, lambda rows, _: _last_batch(rows))
 
     def write(rows: DataFrame, batch_id: int) -> None:
         store(batch(rows) if batch else rows, batch_id)
@@ -175,70 +169,24 @@ def start_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "append"
 
 
 def read_batches(spark, folder: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of all batch folders, without the batch number."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.option("basePath", folder).parquet(folder).drop("batch_id")
+    """Rows of all committed batches; a schema is needed only while there is none."""
+    return CommittedBatches(folder).rows(spark, schema).drop(BATCH)
 
 
-def keyed_batches(folder: str, keys: list[str], every: int = 50) -> Callable[[DataFrame, int], None]:
-    """Writer for update mode: batch folders, and after every so many batches a snapshot.
-
-    A snapshot holds the last row of each key and comes from the snapshot before it and
-    the batches since, so ``read_latest`` reads at most ``every`` batches. It counts only
-    with its mark, which is written behind it; a replay writes the same again. Batches
-    up to a mark are not needed any more.
-    """
-    folder = folder.rstrip("/")
-    store = batch_folder(folder)
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        store(df, batch_id)
-        if (batch_id + 1) % every == 0:
-            spark = df.sparkSession
-            rows = _since_snapshot(spark, folder, keys, batch_id)
-            rows.write.mode("overwrite").parquet(f"{folder}-snapshots/upto={batch_id}")
-            mark = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("upto"))
-            mark.write.mode("overwrite").parquet(f"{folder}-marks/batch_id={batch_id}")
-
-    return write
-
-
-def _last_mark(spark, folder: str, before: int | None) -> int | None:
-    """The newest snapshot's batch, of those before a batch if one is given."""
-    try:
-        marks = spark.read.schema("upto bigint").parquet(f"{folder}-marks")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None  # no snapshot yet
-        raise
-    return (marks if before is None else marks.where(F.col("upto") < before)).agg(F.max("upto")).first()[0]
-
-
-def _since_snapshot(spark, folder: str, keys: list[str], upto: int | None = None) -> DataFrame:
-    """The last row of each key with its ``batch_id``, of the batches up to the given one."""
-    rows = spark.read.option("basePath", folder).parquet(folder)
-    mark = _last_mark(spark, folder, upto)
-    if upto is not None:
-        rows = rows.where(F.col("batch_id") <= upto)
-    if mark is not None:
-        old = spark.read.schema(rows.schema).parquet(f"{folder}-snapshots/upto={mark}")
-        rows = rows.where(F.col("batch_id") > mark).unionByName(old)
-    return _newest(rows, keys, "batch_id")
-
-
-def _newest(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values, *more), "batch_id").alias("_row")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+def keyed_batches(folder: str, keys: list[str], every: int = 50) -> CommittedBatches:
+    """Writer for update mode; snapshots hold the last row of each key."""
+    return CommittedBatches(folder, lambda rows, _: newest(rows, keys), every)
 
 
 def read_latest(spark, folder: str, keys: list[str]) -> DataFrame:
     """The last stored row of each key: the table behind a query in update mode."""
-    return _since_snapshot(spark, folder.rstrip("/"), keys).drop("batch_id")
+    return newest(keyed_batches(folder, keys).rows(spark), keys).drop(BATCH)
 
 
 def latest_batch(spark, folder: str) -> DataFrame:
     """Rows of the last batch, the current state of a query in complete mode."""
-    rows = spark.read.option("basePath", folder).parquet(folder)
-    last = rows.agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(F.broadcast(last), "batch_id").drop("batch_id")
+    return CommittedBatches(folder).last(spark)
+
+
+def _last_batch(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(BATCH) == rows.agg(F.max(BATCH)).scalar())

@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tallyline.functions.text import clean_id, filled, lenient_number
-from tallyline.functions.times import DAY, ORDER_ZONE, SECOND, floor_to, wall_date, wall_micros
-from tallyline.operators.orders import MONEY, STEP, top_products
-from tallyline.operators.ranking import ranked_slots, text_list, top_n
+from tallyline.functions.times import DAY, ORDER_ZONE, wall_micros
+from tallyline.operators.orders import (
+    GMV, MONEY, SALES, STEP, rankable_rows, report_of_slices, sales_of_slices, top_rows_of_slices,
+)
+from tallyline.operators.ranking import ranked_slots, top_n
 from tallyline.operators.windows import BOUNDS, show_bounds
-from tallyline.sources.sinks import start_batches, start_to_folder
+from tallyline.sources.sinks import start_to_folder
 from tallyline.streaming.windows import (
-    DELAY, LOCAL, cumulative_row_batches, cumulative_sum_batches, size_text, slice_sums, timed, window_sums,
-    with_clock,
+    DELAY, LOCAL, last_end, slice_sums, timed, window_of, window_sums, with_bounds,
 )
 
-MILLI = SECOND // 1000
-# Shares of a slice that keep their best rows on their own.
-SHARES = 16
+# Lists of state that the rows of an open slice are spread over.
+SHARES = 64
 
 
 def window_sales(
@@ -32,44 +31,72 @@ def window_sales(
     return show_bounds(sums.withColumn("total_sum", F.col("total_sum").cast(MONEY)))
 
 
-def start_cumulative_sales(
-    orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY,
-    zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None,
-) -> StreamingQuery:
-    """Sales amount per cumulative window, into ``folder``/windows; the delay is in microseconds."""
-    name = "total_cumulative_amount"
-    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=size_text(delay))
-    amount = lenient_number("total_amount", "decimal(10,2)")
-    slices = slice_sums(rows, step, {name: amount}).withColumn(name, F.col(name).cast(MONEY))
-    write = cumulative_sum_batches(folder, [], [name], step, show_bounds, span, delay)
-    return start_batches(with_clock(slices, rows), write, checkpoint, every=every)
-
+def sales_slices(
+    orders: DataFrame, step: int = STEP, zone: str = ORDER_ZONE, delay: str = DELAY
+) -> DataFrame:
+    """Closed slices of the sales amount, in append mode; the state holds the open slices only."""
+    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=delay)
+    slices = slice_sums(rows, step, {SALES: lenient_number("total_amount", "decimal(10,2)")})
+    return slices.withColumn(SALES, F.col(SALES).cast(MONEY))
 
-def start_cumulative_top_products(
-    orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY, n: int = 5,
-    zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None, with_total: bool = False,
-) -> StreamingQuery:
-    """Best-selling products per cumulative window in the report form, into ``folder``/windows.
 
-    ``with_total`` adds the amount of the whole window; the delay is in microseconds.
-    """
+def product_slices(
+    orders: DataFrame, step: int = STEP, zone: str = ORDER_ZONE, delay: str = DELAY
+) -> DataFrame:
+    """Closed slices of the sales amount per product, in append mode."""
     amounts = orders.select(
         "ts_ms", clean_id("product_id").alias("product_id"),
         F.col("total_amount").cast("decimal(18,2)").alias("total_amount"),
     )
-    rows = timed(amounts, zone=zone, delay=size_text(delay))
-    slices = slice_sums(rows, step, {"product_gmv": F.col("total_amount")}, ["product_id"])
-    slices = slices.withColumn("product_gmv", F.col("product_gmv").cast(MONEY))
+    slices = slice_sums(timed(amounts, zone=zone, delay=delay), step, {GMV: F.col("total_amount")}, ["product_id"])
+    return slices.withColumn(GMV, F.col(GMV).cast(MONEY))
 
-    def finish(given: DataFrame) -> DataFrame:
-        result = top_products(given, n)
-        if with_total:
-            total = F.sum("product_gmv").cast("decimal(18,2)").alias("total_gmv")
-            result = result.join(given.groupBy(*BOUNDS).agg(total), BOUNDS)
-        return show_bounds(result.withColumn("ds", wall_date("window_start")), as_text=True)
 
-    write = cumulative_sum_batches(folder, ["product_id"], ["product_gmv"], step, finish, span, delay)
-    return start_batches(with_clock(slices, rows), write, checkpoint, every=every)
+def top_row_slices(
+    orders: DataFrame, step: int = STEP, n: int = 5, rank_by: str = "sale_num", zone: str = ORDER_ZONE,
+    delay: str = DELAY,
+) -> DataFrame:
+    """The n best order rows of each closed slice and share of it, in append mode.
+
+    The rows of an open slice are spread over SHARES lists of state by hash, and only
+    the best of a list are given out. The order is that of the batch form: rank
+    downwards with NULL last, then id, time and amount upwards with NULL first.
+    """
+    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=delay)
+    rows = rankable_rows(rows.withColumn("_at", wall_micros("ts_ms", zone)), rank_by, LOCAL)
+    place = F.struct(F.col("_rank_by").isNull(), -F.col("_rank_by").cast("bigint"), "id", "_at", "_amount", "_rank_by")
+    best = F.slice(F.array_sort(F.collect_list(place)), 1, n).alias("_best")
+    share = F.pmod(F.xxhash64("id", "_at"), F.lit(SHARES)).alias("_share")
+    closed = with_bounds(rows.groupBy(window_of(step), share).agg(best))
+    return closed.select(F.col("window_start").alias("_slice"), F.inline("_best")).select(
+        "_slice", "id", "_at", "_amount", "_rank_by"
+    )
+
+
+# The stored form of these streams are the closed slices (``sinks.start_to_folder``): one row per
+# key and step. A cumulative window is read from the slices of its span; nothing but the
+# open slices is state, and no window is stored twice. ``until`` (streaming.windows.closed_until)
+# tells how far the watermark had come; without it windows end with the last closed slice.
+
+
+def cumulative_sales(slices: DataFrame, step: int = STEP, span: int = DAY, until: int | None = None) -> DataFrame:
+    """Sales amount per cumulative window from stored ``sales_slices``."""
+    return sales_of_slices(slices, step, span, last_end(slices, step, until))
+
+
+def cumulative_top_products(
+    slices: DataFrame, step: int = STEP, span: int = DAY, n: int = 5, with_total: bool = False,
+    until: int | None = None,
+) -> DataFrame:
+    """Best-selling products per cumulative window in the report form from stored ``product_slices``."""
+    return report_of_slices(slices, step, span, n, with_total, last_end(slices, step, until))
+
+
+def cumulative_top_rows(
+    slices: DataFrame, step: int = STEP, span: int = DAY, n: int = 5, until: int | None = None
+) -> DataFrame:
+    """The n best order rows per cumulative window from stored ``top_row_slices``."""
+    return top_rows_of_slices(slices, step, span, n, last_end(slices, step, until))
 
 
 def start_tumbling_top_ids(
@@ -85,85 +112,3 @@ def start_tumbling_top_ids(
         return show_bounds(ranked.groupBy(*BOUNDS).agg(ranked_slots("id", "rn", n).alias("top5_ids")))
 
     return start_to_folder(sums, folder, checkpoint, every=every, batch=rank)
-
-
-BEST_ROWS = "_slice bigint, id string, _rank_by int, _at bigint, _amount string"
-BEST_STATE = "ids array<string>, ranks array<int>, ats array<bigint>, amounts array<string>"
-
-
-def slice_top_rows(rows: DataFrame, step: int, n: int) -> DataFrame:
-    """The n best rows of each slice and share, given out once the watermark has passed the slice.
-
-    ``rows`` hold ``id``, ``_rank_by``, ``_at``, ``_amount`` (text) and the watermarked
-    time. The rows of a slice are spread over shares by hash; the state of a share is
-    its n best rows, in the order of the batch form: rank downwards with NULL last,
-    then id, time and amount upwards with NULL first.
-    """
-
-    def best(key, batches, state):
-        from decimal import Decimal
-
-        import pandas as pd
-
-        def place(row):
-            name, rank, at, amount = row
-            return rank is None, -(rank or 0), name is not None, name or "", at, amount is not None, Decimal(amount or 0)
-
-        def shown(kept):
-            frame = pd.DataFrame(kept, columns=["id", "_rank_by", "_at", "_amount"], dtype=object)
-            frame.insert(0, "_slice", key[0])
-            return frame
-
-        end = (int(key[0]) + step) // 1000
-        kept = list(zip(*state.get)) if state.exists else []
-        if state.hasTimedOut or end <= state.getCurrentWatermarkMs():
-            if kept:
-                state.remove()
-                yield shown(kept)
-            return
-        for batch in batches:
-            plain = batch[["id", "_rank_by", "_at", "_amount"]].astype(object)
-            new = plain.where(plain.notna(), None).itertuples(index=False, name=None)
-            new = [(i, None if r is None else int(r), int(t), a) for i, r, t, a in new]
-            kept = sorted(kept + new, key=place)[:n]
-        state.update(tuple(list(values) for values in zip(*kept)))
-        state.setTimeoutTimestamp(end)
-
-    shares = rows.withColumns(
-        {"_slice": floor_to(F.col("_at"), step), "_share": F.pmod(F.xxhash64("id", "_at"), F.lit(SHARES))}
-    )
-    return shares.groupBy("_slice", "_share").applyInPandasWithState(
-        best, BEST_ROWS, BEST_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
-def start_cumulative_top_rows(
-    orders: DataFrame, folder: str, checkpoint: str, step: int = STEP, span: int = DAY, n: int = 5,
-    rank_by: str = "sale_num", zone: str = ORDER_ZONE, delay: int = 5 * SECOND, every: str | None = None,
-) -> StreamingQuery:
-    """The n best order rows per cumulative window, into ``folder``/windows.
-
-    The delay is in microseconds. Rows behind the watermark are late.
-    """
-    rows = timed(orders.where(filled("total_amount")), zone=zone, delay=size_text(delay)).select(
-        "id", lenient_number("total_amount", "decimal(10,2)").cast("string").alias("_amount"),
-        lenient_number(rank_by, "int").alias("_rank_by"), wall_micros("ts_ms", zone).alias("_at"), LOCAL,
-    )
-    slices = slice_top_rows(rows, step, n).withColumn("_amount", F.col("_amount").cast("decimal(10,2)"))
-    order = [F.desc("_rank_by"), F.asc("id"), F.asc("_at"), F.asc("_amount")]
-
-    def best(some: DataFrame, keys: list[str]) -> DataFrame:
-        return top_n(some, keys, order, n).drop("rn")
-
-    def finish(given: DataFrame) -> DataFrame:
-        ranked = top_n(given, BOUNDS, order, n)
-        return show_bounds(
-            ranked.groupBy(*BOUNDS).agg(
-                F.sum("_amount").cast(MONEY).alias("total_cumulative_amount"),
-                F.concat(F.lit("["), text_list("id", "rn"), F.lit("]")).alias("top5_ids"),
-            )
-        )
-
-    # the state times out after the watermark has passed its time, in milliseconds
-    write = cumulative_row_batches(folder, best, step, finish, span, delay + MILLI)
-    return start_batches(with_clock(slices, rows), write, checkpoint, every=every)

@@ -1,20 +1,18 @@
-"""Event time, closing windows and cumulative windows on streams."""
+"""Event time and closing windows on streams."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import UTC, datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.functions.times import DAY, ORDER_ZONE, floor_to
-from tallyline.operators.windows import cumulate, spread_over_windows
-from tallyline.sources.sinks import batch_folder
+from tallyline.functions.times import ORDER_ZONE
 
 DELAY = "5 seconds"
 LOCAL = "_local"
-CLOCK = "_clock"
+EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
 
 
 def timed(df: DataFrame, ts: str = "ts_ms", zone: str = ORDER_ZONE, delay: str = DELAY) -> DataFrame:
@@ -51,129 +49,18 @@ def slice_sums(df: DataFrame, step: int, sums: dict[str, Column], keys: list[str
     return closed.withColumnRenamed("window_start", "_slice").drop("window_end")
 
 
-def with_clock(slices: DataFrame, rows: DataFrame) -> DataFrame:
-    """Closed slices together with the event times of the rows they are made of.
+def closed_until(query: StreamingQuery) -> int | None:
+    """The engine's watermark of the query's last batch in local microseconds; None before there is one.
 
-    A batch then knows how far the watermark had come when its slices closed, also
-    through stretches without any row. ``rows`` are the input of ``slices``.
+    All windows that end by then have been given out, those of quiet stretches too.
     """
-    clock = rows.select(F.unix_micros(LOCAL).alias(CLOCK))
-    return slices.unionByName(clock, allowMissingColumns=True)
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    known = [datetime.fromisoformat(m) - EPOCH for m in marks if not m.startswith("1970-01-01T00:00:00")]
+    return max((t // timedelta(microseconds=1) for t in known), default=None)
 
 
-class CumulativeBatches:
-    """Cumulative windows from closed slices, for ``foreachBatch``.
-
-    The engine closes the slices; a batch gives out all windows up to the watermark
-    that closed them, those of quiet stretches too. Between batches a table ``carry``
-    is kept, with one row per key: the value from the start of the span up to the last
-    window given out. Work follows the keys, not keys times windows. A batch reads one
-    of two carry folders and writes the other, so storage does not grow with time and
-    a replay of the last batch gives the same rows again.
-
-    Input is that of ``with_clock``. ``windows`` turns slices into window rows,
-    ``finish`` makes the result of them and ``combine`` reduces rows with equal
-    ``_slice``. ``delay`` (microseconds) is that of the watermark.
-    """
-
-    def __init__(
-        self, folder: str, step: int, windows: Callable[[DataFrame, int], DataFrame],
-        combine: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame], span: int = DAY,
-        delay: int = 0,
-    ):
-        self.folder, self.step, self.span, self.delay = folder.rstrip("/"), step, span, delay
-        self.windows, self.combine, self.finish = windows, combine, finish
-
-    def _last(self, spark, batch_id: int):
-        """The mark of the batch before, or else the newest older one; None at the start.
-
-        Every batch leaves a mark, so normally one small file is read however long
-        the query has been running.
-        """
-        home = f"{self.folder}/marks"
-        newest = F.max(F.struct("batch_id", "slot", "last_end", "latest")).alias("m")
-        for path in (f"{home}/batch_id={batch_id - 1}", home):
-            try:
-                marks = spark.read.option("basePath", home).parquet(path)
-            except AnalysisException as e:
-                if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    continue  # nothing stored there
-                raise
-            mark = marks.where(F.col("batch_id") < batch_id).agg(newest).first()["m"]
-            if mark is not None:
-                return mark
-        return None
-
-    def _mark(self, spark, batch_id: int, slot: int | None, last_end: int | None, latest: int | None) -> None:
-        values = {"slot": slot, "last_end": last_end, "latest": latest}
-        row = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in values.items()])
-        batch_folder(f"{self.folder}/marks")(row.coalesce(1), batch_id)
-
-    def __call__(self, rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        given = rows.persist()
-        try:
-            seen = given.agg(F.max(CLOCK)).first()[0]
-            last = self._last(spark, batch_id)
-            slot, last_end, before = (last["slot"], last["last_end"], last["latest"]) if last else (None, None, None)
-            # the watermark of a batch comes from the batches before it
-            closed = None if before is None else (before - self.delay) // self.step * self.step
-            if closed is not None and (last_end is None or closed > last_end):
-                slices = given.where(F.col("_slice").isNotNull()).drop(CLOCK)
-                slot, last_end = self._store(slices, slot, last_end, closed, batch_id), closed
-            latest = max((t for t in (seen, before) if t is not None), default=None)
-            self._mark(spark, batch_id, slot, last_end, latest)
-        finally:
-            given.unpersist()
-
-    def _store(self, slices: DataFrame, slot: int | None, before: int | None, closed: int, batch_id: int) -> int:
-        """Gives out the windows that end after ``before`` up to ``closed``; returns the slot of the carry."""
-        if slot is not None:
-            carry = slices.sparkSession.read.parquet(f"{self.folder}/carry/{slot}")
-            slices = slices.select(*carry.columns).unionByName(carry)
-        ended = self.windows(slices, closed)
-        if before is not None:
-            ended = ended.where(F.col("window_end") > before)
-        batch_folder(f"{self.folder}/windows")(self.finish(ended), batch_id)
-
-        open_span = floor_to(F.col("_slice"), self.span) + self.span > closed
-        place = F.greatest(F.col("_slice"), F.lit(closed - self.step))
-        next_slot = 1 - (slot or 0)
-        kept = self.combine(slices.where(open_span).withColumn("_slice", place))
-        kept.write.mode("overwrite").parquet(f"{self.folder}/carry/{next_slot}")
-        return next_slot
-
-
-def cumulative_sum_batches(
-    folder: str, keys: list[str], sums: list[str], step: int, finish: Callable[[DataFrame], DataFrame],
-    span: int = DAY, delay: int = 0,
-) -> CumulativeBatches:
-    """Running sums per key and cumulative window."""
-
-    def windows(rows: DataFrame, last_end: int) -> DataFrame:
-        return spread_over_windows(rows, "_slice", step, span, keys, sums, last_end)
-
-    def combine(rows: DataFrame) -> DataFrame:
-        types = dict(rows.dtypes)
-        return rows.groupBy("_slice", *keys).agg(*[F.sum(s).cast(types[s]).alias(s) for s in sums])
-
-    return CumulativeBatches(folder, step, windows, combine, finish, span, delay)
-
-
-def cumulative_row_batches(
-    folder: str, best: Callable[[DataFrame, list[str]], DataFrame], step: int,
-    finish: Callable[[DataFrame], DataFrame], span: int = DAY, delay: int = 0,
-) -> CumulativeBatches:
-    """Best rows per cumulative window, from the best rows of closed slices.
-
-    ``best(rows, keys)`` keeps the top rows of each group, so the carry holds only the
-    top rows of the span.
-    """
-
-    def windows(rows: DataFrame, last_end: int) -> DataFrame:
-        return cumulate(best(rows, ["_slice"]), "_slice", step, span, last_end)
-
-    def combine(rows: DataFrame) -> DataFrame:
-        return best(rows, ["_slice"])
-
-    return CumulativeBatches(folder, step, windows, combine, finish, span, delay)
+def last_end(slices: DataFrame, step: int, until: int | None = None) -> Column:
+    """Up to where cumulative windows are known: ``until``, or else the end of the last closed slice."""
+    if until is not None:
+        return F.lit(until // step * step)
+    return slices.agg((F.max("_slice") + step).alias("end")).scalar()

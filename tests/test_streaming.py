@@ -18,6 +18,7 @@ from tallyline.sources import sinks
 from tallyline.sources.topics import parse_json
 from tallyline.streaming import clicks as stream_clicks
 from tallyline.streaming import orders as stream_orders
+from tallyline.streaming.windows import closed_until
 
 FILES = 4
 
@@ -68,36 +69,42 @@ def test_window_sales(spark, split, tmp_path):
     assert want.count() - got.count() <= 2
 
 
-STARTS = {
-    "sales": (stream_orders.start_cumulative_sales, orders.cumulative_sales),
+CUMULATIVE = {
+    "sales": (stream_orders.sales_slices, stream_orders.cumulative_sales, orders.cumulative_sales),
     "products": (
-        partial(stream_orders.start_cumulative_top_products, with_total=True),
+        stream_orders.product_slices, partial(stream_orders.cumulative_top_products, with_total=True),
         partial(orders.cumulative_product_gmv, with_total=True),
     ),
-    "rows": (stream_orders.start_cumulative_top_rows, orders.cumulative_top_rows),
+    "rows": (stream_orders.top_row_slices, stream_orders.cumulative_top_rows, orders.cumulative_top_rows),
 }
 
 
-@pytest.mark.parametrize("name", STARTS)
+@pytest.mark.parametrize("name", CUMULATIVE)
 def test_cumulative_windows_and_replay(spark, split, tmp_path, name):
-    start, batch = STARTS[name]
+    slices, windows, batch = CUMULATIVE[name]
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    finish(start(order_rows(stream(spark, split)), out, ck))
-    got = sinks.read_batches(spark, f"{out}/windows")
-    folders = {p.name for p in Path(out, "windows").iterdir() if p.name.startswith("batch_id")}
-    assert len(folders) >= 3
+    query = sinks.start_to_folder(slices(order_rows(stream(spark, split))), out, ck)
+    finish(query)
+    got = windows(sinks.read_batches(spark, out), until=closed_until(query))
+    assert len(list(Path(out, "log").glob("batch.*"))) >= 3
     want = batch(order_rows(spark.read.parquet(split)))
     same(got, closed_before(got, want))
-    rows = got.count()
-    assert len([p for p in Path(out, "carry").iterdir() if p.is_dir()]) <= 2
-
-    # The commit of the last batch is lost: it runs again and replaces its own rows.
+    # without a mark the windows end with the last closed slice
+    rows = windows(sinks.read_batches(spark, out))
+    same(rows, closed_before(rows, want))
+    # the state of the last batch holds open slices only: two at most, 64 shares of the rows each
+    state = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    products = order_rows(spark.read.parquet(split)).select("product_id").distinct().count()
+    assert state <= 2 * {"sales": 1, "products": products, "rows": stream_orders.SHARES}[name]
+
+    # The commit of the last batch is lost: it runs again and adds nothing.
+    stored = sinks.read_batches(spark, out).count()
     again = str(tmp_path / "ck-again")
     commits = sorted((int(p.name) for p in Path(ck, "commits").iterdir() if p.name.isdigit()))
     lost = {str(commits[-1]), f".{commits[-1]}.crc"}
     shutil.copytree(ck, again, ignore=lambda d, names: lost & set(names) if d.endswith("commits") else set())
-    finish(start(order_rows(stream(spark, split)), out, again))
-    assert sinks.read_batches(spark, f"{out}/windows").count() == rows
+    finish(sinks.start_to_folder(slices(order_rows(stream(spark, split))), out, again))
+    assert sinks.read_batches(spark, out).count() == stored
 
 
 def test_top_ids(spark, split, tmp_path):
@@ -125,7 +132,7 @@ def test_update_mode_table(spark, split, tmp_path, job, keys):
     """The last row per key over all micro-batches is the batch result."""
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     finish(sinks.start_to_folder(job(log_rows(stream(spark, split))), out, ck, mode="update"))
-    assert len(list(Path(out).glob("batch_id=*"))) >= FILES
+    assert len(list(Path(out, "log").glob("batch.*"))) >= FILES
     same(sinks.read_latest(spark, out, keys), job(log_rows(spark.read.parquet(split))))
 
 
@@ -150,9 +157,11 @@ def test_daily_table_is_bounded(spark, split, tmp_path, name):
     same(stream_clicks.over_days(sinks.read_latest(spark, out, stored), keys), want)
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < want.count()
     assert sum(p["stateOperators"][0]["numRowsRemoved"] for p in query.recentProgress if p["stateOperators"]) > 0
-    junk = spark.read.parquet(f"{out}/batch_id=1")
-    junk.withColumns({keys[-2]: F.lit("junk")}).write.mode("overwrite").parquet(f"{out}/batch_id=0")
-    same(stream_clicks.over_days(sinks.read_latest(spark, out, stored), keys), want)
+    batches = query.lastProgress["batchId"] + 1
+    log = sorted(p.name.rsplit(".", 1)[0] for p in Path(out, "log").iterdir() if not p.name.startswith("."))
+    last = (batches // 2) * 2 - 1
+    assert log == sorted([f"snapshot.{last}", f"snapshot.{last - 2}"] + [f"batch.{k}" for k in range(last - 1, batches)])
+    assert len([p for p in Path(out, "data").iterdir()]) == len(log)
 
 
 @pytest.mark.parametrize(
@@ -177,14 +186,15 @@ def test_late_rows_are_dropped(spark, split, tmp_path):
         rows.where(F.col("ts") >= second).unionByName(late),
     ):
         part.coalesce(1).write.mode("append").parquet(str(home))
-    for name, (start, batch) in STARTS.items():
+    for name, (slices, windows, batch) in CUMULATIVE.items():
         out, ck = str(tmp_path / name), str(tmp_path / f"{name}-ck")
-        finish(start(order_rows(stream(spark, str(home))), out, ck))
-        got = sinks.read_batches(spark, f"{out}/windows")
+        query = sinks.start_to_folder(slices(order_rows(stream(spark, str(home)))), out, ck)
+        finish(query)
+        got = windows(sinks.read_batches(spark, out), until=closed_until(query))
         same(got, closed_before(got, batch(order_rows(rows))))
 
 
-@pytest.mark.parametrize("name", STARTS)
+@pytest.mark.parametrize("name", CUMULATIVE)
 def test_quiet_stretches(spark, tmp_path, name):
     """Windows of hours without any row come as soon as the watermark has passed them."""
     minutes = [[1, 2], [185, 186], [187], [190 + 24 * 60]]
@@ -195,11 +205,13 @@ def test_quiet_stretches(spark, tmp_path, name):
         df.coalesce(1).write.mode("append").parquet(home)
     schema = spark.read.parquet(home).schema
     timed = lambda df: df.withColumn("ts_ms", F.timestamp_millis("ms")).drop("ms")
-    start, batch = STARTS[name]
+    slices, windows, batch = CUMULATIVE[name]
     given = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(home)
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    finish(start(timed(given), out, ck))
-    got, want = sinks.read_batches(spark, f"{out}/windows"), batch(timed(spark.read.parquet(home)))
+    query = sinks.start_to_folder(slices(timed(given)), out, ck)
+    finish(query)
+    got = windows(sinks.read_batches(spark, out), until=closed_until(query))
+    want = batch(timed(spark.read.parquet(home)))
     # the last order lies at 03:10 of the next day: all windows of the first day have closed
     last = "2025-10-28 03:00:00"
     same(got, want.where(F.col("window_end").cast("string") <= last))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import ratio
 from tallyline.functions.times import naive_micros
-from tallyline.operators.ranking import top_n
+from tallyline.operators.ranking import spread_ranks, top_n
 
 PRODUCT = ["shop_id", "product_id"]
 PRODUCT_DAY = [*PRODUCT, "ds"]
@@ -266,19 +266,15 @@ def segment_analysis(sales: DataFrame, price: list, quantity: list, amount: list
 
 
 def product_ranking(summary: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Ranks of the products by amount, quantity, visitors and conversion.
+    """Ranks of the products of a shop and day by amount, quantity, visitors and conversion.
 
-    The group of a rank is the product list of one shop and day, one row each.
+    The products of a shop are ranked over all tasks, see ``ranking.spread_ranks``.
     """
-    by = by or ["shop_id", "ds"]
-    rates = with_rates(summary)
     ranks = {
         "sales_amount_rank": "pay_amount", "sales_quantity_rank": "pay_quantity",
         "visitor_rank": "visitor_count", "conversion_rank": "pay_conversion_rate",
     }
-    return rates.withColumns(
-        {name: F.rank().over(Window.partitionBy(*by).orderBy(F.desc(c))) for name, c in ranks.items()}
-    )
+    return spread_ranks(with_rates(summary), by or ["shop_id", "ds"], ranks)
 
 
 def sku_sales(orders: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -99,17 +99,17 @@ def current_rows(changes: DataFrame, keys: list[str]) -> DataFrame:
     return last.where(~F.col("op").eqNullSafe("d")).drop("op", "position", BATCH)
 
 
-def current_table(folder: str, keys: list[str], every: int = 50) -> CommittedBatches:
+def current_table(folder: str, keys: list[str], every: int = 50, late: int = 1_000) -> CommittedBatches:
     """Writer of a current table for ``foreachBatch``: changes as they come, merged on read.
 
-    Snapshots hold the last change of each key. A delete stays in them until the next
-    snapshot, so a change that comes more than ``every`` batches behind the delete
-    of its row, but lies before it in the source, would count as new.
+    Snapshots hold the last change of each key, a delete too while the snapshot before the
+    last one is less than ``late`` batches behind it. A change that lies before the delete of
+    its row in the source but comes that much later would count as new.
     """
 
     def merge(rows: DataFrame, before: int) -> DataFrame:
         last = last_changes(rows, keys)
-        return last.where(~F.col("op").eqNullSafe("d") | (F.col(BATCH) > before))
+        return last.where(~F.col("op").eqNullSafe("d") | (F.col(BATCH) > before - late))
 
     return CommittedBatches(folder, merge, every)
 

@@ -95,7 +95,7 @@ HISTORY = [("r", 1, "a", None), ("u", 1, "b", 5), ("d", 1, "b", 9), ("c", 1, "c"
 def test_current_table_in_any_order_of_arrival(spark, tmp_path, order):
     arrived = list(itertools.islice(itertools.permutations(HISTORY), order, order + 1))[0]
     out = str(tmp_path / "t")
-    store = changes.current_table(out, ["id"], every=50)
+    store = changes.current_table(out, ["id"], every=2)
     for k, change in enumerate(arrived):
         text = spark.createDataFrame([(envelope(*change),), ("not json",), (None,)], "value string")
         store(changes.keyed_changes(text, ROW, ["id"], "d.s.t"), k)
@@ -108,7 +108,7 @@ def test_current_table_in_any_order_of_arrival(spark, tmp_path, order):
 
 def test_deletes_leave_the_snapshots(spark, tmp_path):
     out = str(tmp_path / "t")
-    store = changes.current_table(out, ["id"], every=2)
+    store = changes.current_table(out, ["id"], every=2, late=0)
     for k in range(8):
         some = [envelope("c", k, "n", 10 * k)] + ([envelope("d", k - 1, "n", 10 * k + 1)] if k else [])
         text = spark.createDataFrame([(t,) for t in some], "value string")

@@ -94,7 +94,8 @@ def log_rows(events: DataFrame) -> DataFrame:
         pick(BRANDS, user % 12).alias("brand"),
         F.concat(F.lit("m"), event % 3).alias("model"),
         event.cast("string").alias("log_id"),
-        F.concat(F.lit("10."), user % 220, F.lit("."), event % 250, F.lit(".7")).alias("ip"),
+        F.when(user % 11 == 0, F.format_string("2001:db8:%x::%x", user % 30 + 200, event % 250))
+        .otherwise(F.concat(F.lit("10."), user % 220, F.lit("."), event % 250, F.lit(".7"))).alias("ip"),
         page[F.col("event_type")].alias("log_type"),
         event_millis().cast("string").alias("ts"),
         _product().alias("product_id"),
@@ -117,28 +118,37 @@ l AS (
          epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M:%S') AS clock,
          hour(ts) AS hour, regexp_extract(props, '[0-9]+') AS product_id,
          'kw' || (CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 40) || '， kw' || (event_id % 7) || ',' AS keywords,
-         '10.' || (user_id % 220) || '.' || (event_id % 250) || '.7' AS ip, ts, event_id, user_id AS uid
+         CASE WHEN user_id % 11 = 0 THEN printf('2001:db8:%x::%x', (user_id % 30 + 200)::INT, (event_id % 250)::INT)
+              ELSE '10.' || (user_id % 220) || '.' || (event_id % 250) || '.7' END AS ip, ts, event_id, user_id AS uid
   FROM events
 )"""
 
-# The places of the address ranges: nations, eight second octets each.
+# The places of the address ranges: nations, eight second octets and one third group each.
 RANGE_SIZE = 8 * 65_536
 RANGE_START = 10 * 16_777_216
 
 
 def ip_ranges(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    low = F.lit(RANGE_START) + F.col("n_nationkey") * RANGE_SIZE
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        low.cast("bigint").alias("lo"), (low + RANGE_SIZE - 1).cast("bigint").alias("hi"),
-        F.col("r_name").alias("country"), F.col("n_name").alias("province"),
+    key = F.col("n_nationkey").cast("int")
+    named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).withColumn(
+        "_ends",
+        F.explode(
+            F.array(
+                F.struct(F.format_string("10.%d.0.0", key * 8).alias("lo"), F.format_string("10.%d.255.255", key * 8 + 7).alias("hi")),
+                F.struct(F.format_string("2001:DB8:%x::", key + 200).alias("lo"), F.format_string("2001:db8:%x:ffff:ffff:ffff:ffff:ffff", key + 200).alias("hi")),
+            )
+        ),
+    )
+    return named.select(
+        "_ends.*", F.col("r_name").alias("country"), F.col("n_name").alias("province"),
         F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.concat(F.lit("C"), "n_nationkey")).alias("city"),
     )
 
 
 RANGES_SQL = f"""
 g AS (
-  SELECT {RANGE_START} + n_nationkey::BIGINT * {RANGE_SIZE} AS lo,
+  SELECT n_nationkey + 200 AS third, {RANGE_START} + n_nationkey::BIGINT * {RANGE_SIZE} AS lo,
          {RANGE_START} + (n_nationkey::BIGINT + 1) * {RANGE_SIZE} - 1 AS hi, r_name AS country,
          n_name AS province, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE 'C' || n_nationkey END AS city
   FROM nation JOIN region ON n_regionkey = r_regionkey
@@ -146,7 +156,8 @@ g AS (
 located AS (
   SELECT l.*, coalesce(country, '') AS country, coalesce(province, '') AS province, coalesce(city, '') AS city,
          concat_ws(' ', nullif(country, ''), nullif(province, ''), nullif(city, '')) AS region
-  FROM l LEFT JOIN g ON 167772160 + (uid % 220) * 65536 + (event_id % 250) * 256 + 7 BETWEEN lo AND hi
+  FROM l LEFT JOIN g ON CASE WHEN uid % 11 = 0 THEN third = uid % 30 + 200
+                             ELSE 167772160 + (uid % 220) * 65536 + (event_id % 250) * 256 + 7 BETWEEN lo AND hi END
 )"""
 
 

@@ -27,8 +27,3 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows written once to the checkpoint folder and read back from there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
-
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether the (stored) table has at most ``rows`` rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows

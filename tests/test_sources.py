@@ -127,10 +127,9 @@ def logs(spark):
     )
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_enrichment(spark, broadcast_rows):
+def test_enrichment(spark):
     ranges = spark.createDataFrame(RANGES, IP_RANGE)
-    rows = geo.enrich_logs(logs(spark), ranges, broadcast_rows=broadcast_rows)
+    rows = geo.enrich_logs(logs(spark), ranges)
     assert rows.columns == ENRICHED_LOG.fieldNames()
     got = {r.log_id: r for r in rows.collect()}
     assert {k: r.region for k, r in got.items()} == {
@@ -142,15 +141,56 @@ def test_enrichment(spark, broadcast_rows):
     assert got["d"].ip is None and got["a"].net == "5g" and got["a"].plat == "iOS"
 
 
-def test_many_rows_of_one_address(spark):
-    """Salted and broadcast lookup agree when one address holds most rows."""
-    rows = spark.range(2000).select(
-        F.col("id").cast("string").alias("log_id"),
-        F.when(F.col("id") % 3 > 0, "1.0.0.9").otherwise(F.concat(F.lit("1.2.3."), F.col("id") % 256)).alias("ip"),
-    )
-    ranges = spark.createDataFrame(RANGES, IP_RANGE)
-    small, salted = (geo.locate(rows, ranges, broadcast_rows=b) for b in (1_000_000, 0))
-    assert small.count() == 2000 and small.exceptAll(salted).count() == 0 and salted.count() == 2000
+ADDRESSES = [
+    "1.0.0.9", "255.255.255.255", "256.0.0.1", "1.2.3", "01.2.3.4", "::", "::1", "1::", "fe80::1:2", "FE80:0:0:0:0:0:1:2", "2001:db8::ffff",
+    "::ffff:1.0.0.9", "::FFFF:100:9", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8:9", "1::2::3", ":1", "1:", "12345::", "g::", "",
+    None, "1:2:3:4:5:6:1.2.3.4", "::1.2.3.400", "fe80::1%eth0", "1:2:3:4:5:6:7:8::",
+]
+
+
+def test_address_keys(spark):
+    import ipaddress
+
+    def plain(text):
+        try:
+            n = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        if "%" in text:
+            return None  # of one machine only
+        return f"{int(n) + (0xFFFF << 32 if n.version == 4 else 0):032x}"
+
+    rows = spark.createDataFrame([(a,) for a in ADDRESSES], "ip string").select("ip", geo.ip_key("ip").alias("key")).collect()
+    # leading zeros of dotted numbers are read as they always were
+    assert {r.ip: r.key for r in rows} == {a: plain(a) if a != "01.2.3.4" else plain("1.2.3.4") for a in ADDRESSES}
+
+
+def test_sweep_of_many_slices(spark):
+    """One address with most rows, ranges over many slices, ends of ranges, gaps and both kinds of address."""
+    import bisect
+    import ipaddress
+
+    n = F.col("id")
+    v4 = F.concat_ws(".", F.lit("1"), n % 7, n * 31 % 256, n * 17 % 256)
+    v6 = F.format_string("2001:db8:%x::%x", n % 5, n % 300)
+    ip = F.when(n % 3 > 0, "1.0.0.9").when(n % 30 == 0, None).when(n % 2 == 0, v4).otherwise(v6)
+    rows = spark.range(6000).select(n.cast("string").alias("log_id"), ip.alias("ip"), F.lit("clash").alias("hi"), F.lit("k").alias("_hi2"))
+    spans = [("1.0.0.0", "1.0.0.9", "a"), ("1.0.0.10", "1.3.255.255", "b"), ("1.5.0.0", "1.6.77.0", "c"), ("2001:db8::", "2001:db8:2:ffff::", "d"), ("2001:db8:4::", "2001:db8:4::ff", "e")]
+    ranges = spark.createDataFrame([(lo, hi, c, "", "") for lo, hi, c in spans], "lo string, hi string, country string, province string, city string")
+    number = lambda t: (lambda a: int(a) + (0xFFFF << 32 if a.version == 4 else 0))(ipaddress.ip_address(t))
+    lows = sorted((number(lo), number(hi), c) for lo, hi, c in spans)
+
+    def plain(t):
+        k = bisect.bisect_right(lows, (number(t), 1 << 130, "")) - 1 if t else -1
+        return lows[k][2] if k >= 0 and number(t) <= lows[k][1] else ""
+
+    got = geo.locate(rows, ranges)
+    assert got.columns == [*rows.columns, "country", "province", "city"]
+    found = got.collect()
+    assert len(found) == 6000 and len({r.log_id for r in found}) == 6000
+    assert all(r.country == plain(r.ip) for r in found)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert geo.locate(rows.limit(0), ranges).count() == 0 and geo.locate(rows, ranges.limit(0)).where("country <> ''").count() == 0
 
 
 def test_enrichment_without_ranges(spark):

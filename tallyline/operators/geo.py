@@ -104,21 +104,21 @@ def locate(rows: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
         F.percentile_approx(_size("_key"), [k / slices for k in range(1, slices)], 10 * slices).alias("cuts")
     ).scalar()
 
-    def first(size: str) -> Column:
-        return F.coalesce(F.size(F.filter("_cuts", lambda b: b < F.col(size))), F.lit(0))
-
-    def last(size: str) -> Column:
-        return F.coalesce(F.size(F.filter("_cuts", lambda b: b <= F.col(size))), F.lit(0))
+    def slots(key: str) -> Column:
+        """First and last slice of a key: the quantiles below it, and those not above it."""
+        below = lambda size, c: F.aggregate(cuts_of, F.lit(0), lambda n, b: n + c(b, size).cast("int"))
+        cuts_of = F.coalesce("_cuts", F.array().cast("array<double>"))
+        return _let(_size(key), lambda s: F.struct(below(s, lambda b, z: b < z).alias("first"), below(s, lambda b, z: b <= z).alias("last")))
 
+    sized = keyed.withColumn("_cuts", cuts).withColumn("_at", F.when(F.col("_key").isNotNull(), slots("_key")))
     deal = F.xxhash64("_row")
     of_row = F.when(F.col("_key").isNull(), F.pmod(deal, F.lit(slices))).otherwise(
-        first("_size") + F.pmod(deal, last("_size") - first("_size") + 1)
+        F.col("_at.first") + F.pmod(deal, F.col("_at.last") - F.col("_at.first") + 1)
     )
+    spans = _keyed(ranges).withColumn("_cuts", cuts).withColumns({"_from": slots("_lo"), "_to": slots("_hi")})
     place = F.struct(F.col("_hi").alias("hi"), *PLACES)
-    sized = keyed.withColumns({"_size": _size("_key"), "_cuts": cuts})
-    spans = _keyed(ranges).withColumns({"_from": _size("_lo"), "_to": _size("_hi"), "_cuts": cuts})
     both = sized.select("_row", "_key", of_row.cast("int").alias("_slice")).unionByName(
-        spans.select(F.explode(F.sequence(first("_from"), last("_to"))).alias("_slice"), F.col("_lo").alias("_key"), place.alias("_range")),
+        spans.select(F.explode(F.sequence("_from.first", "_to.last")).alias("_slice"), F.col("_lo").alias("_key"), place.alias("_range")),
         allowMissingColumns=True,
     )
     # a range comes before the address it begins with; NULL keys come first and meet nothing

@@ -156,7 +156,7 @@ def live_monitor(logs: DataFrame) -> DataFrame:
 
 
 def purchase_alerts(logs: DataFrame) -> DataFrame:
-    """One row per payment; stateless, so it streams as it is."""
+    """One row per payment with its fixed text; stateless, so it streams as it is."""
     steps = path_steps(logs).where(F.col("page") == "payment")
     text = F.format_string("🔥 转化路径提醒 - 用户%s完成购买，路径: %s", F.col("user_id"), F.col("page"))
     return steps.select("user_id", "date", "at", "log_id", text.alias("line"))
@@ -183,7 +183,7 @@ def sequence_metrics(path: Column | str) -> dict[str, Column]:
 
 
 def sequence_text(path: Column | str) -> Column:
-    """Readable line of ``sequence_metrics``; a label of its own for an empty path."""
+    """Readable line of ``sequence_metrics`` (fixed text); a label of its own for an empty path."""
     c = F.col(path) if isinstance(path, str) else path
     m = sequence_metrics(c)
     line = F.format_string(

@@ -156,11 +156,15 @@ def page_links(pages: DataFrame, base: str, layout: PageLayout | None = None) ->
     return named.where((href != "") & (F.col("name") != "")).drop("_l")
 
 
+#: All white space, as Python's ``strip`` takes it.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def link_name(title: Column, text: Column) -> Column:
     """The title, or the text without its ten-character date prefix."""
-    clean = F.trim(text, F.lit(" \t\r\n"))
+    clean = F.trim(text, F.lit(WHITE))
     dated = (F.length(clean) > 10) & F.substring(clean, 1, 10).contains("-")
-    return F.when(title != "", title).when(dated, F.trim(F.substr(clean, F.lit(11)))).otherwise(clean)
+    return F.when(title != "", title).when(dated, F.trim(F.substr(clean, F.lit(11)), F.lit(WHITE))).otherwise(clean)
 
 
 def page_fields(pages: DataFrame, layout: PageLayout | None = None) -> DataFrame:

@@ -324,6 +324,7 @@ SQL = {
         FROM l GROUP BY l.day, log_type""",
 }
 
+# The output texts, as in operators.lines and operators.paths.
 SQL |= {
     "report_lines": f"""
         SELECT 'page_views' AS report, printf('日期: %s, 页面: %s, PV: %d', date, page, pv) AS line FROM ({SQL["page_views"]})

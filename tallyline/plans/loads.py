@@ -234,7 +234,7 @@ _LINKS = f"""{_CLEAN},
                  trim({_decoded("regexp_replace(a, '<[^>]*>', '', 'g')")}) AS t FROM a),
     n AS (SELECT page_id, url AS page_url, CASE WHEN href LIKE 'http%' THEN href
                    ELSE '{BASE}' || regexp_replace(href, '^/+', '') END AS link,
-                 CASE WHEN length(t) > 10 AND contains(substring(t, 1, 10), '-') THEN trim(substring(t, 11)) ELSE t END AS name
+                 CASE WHEN length(t) > 10 AND contains(substring(t, 1, 10), '-') THEN trim(substring(t, 11), E' \\t\\r\\n') ELSE t END AS name
           FROM b WHERE href <> '' AND t <> '')"""
 _TITLE = "trim(" + _decoded("regexp_extract(h, '<h1[^>]*>([^<]*)', 1)") + ")"
 # What the detail pages say, without any markup.

@@ -156,3 +156,17 @@ def test_zone_free_time_in_summer(spark):
     assert got[0] == (datetime(2024, 7, 1, 12, 30, 15, 123456) - base) // times.timedelta(microseconds=1)
     assert got[1] == (datetime(2024, 3, 10, 2, 30) - base) // times.timedelta(microseconds=1)
     assert got[2] == "2024-03-10 02:30:00"
+
+
+@pytest.mark.parametrize(
+    "text,name",
+    [
+        ("2024-01-01\n  Name one", "Name one"), ("\xa02024-01-01　Name\ttwo \n", "Name\ttwo"), ("2024-01-01", "2024-01-01"),
+        ("\n plain name \x0b", "plain name"), ("   ", ""),
+    ],
+)
+def test_names_of_dated_links(spark, text, name):
+    from tallyline.operators.web import link_name
+
+    got = spark.createDataFrame([("", text)], "title string, text string").select(link_name(F.col("title"), F.col("text"))).first()[0]
+    assert got == name

@@ -34,7 +34,7 @@ WORDS, LEAST, TOP = 4, 30, 2_000
 ABSORBED = 80
 SCORE = 2_000_000
 #: Different windows that a task counts before it hands them on, and text bytes counted at once.
-HELD, AT_ONCE = 500_000, 4 << 20
+HELD, AT_ONCE = 350_000, 4 << 20
 #: The ranges are cut by windows of so many rows: every STEP-th, up to MOST_OF of a row, and
 #: their first EDGE bytes. How even the ranges are depends on them, no result does.
 SAMPLE, STEP, MOST_OF, EDGE = 8_192, 64, 1_000, 64

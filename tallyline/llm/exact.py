@@ -1,12 +1,15 @@
-"""Exact dedup: digest runs combined over a tree of exchanges.
+"""Exact dedup: sorted digest runs merged over a tree of exchanges.
 
-Every document belongs to one of ``fan ** levels`` runs. A run holds each
-of its digests once, with the identifier that stays and the number of copies. In round k
+Every document belongs to one of ``fan ** levels`` runs. A run is sorted by digest and holds
+each of its digests once, with the identifier that stays and the number of copies: a task
+sorts its rows before it sends any, and neighbours with one digest become one row. In round k
 the runs that differ only in digit k of their number exchange rows: each of them keeps
-the slice of digests that has its own digit there, and combines the ``fan`` pieces it
-gets by hash aggregation; nothing is sorted. After the last round each run holds one slice of all digests, and no
-task ever sees more than its slice. Every level combines copies before the next
-exchange, so a text that fills a third of the corpus moves ``runs`` rows at most.
+the slice of digests that has its own digit there, and merges the ``fan`` pieces it
+gets in the order of their digests, joining neighbours again. Sorting and merging are
+Spark's external sort under a sort aggregate, so a run may be larger than memory. After the
+last round each run holds one slice of all digests, and no task ever sees more than its
+slice. Every level joins copies before the next exchange, so a text that fills a third of
+the corpus moves ``runs`` rows at most.
 
 Texts count as equal when SHA-256, a second independent hash and the length all agree.
 """
@@ -59,7 +62,8 @@ def merged(rows: DataFrame, fan: int = FAN, levels: int | None = None) -> DataFr
     keys = ["slot", "digest", "check", "bytes"]
     slice_of = F.pmod(F.xxhash64("digest"), F.lit(runs))
     level = rows.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(runs)))
-    level = level.groupBy(*keys).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # the largest of structs is kept by neighbours in sorted order, never in a hash table
+    level = level.groupBy(*keys).agg(F.max(F.struct("doc_id")).alias("kept"), F.count(F.lit(1)).alias("group_size"))
     for k in range(levels):
         digit = lambda c, k=k: F.floor(c / F.lit(fan**k)) % fan
         moved = F.col("slot") + (digit(slice_of) - digit(F.col("slot"))) * F.lit(fan**k)
@@ -67,9 +71,9 @@ def merged(rows: DataFrame, fan: int = FAN, levels: int | None = None) -> DataFr
             level.withColumn("slot", moved.cast("long"))
             .repartition("slot")
             .groupBy(*keys)
-            .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+            .agg(F.max("kept").alias("kept"), F.sum("group_size").alias("group_size"))
         )
-    return level.drop("slot")
+    return level.select("digest", "check", "bytes", F.col("kept.doc_id").alias("keep_id"), "group_size")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

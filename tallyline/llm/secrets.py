@@ -2,17 +2,20 @@
 
 Base spans follow three fixed patterns. The lexer reads ``name = literal`` pairs of
 source and configuration syntax (``=``, ``:``, ``:=``, ``=>``; quoted, bare and
-concatenated literals), lets constants stand for their literals wherever a later name
-is set to them, and scores each literal by the words of the names it ends up in and by
-its own look. Literals at or over THRESHOLD are further spans of the kind ``literal``.
+concatenated literals; ``<name>text</name>``), lets constants stand for their literals wherever
+a name is set to them, before or behind the constant itself, and scores each literal by the
+words of the names it ends up in and by its own look. Literals at or over THRESHOLD are further
+spans of the kind ``literal``. Names of more than 128 signs are not read by the lexer.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +45,14 @@ WEIGHTS = {
     "credential": 0.9, "credentials": 0.9, "auth": 0.6, "bearer": 0.9, "private": 0.6, "signing": 0.6,
     "access": 0.4, "client": 0.2, "key": 0.5, "api": 0.4, "salt": 0.5, "dsn": 0.6, "pin": 0.4,
 }
-#: Values that stand in for a secret.
-PLACEHOLDERS = re.compile(r"(?ai)(?:your|my|the|some|change|replace|example|dummy|test|todo|none|null|true|false|xxx|\*\*\*|<|\$\{|\{\{)")
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?:\s[^<>]*)?>(?P<text>[^<>\n]+)</(?P=name)>")
+#: Whole values that stand in for a secret: references, and one sign over and over.
+REFERENCE = re.compile(r"<[^<>]*>|\$\{[^}]*\}|\$\([^)]*\)|\{\{.*\}\}|%\w+%|(.)\1*", re.S)
+#: Words of which a stand-in consists wholly, beside those of WEIGHTS and short numbers.
+STAND_INS = frozenset(
+    "a an change changeme dummy enter example false fill foo bar here in insert it me my none null of placeholder "
+    "please put replace sample some string test testing the this to todo true undefined value with xxx you your".split()
+)
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 THRESHOLD, LITERAL_LENGTH = 1.3, 6
 
@@ -65,11 +74,21 @@ def name_score(name: str) -> float:
     return min(1.5, sum(WEIGHTS.get(w, 0.0) for w in set(words) | ({"apikey"} if "apikey" in name.lower() else set())))
 
 
+def stands_in(value: str) -> bool:
+    """Whether the value as a whole, or each of its words, only stands in for a secret."""
+    if REFERENCE.fullmatch(value):
+        return True
+    return all(w in STAND_INS or w in WEIGHTS or (w.isdigit() and len(w) <= 4) for w in map(str.lower, WORDS.findall(value)))
+
+
 def look_score(value: str) -> float:
-    """0 for stand-ins and plain words, up to 1 for long mixed values."""
-    if len(value) < LITERAL_LENGTH or PLACEHOLDERS.match(value) or not value.isascii() or " " in value:
-        return 0.0
+    """0 for stand-ins and plain words, up to 1 for long mixed values.
+
+    A value with blanks or signs outside ASCII looks like prose unless it holds a digit.
+    """
     n = len(value)
+    if n < LITERAL_LENGTH or stands_in(value) or ((not value.isascii() or " " in value) and not any(map(str.isdigit, value))):
+        return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     kinds = sum(any(test(c) for c in value) for test in (str.islower, str.isupper, str.isdigit)) + (not value.isalnum())
     return min(1.0, 0.12 * entropy + 0.15 * kinds + min(n, 32) / 128)
@@ -88,18 +107,44 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], str, bool]]:
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
-    """Spans of literals that a sensitive name holds, itself or through constants."""
-    if "=" not in text and ":" not in text:
-        return []
-    constants: dict[str, tuple[list[tuple[int, int]], str]] = {}
-    found = set()
-    for name, parts, value, maybe_name in pairs(text):
-        if maybe_name and value in constants:
-            parts, value = constants[value]
-        constants[name] = parts, value
-        said = name_score(name)
-        if said and (look := look_score(value)) and said + look >= THRESHOLD:
+    """Spans of literals that a sensitive name holds, itself or through constants.
+
+    A name set to a constant takes the constant's last literal before it, or its first
+    behind it if there is none before. A bare word that nothing in the text sets is a literal.
+    """
+    found: set[tuple[int, int]] = set()
+
+    def said(name: str, parts: list[tuple[int, int]], value: str) -> None:
+        named = name_score(name)
+        if named and (look := look_score(value)) and named + look >= THRESHOLD:
             found.update(parts)
+
+    def arrived(name: str, waiting: dict[str, list[str]], parts: list[tuple[int, int]], value: str) -> None:
+        # a wait ends once, so all of them take a step per pair of the text at most
+        reached = waiting.pop(name, [])
+        while reached:
+            other = reached.pop()
+            said(other, parts, value)
+            reached += waiting.pop(other, [])
+
+    if "</" in text:
+        for m in ELEMENT.finditer(text):
+            said(m["name"], [m.span("text")], m["text"])
+    if "=" in text or ":" in text:
+        constants: dict[str, tuple[list[tuple[int, int]], str]] = {}
+        waiting: defaultdict[str, list[str]] = defaultdict(list)
+        for name, parts, value, maybe_name in pairs(text):
+            if maybe_name and value in constants:
+                parts, value = constants[value]
+                maybe_name = False
+            constants[name] = parts, value
+            said(name, parts, value)
+            if maybe_name and value != name:
+                waiting[value].append(name)
+            else:
+                arrived(name, waiting, parts, value)
+        for name in [n for n in waiting if n in constants]:
+            arrived(name, waiting, *constants[name])
     return [(a, b, "literal") for a, b in found if b > a]
 
 
@@ -107,7 +152,8 @@ def spans_of(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int
     """Base spans, and all spans; a literal adds one unless a base span holds all of it."""
     order = lambda s: (s[0], KINDS[s[2]], s[1])
     base = sorted(base_spans(text), key=order)
-    more = [s for s in literal_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+    starts, ends = [b[0] for b in base], [0, *accumulate((b[1] for b in base), max)]
+    more = [s for s in literal_spans(text) if ends[bisect_right(starts, s[0])] < s[1]]
     return base, sorted(base + more, key=order)
 
 

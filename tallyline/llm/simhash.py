@@ -128,7 +128,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = common.stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     points = rows.groupBy("fp").agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("n"))
     # a fingerprint of rows without any identifier still needs a label of its own
-    points = common.stored(points.select("fp", F.struct(F.col("label").isNull().alias("none"), F.coalesce("label", F.col("fp")).alias("id")).alias("label"), "n"), "points")
+    alone = F.when(F.col("label").isNull(), F.col("fp")).otherwise(F.lit(0))
+    points = common.stored(points.select("fp", F.struct(F.col("label").isNull().alias("none"), F.col("label").alias("id"), alone.alias("alone")).alias("label"), "n"), "points")
     for step in sorted({min(1, distance), min(2, distance), distance}):
         links = common.stored(new_links(points, step) if step else points.limit(0).select(F.col("label").alias("low"), F.col("label").alias("high")), "links")
         if links.isEmpty():

@@ -1,0 +1,41 @@
+"""Rows of the stages that drop copies, and identifiers of any type."""
+
+import corpus_pipeline
+import pytest
+from tallyline.llm import simhash
+
+A = "one two three four five six seven eight nine ten eleven twelve"
+
+
+def _docs(spark, rows, kind="long"):
+    return spark.createDataFrame([(i, t, len(t or ""), "kept") for i, t in rows], f"doc_id {kind}, text string, n_chars long, key string")
+
+
+def test_exact_rows(spark):
+    rows = [(2, "same text"), (None, "Same text"), (None, "x1"), (None, "x1"), (5, "a"), (5, "b"), (6, "b"), (7, "c"), (7, "C"), (8, None)]
+    out = corpus_pipeline.exact_dedup(spark, _docs(spark, rows), "")
+    got = sorted(((r.doc_id, (r.text or "").lower()) for r in out.collect()), key=str)
+    assert got == sorted([(2, "same text"), (None, "x1"), (5, "a"), (6, "b"), (7, "c"), (8, "")], key=str)
+    assert out.columns == ["doc_id", "text", "n_chars", "key"]
+
+
+def test_near_rows(spark):
+    # one word more or less in front of a long text: at most a few bits of difference
+    far = "quite another text that shares no four words with any other one here"
+    rows = [(3, A), (None, A), (None, far), (None, far + " x9 y8 z7 w6 v5 u4"), (4, far), (9, A), (9, "alone in its own group of words one two"), (9, "alone in its own group of words one two")]
+    out = corpus_pipeline.simhash_dedup(spark, _docs(spark, rows), "").collect()
+    got = sorted(((r.doc_id, r.text) for r in out), key=str)
+    fps = {t: simhash.fingerprint(t.encode(), 4) for _, t in rows}
+    assert all(bin((a ^ b) & (2**64 - 1)).count("1") > 4 for x, a in fps.items() for y, b in fps.items() if x != y)
+    assert got == sorted([(3, A), (4, far), (None, far + " x9 y8 z7 w6 v5 u4"), (9, "alone in its own group of words one two")], key=str)
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "int"])
+def test_identifiers_of_any_type(spark, kind):
+    make = {"string": lambda i: "abcdef"[i], "long": lambda i: i, "int": lambda i: i}[kind]
+    far = "quite another text that shares no four words with any other one here"
+    rows = [(make(1), A), (make(0), A), (None, A), (make(3), far), (None, "q r s t u v w"), (None, "q r s t u v w")]
+    out = simhash.components(_docs(spark, rows, kind)).collect()
+    assert sorted(((r.doc_id, r.component_id, r.component_size) for r in out), key=str) == sorted(
+        [(make(1), make(0), 3), (make(0), make(0), 3), (None, make(0), 3), (make(3), make(3), 1), (None, None, 2), (None, None, 2)], key=str
+    )

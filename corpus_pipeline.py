@@ -1,24 +1,28 @@
 """A training corpus out of ``documents``: stages of the operators in ``tallyline.llm``.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
-returns the columns of the documents, the last one the packed pieces. Rows that share
-an identifier are one document and stay or go together.
+returns the columns of the documents, the last one the packed pieces. The two stages that
+drop copies choose single rows: of rows that share an identifier, or have none, each is
+judged by its own text, and of rows equal in identifier and text one stays, whichever.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import common, exact, packing, quality, secrets, simhash
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose identifier is among those kept."""
-    own = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(own, docs["doc_id"].eqNullSafe(own["kept_id"]), "left_semi")
+def _only(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, key) in ``kept``, ``key`` being made of the row's text."""
+    own = kept.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("own_key"))
+    hits = rows.join(own, F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("key")))
+    repeated = hits.where("copies > 1").groupBy("doc_id", "key").agg(F.first("doc").alias("doc"))
+    return hits.where("copies = 1").select("doc.*").unionByName(repeated.select("doc.*"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,12 +33,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the largest identifier."""
-    return _only(docs, exact.exact_groups(docs).where("kept"))
+    kept = exact.exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("key"))
+    return _only(docs, kept, F.sha2(exact.normalised(F.col("text")), 256))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest identifier."""
-    return _only(docs, simhash.components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    key = F.xxhash64(exact.normalised(F.col("text")))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key.alias("key"))
+    found = simhash.components(docs.select(row.alias("row"), "text"), id_col="row")
+    return _only(docs, found.where("doc_id = component_id").select("doc_id.doc_id", "doc_id.key"), key)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

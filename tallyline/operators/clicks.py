@@ -12,6 +12,11 @@ from tallyline.functions.times import date_part_of
 from tallyline.operators.ranking import top_n
 from tallyline.operators.skew import hash_part
 
+#: A user sketch keeps up to 2^SKETCH_SIZE users exactly (half a megabyte); error 0.4 % beyond.
+SKETCH_SIZE = 16
+#: Words that a sketch of search words keeps count of.
+TRACKED_WORDS = 10_000
+
 
 def page_views(logs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Views per date and page; rows without a page or a time are left out.
@@ -149,6 +154,63 @@ def page_view_reach(logs: DataFrame) -> DataFrame:
     )
 
 
+def user_sketches(logs: DataFrame, extra: list[str] | None = None, size: int = SKETCH_SIZE) -> DataFrame:
+    """Views per date and page with a sketch of its users, for storage: its size does not grow with them.
+
+    A sketch keeps up to 2^``size`` users exactly and estimates beyond that, with a standard error
+    of 1/sqrt(2^size). Rows without a date are left out, null users are not counted.
+    """
+    date = date_part_of("formatted_time").try_cast("date")
+    rows = logs.where(F.col("log_type").isNotNull() & date.isNotNull())
+    return rows.groupBy(*(extra or []), date.alias("date"), F.col("log_type").alias("page")).agg(
+        F.count("*").alias("pv"), F.theta_sketch_agg("user_id", size).alias("users")
+    )
+
+
+def users_of_periods(sketches: DataFrame, days: int, size: int = SKETCH_SIZE) -> DataFrame:
+    """Views and distinct users per page in the ``days`` up to each date that has views.
+
+    ``returning`` are users of the period who came in the ``days`` before it as well. All of it is
+    made of the rows of ``user_sketches``, stored or not, one per date and page (or several).
+    """
+    later = F.explode(F.sequence("date", F.date_add("date", 2 * days - 1))).alias("until")
+    spread = sketches.select("page", "date", "pv", "users", later)
+    now = F.col("date") > F.date_sub("until", days)
+    merged = spread.groupBy("page", "until").agg(
+        F.bool_or(F.col("date") == F.col("until")).alias("_seen"),
+        F.sum(F.when(now, F.col("pv"))).alias("pv"),
+        F.theta_union_agg(F.when(now, F.col("users")), size).alias("_now"),
+        F.theta_union_agg(F.when(~now, F.col("users")), size).alias("_before"),
+    )
+    return merged.where("_seen").select(
+        "page", F.col("until").alias("date"), "pv", F.theta_sketch_estimate("_now").alias("users"),
+        F.theta_sketch_estimate(F.theta_intersection("_now", "_before")).alias("returning"),
+    )
+
+
+def word_sketch(logs: DataFrame, tracked: int = TRACKED_WORDS) -> DataFrame:
+    """One row: a sketch of the most frequent search words, of bounded size.
+
+    Counts are exact while there are no more than 0.75 x ``tracked`` different words. Beyond
+    that a count is too small or too large by at most 3.5 x all words / ``tracked``.
+    """
+    words = logs.select(F.explode(word_array("keywords")).alias("word"))
+    return words.agg(F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("words"))
+
+
+def merged_word_sketches(sketches: DataFrame, tracked: int = TRACKED_WORDS) -> DataFrame:
+    """One sketch of all rows of ``word_sketch``; other columns keep their largest value."""
+    others = [F.max(c).alias(c) for c in sketches.columns if c != "words"]
+    return sketches.agg(F.expr(f"approx_top_k_combine(words, {tracked})").alias("words"), *others)
+
+
+def frequent_words(sketches: DataFrame, n: int = 10, tracked: int = TRACKED_WORDS) -> DataFrame:
+    """The n most frequent words of all sketches together."""
+    top = F.expr(f"approx_top_k_estimate(words, {tracked})")
+    words = merged_word_sketches(sketches.select("words"), tracked).select(F.explode(top).alias("w"))
+    return words.select(F.col("w.item").alias("word"), F.col("w.count").alias("cnt")).orderBy(F.desc("cnt"), "word").limit(n)
+
+
 def daily_words(logs: DataFrame, n: int = 10) -> DataFrame:
     """The n most frequent words of each day, one row per word.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import is_key_page, ratio, yes_no
@@ -14,6 +14,8 @@ from tallyline.operators.windows import show_bounds
 WINDOW = 2 * MINUTE
 PART_STEPS = 100_000
 ARROW = "->"
+#: (modulus, base) of the digests of a pattern. Moduli are primes below 2^31, so products fit 64 bits.
+DIGESTS = [(2147483647, 1000003), (2147483629, 998244353), (2147483587, 1664525)]
 METRICS = [
     "path_length", "has_purchase", "has_search", "start_page", "end_page",
     "start_time", "end_time", "duration",
@@ -79,8 +81,11 @@ def path_positions(logs: DataFrame, window: int | None = None) -> DataFrame:
     A step is one row, however long its path, and a path is counted by seconds first,
     so no task holds more than a second of it.
     """
-    keys = _keys(window)
-    numbered = number_rows(path_steps(logs, window), keys, "at", ["log_id", "page"], 1000, "position")
+    return _positions(path_steps(logs, window), _keys(window))
+
+
+def _positions(steps: DataFrame, keys: list[str]) -> DataFrame:
+    numbered = number_rows(steps, keys, "at", ["log_id", "page"], 1000, "position")
     return numbered.select(*keys, "position", "page", "at", "log_id")
 
 
@@ -112,13 +117,74 @@ def longer_paths(paths: DataFrame, at_least: int = 2) -> DataFrame:
     return paths.where(F.col("path_length") >= at_least)
 
 
+def _power(base: int, modulus: int, n: str) -> str:
+    """SQL of base^n modulo ``modulus`` for a column below 2^40, four bits at a time."""
+    out = "1L"
+    for shift in range(0, 40, 4):
+        table = ", ".join(f"{pow(base, digit << shift, modulus)}L" for digit in range(16))
+        out = f"({out} * array({table})[CAST(shiftright({n}, {shift}) & 15 AS INT)] % {modulus}L)"
+    return out
+
+
+def pattern_digests(logs: DataFrame, window: int | None = None) -> DataFrame:
+    """(digest, path_length, cnt, path): each page sequence of two or more steps, without its text.
+
+    A digest is the sum of page codes times powers of a base by position, modulo a prime, under
+    three primes; sequences are equal if all three and their lengths agree (93 bits). It is
+    summed over the seconds of a path, each shifted by the number of steps before it, so the
+    source is read once, no path is put together, and a path is one row per second (86,400 at
+    most) where its seconds meet. ``path`` is the key of one path with the sequence.
+    """
+    keys = _keys(window)
+    second = [*keys, "_second"]
+    inside = Window.partitionBy(*second).orderBy("at", "log_id", "page")
+    steps = path_steps(logs, window).withColumn("_second", F.floor(F.col("at") / 1000))
+    steps = steps.withColumn("_n", (F.row_number().over(inside) - 1).cast("bigint"))
+    code = lambda m: f"(pmod(xxhash64(page), {m - 1}L) + 1)"
+    parts = steps.groupBy(*second).agg(
+        F.count("*").alias("_steps"),
+        *[F.expr(f"sum({code(m)} * {_power(b, m, '_n')} % {m}L) % {m}L").alias(f"_d{i}") for i, (m, b) in enumerate(DIGESTS)],
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.withColumn("_before", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)))
+    whole = placed.groupBy(*keys).agg(
+        F.sum("_steps").alias("path_length"),
+        F.struct(*[F.expr(f"sum(_d{i} * {_power(b, m, '_before')} % {m}L) % {m}L").alias(f"d{i}") for i, (m, b) in enumerate(DIGESTS)]).alias("digest"),
+    )
+    return longer_paths(whole).groupBy("digest", "path_length").agg(
+        F.count("*").alias("cnt"), F.min(F.struct(*keys)).alias("path")
+    )
+
+
 def path_patterns(logs: DataFrame, window: int | None = None, part_steps: int = PART_STEPS) -> DataFrame:
-    """How often each page sequence of two or more steps occurs, with text ``a->b->c``."""
-    return count_patterns(user_paths(logs, window, part_steps), _keys(window))
+    """How often each page sequence of two or more steps occurs, with text ``a->b->c``.
+
+    Sequences are counted by their digests; one path of each is read again for its text.
+    """
+    return _with_text(logs, pattern_digests(logs, window), window, part_steps)
+
+
+def top_path_patterns(logs: DataFrame, n: int = 5, window: int | None = None, part_steps: int = PART_STEPS) -> DataFrame:
+    """The n most frequent sequences; text is made only for those that are as frequent as the n-th."""
+    digests = pattern_digests(logs, window)
+    least = digests.orderBy(F.desc("cnt")).limit(n).agg(F.min("cnt")).scalar()
+    return top_patterns(_with_text(logs, digests.where(F.col("cnt") >= least), window, part_steps), n)
+
+
+def _with_text(logs: DataFrame, digests: DataFrame, window: int | None, part_steps: int) -> DataFrame:
+    keys = _keys(window)
+    wanted = digests.select("path.*", "path_length", "cnt")
+    steps = path_steps(logs, window).join(wanted.select(*keys), keys, "left_semi")
+    pages = F.transform(F.array_sort(F.collect_list(F.struct("position", "page"))), lambda e: e["page"])
+    parts = _positions(steps, keys).groupBy(*keys, F.floor(F.col("position") / part_steps).alias("part")).agg(
+        F.array_join(pages, ARROW).alias("_text")
+    )
+    texts = parts.groupBy(*keys).agg(text_list("_text", F.struct("part", "_text"), ARROW).alias("pattern"))
+    return texts.join(wanted, keys).select("pattern", "path_length", "cnt")
 
 
 def count_patterns(paths: DataFrame, keys: list[str]) -> DataFrame:
-    """Patterns of path rows (of ``user_paths``, or stored by a stream), their parts put together."""
+    """Patterns of path rows that are stored with their pages, their parts put together."""
     texts = longer_paths(paths).select(*keys, "part", "path_length", F.array_join("path", ARROW).alias("_text"))
     whole = texts.groupBy(*keys, "path_length").agg(
         text_list("_text", F.struct("part", "_text"), ARROW).alias("pattern")
@@ -131,7 +197,7 @@ def top_patterns(patterns: DataFrame, n: int = 5) -> DataFrame:
 
 
 def pattern_lengths(patterns: DataFrame) -> DataFrame:
-    """Mean length over distinct patterns, and weighted by how often they occur."""
+    """Mean length over distinct patterns (or their digests), and weighted by how often they occur."""
     return patterns.agg(
         ratio(F.sum("path_length"), F.count("*")).alias("avg_path_length"),
         ratio(F.sum(F.col("path_length") * F.col("cnt")), F.sum("cnt")).alias("weighted_path_length"),

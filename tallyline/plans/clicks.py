@@ -150,11 +150,15 @@ def report_lines(spark: SparkSession, folder: str) -> DataFrame:
     return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
 
 
+def period_users(sketches: DataFrame, days: int) -> DataFrame:
+    return clicks.users_of_periods(sketches, days).withColumn("date", F.col("date").cast("string"))
+
+
 def path_report(spark: SparkSession, folder: str) -> DataFrame:
     rows = logs(spark, folder)
-    patterns = paths.path_patterns(rows)
     return lines.path_statistics_lines(
-        paths.top_patterns(patterns), paths.path_conversions(paths.path_metrics(rows)), paths.pattern_lengths(patterns)
+        paths.top_path_patterns(rows), paths.path_conversions(paths.path_metrics(rows)),
+        paths.pattern_lengths(paths.pattern_digests(rows)),
     )
 
 
@@ -186,12 +190,14 @@ QUERIES = {
     "path_metrics": _over_logs(paths.path_metrics),
     "path_sequence_metrics": sequence_checks,
     "path_patterns": _over_logs(paths.path_patterns),
-    "top_path_patterns": _over_logs(paths.path_patterns, paths.top_patterns),
-    "path_pattern_lengths": _over_logs(paths.path_patterns, paths.pattern_lengths),
+    "top_path_patterns": _over_logs(paths.top_path_patterns),
+    "path_pattern_lengths": _over_logs(paths.pattern_digests, paths.pattern_lengths),
     "path_conversions": _over_logs(paths.path_metrics, paths.path_conversions),
     "live_monitor": _over_logs(paths.live_monitor),
     "purchase_alerts": _over_logs(paths.purchase_alerts),
     "page_view_users": _over_logs(clicks.page_view_users),
+    "page_users_week": _over_logs(clicks.user_sketches, lambda d: period_users(d, 7)),
+    "page_users_month": _over_logs(clicks.user_sketches, lambda d: period_users(d, 30)),
     "page_day_users": _over_logs(clicks.page_day_users),
 }
 
@@ -227,6 +233,16 @@ _PATTERNS = f"""{_STEPS}, p AS (SELECT user_id, day, {_PATH} AS pattern, count(*
     pat AS (SELECT pattern, path_length, count(*) AS cnt FROM p WHERE path_length >= 2 GROUP BY 1, 2)"""
 
 
+def _period_users_sql(days: int) -> str:
+    return f"""{_L},
+        d AS (SELECT DISTINCT log_type AS page, CAST(day AS DATE) AS date FROM l),
+        x AS (SELECT d.page, d.date, l.user_id, count(*) FILTER (WHERE CAST(l.day AS DATE) > d.date - {days}) AS pv,
+                     bool_or(CAST(l.day AS DATE) > d.date - {days}) AS now, bool_or(CAST(l.day AS DATE) <= d.date - {days}) AS before
+              FROM d JOIN l ON l.log_type = d.page AND CAST(l.day AS DATE) BETWEEN d.date - {2 * days - 1} AND d.date GROUP BY 1, 2, 3)
+        SELECT page, CAST(date AS VARCHAR) AS date, CAST(sum(pv) AS BIGINT) AS pv, count(user_id) FILTER (WHERE now) AS users,
+               count(user_id) FILTER (WHERE now AND before) AS returning FROM x GROUP BY 1, 2"""
+
+
 def _windowed_paths_sql(size: str, at_least: int) -> str:
     return f"""{_STEPS}, x AS (SELECT *, time_bucket(INTERVAL {size}, ts) AS ws FROM s)
         SELECT user_id, day AS date, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -317,6 +333,8 @@ SQL = {
     "page_day_users": f"""{_L}
         SELECT replace(day, '-', '') AS day, log_type AS page, user_id, count(*) AS pv FROM l
         GROUP BY l.day, log_type, user_id""",
+    "page_users_week": _period_users_sql(7),
+    "page_users_month": _period_users_sql(30),
     "page_view_users": f"""{_L}
         SELECT replace(day, '-', '') AS day, log_type AS page, CAST(0 AS BIGINT) AS part, count(*) AS pv,
                count(DISTINCT user_id) AS users,

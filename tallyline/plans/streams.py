@@ -203,7 +203,15 @@ def loaded_devices(spark: SparkSession, folder: str) -> DataFrame:
     return loads.shown_devices(sinks.read_batches(spark, _run(spark, lambda out, ck: sinks.start_to_folder(rows, out, ck))))
 
 
+def frequent_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The most frequent search words of the whole stream from sketches of bounded size."""
+    rows = log_rows(events(spark, folder))
+    write = lambda out, ck: sinks.start_batches(rows, stream_clicks.word_batches(out), ck)
+    return clicks.frequent_words(sinks.read_batches(spark, _run(spark, write)))
+
+
 QUERIES = {
+    "stream_frequent_words": frequent_words,
     "stream_current_orders": current_orders,
     "stream_order_changes": order_changes,
     "stream_load_devices": loaded_devices,
@@ -260,6 +268,7 @@ _CLOSED_PATHS = _CLOSED_LOGS.format(
 _PATTERNS = f"WITH n AS (SELECT path AS pattern, path_length, count(*) AS cnt FROM ({_CLOSED_PATHS}) GROUP BY ALL)"
 
 SQL = {
+    "stream_frequent_words": CLICK_SQL["top_keywords"],
     "stream_current_orders": LOAD_SQL["current_orders"],
     "stream_order_changes": LOAD_SQL["order_changes"],
     "stream_load_devices": LOAD_SQL["load_devices"],

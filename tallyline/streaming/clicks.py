@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import word_array
 from tallyline.functions.times import LOG_ZONE, date_part_of, log_epoch_millis, time_slot
+from tallyline.operators.clicks import TRACKED_WORDS, merged_word_sketches, word_sketch
 from tallyline.operators.paths import WINDOW as PATH_WINDOW
 from tallyline.operators.paths import list_metrics, path_steps
 from tallyline.operators.profiles import FLAGS
 from tallyline.operators.profiles import WINDOW as PROFILE_WINDOW
 from tallyline.operators.windows import show_bounds
+from tallyline.sources.commits import CommittedBatches
 from tallyline.streaming.windows import DELAY, LOCAL, timed, window_of, with_bounds
 
 #: Event-time day whose rows of a daily table are one row of state; see ``by_day``.
@@ -56,6 +58,16 @@ def daily_word_counts(logs: DataFrame, extra: list[str] | None = None) -> DataFr
     return words.groupBy(*(extra or []), "day", "word").agg(F.count("*").alias("cnt"))
 
 
+def word_batches(folder: str, tracked: int = TRACKED_WORDS, every: int = 50) -> Callable[[DataFrame, int], None]:
+    """Writer of log rows for ``foreachBatch``: one sketch of the search words per batch.
+
+    The stream has no state, and what is stored does not grow with the number of words or of
+    batches: sketches are put together in snapshots. Read with ``clicks.frequent_words``.
+    """
+    store = CommittedBatches(folder, lambda rows, _: merged_word_sketches(rows, tracked), every)
+    return lambda logs, batch_id: store(word_sketch(logs, tracked), batch_id)
+
+
 def by_day(job: Callable[..., DataFrame], logs: DataFrame, delay: str = DELAY) -> DataFrame:
     """A daily table of ``job(logs, extra=[...])`` in update mode with bounded state.
 

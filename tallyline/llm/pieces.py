@@ -3,7 +3,8 @@
 The distinct words of a batch that are not known yet are put into one text and indexed
 by a suffix array. Every piece of the vocabulary is looked up in it by binary search,
 which gives the range of its occurrences; each occurrence is an edge from its first to
-its last character. Edges are sorted by position and relaxed from left to right.
+its last character. Edges are sorted by position and relaxed from left to right, in all
+words at once: a step takes the edges that begin at one position of any word.
 
 The vocabulary is of the merging kind, so the relaxation does not add up scores: it
 keeps, for each position, the one last piece with which merging would have ended there.
@@ -29,8 +30,12 @@ from pyspark.sql import functions as F
 from tallyline.llm import common
 
 MARK = "▁"
-#: Words whose ids a task remembers; longer words are not remembered.
+#: Words whose ids a task remembers, in two generations; longer words are not remembered.
 MEMO, MEMO_CHARS = 1 << 19, 48
+#: Words up to this length are relaxed side by side, longer ones each for itself.
+SIDE_BY_SIDE = 64
+#: Answers of ``fits`` that a task remembers: one per slot.
+SLOTS = 1 << 20
 #: Characters packed into one number of the index: five of twelve bits.
 PACK, BITS = 5, 12
 START, UNKNOWN = -1, -2
@@ -64,7 +69,7 @@ class Codec:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self._split()
-        self._fits: dict[int, bool] = {}
+        self._tables()
         letters = sorted({c for i in self.rank for c in self.text[i]})
         if len(letters) + 2 > 1 << BITS:
             raise ValueError("too many characters for the index")
@@ -82,6 +87,7 @@ class Codec:
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
         self.memo: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.bigrams = {t[k : k + 2] for i in self.rank for t in (self.text[i],) for k in range(len(t) - 1)}
         self.signs = {c: np.array([self.ids[c]], "<u2").tobytes() for c in ".,;:!?)" if c in self.ids}
 
@@ -122,33 +128,59 @@ class Codec:
         pack = lambda m: sum(m[:, k::PACK] << (BITS * (PACK - 1 - k)) for k in range(PACK))
         return pack(low), pack(high)
 
-    def fits(self, a: int, b: int) -> bool:
-        """Whether merging would leave a border between pieces ``a`` and ``b``.
+    def _tables(self) -> None:
+        """What ``fits`` asks for, by number: ranks, last merges, and the rank of each pair that makes a piece."""
+        self._rank = np.full(self.size, np.inf)
+        self._left, self._right = np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
+        pairs = {}
+        for i, rank in self.rank.items():
+            self._rank[i] = rank
+            if rank >= 0:
+                self._left[i], self._right[i] = self.left[i], self.right[i]
+            t = self.text[i]
+            for k in range(1, len(t)):
+                a, b = self.ids.get(t[:k]), self.ids.get(t[k:])
+                if a in self.rank and b in self.rank:
+                    pairs[a << 16 | b] = rank
+        self._pairs = np.array(sorted(pairs), np.int64)
+        self._pair_rank = np.array([pairs[k] for k in self._pairs.tolist()])
+        self._asked, self._answers = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
+
+    def _fits(self, key: np.ndarray) -> np.ndarray:
+        """Whether merging would leave the border of each pair ``a << 16 | b`` of pieces.
 
         Takes merges back, the latest first; a merge across the border must not have
         come before the ones that are still to be taken back.
         """
-        if a < 0 or b < 0:
-            return True
-        key = a << 16 | b
-        known = self._fits.get(key)
-        if known is not None:
-            return known
-        rank, limit, x, y, out = self.rank, np.inf, a, b, True
-        while True:
-            joined = self.ids.get(self.text[x] + self.text[y])
-            if joined is not None and rank.get(joined, np.inf) < limit:
-                out = False
-                break
-            if rank[x] > rank[y]:
-                limit, x = rank[x], self.right[x]
-            elif rank[y] >= 0:
-                limit, y = rank[y] + 0.5, self.left[y]  # the left one of equal merges goes first
-            else:
-                break
-        if len(self._fits) > 1 << 20:
-            self._fits.clear()
-        self._fits[key] = out
+        out = np.ones(len(key), bool)
+        row, x, y, limit = np.arange(len(key)), key >> 16, key & 0xFFFF, np.full(len(key), np.inf)
+        while len(row):
+            pair = x << 16 | y
+            at = np.minimum(np.searchsorted(self._pairs, pair), len(self._pairs) - 1)
+            joined = (self._pairs[at] == pair) & (self._pair_rank[at] < limit)
+            out[row[joined]] = False
+            rank_x, rank_y = self._rank[x], self._rank[y]
+            of_x = rank_x > rank_y
+            # the left one of equal merges goes first
+            limit = np.where(of_x, rank_x, rank_y + 0.5)
+            x, y = np.where(of_x, self._right[x], x), np.where(of_x, y, self._left[y])
+            on = np.flatnonzero(~joined & (of_x | (rank_y >= 0)))
+            row, x, y, limit = row[on], x[on], y[on], limit[on]
+        return out
+
+    def fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_fits``, remembered; at the start and beside characters without a piece all fits."""
+        out = np.ones(len(a), bool)
+        asked = np.flatnonzero((a >= 0) & (b >= 0))
+        key = a[asked] << 16 | b[asked]
+        slot = (key * 0x9E3779B1 >> 12) & (SLOTS - 1)
+        answer = self._answers[slot]
+        new = np.flatnonzero(self._asked[slot] != key)
+        if len(new):
+            answer[new] = self._fits(key[new])
+            # of keys that share a slot the last one stays, in both arrays
+            self._asked[slot[new]], self._answers[slot[new]] = key[new], answer[new]
+        out[asked] = answer
         return out
 
     # --- index, edges, relaxation
@@ -207,53 +239,88 @@ class Codec:
             low, high = np.where(right, middle + 1, low), np.where(open_ & ~right, middle, high)
         return low
 
-    def words(self, words: list[str]) -> list[list[int]]:
+    def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, a space mark in front; one index for all of them.
 
-        What is known at a position depends on the letters before it only, so in sorted
-        words the beginning that a word shares with the one before is not done again.
+        A word's state behind each of its characters is the last piece there, START where
+        no piece ends. All words of one index are relaxed by ``_relaxed``.
         """
         text = "".join(MARK + w for w in words)
-        at, length, ids = (x.tolist() for x in self.edges(text))
-        out, e, begin, total = [], 0, 0, len(at)
-        fits, known = self.fits, self._fits
-        before, last, come = "", [START], [0]
-        for w in words:
-            size = len(w) + 1
-            end = begin + size
-            same = 0
-            for x, y in zip(before, w, strict=False):
-                if x != y:
-                    break
-                same += 1
-            same, before = same + 1 if begin else 0, w
-            last[same + 1 :] = [START] * (size - same)
-            come[same + 1 :] = [0] * (size - same)
-            while e < total and at[e] < end:
-                s = at[e] - begin
-                stop = s + length[e]
-                if same < stop <= size:
-                    a, b = last[s], ids[e]
-                    if a < 0 or b < 0:
-                        ok = True
-                    else:
-                        ok = known.get(a << 16 | b)
-                        if ok is None:
-                            ok = fits(a, b)
-                    if ok and (s == 0 or a != START):
-                        last[stop], come[stop] = b, s
-                e += 1
-            found, stop = [], size
-            while stop:
-                s = come[stop]
-                if last[stop] == UNKNOWN:
-                    found += [self.byte_ids[x] for x in reversed(text[begin + s].encode())]
-                else:
-                    found.append(last[stop])
-                stop = s
-            out.append(found[::-1])
-            begin = end
-        return out
+        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        at, length, ids = self.edges(text)
+        last, come = self._relaxed(np.repeat(begins, sizes), np.repeat(sizes, sizes), at, length, ids)
+        # back from the end of every word; characters on the way are ends of its pieces
+        ends = np.zeros(len(last), bool)
+        here = begins + sizes - 1
+        first = begins
+        while len(here):
+            ends[here] = True
+            here = come[here] - 1
+            on = here >= first
+            here, first = here[on], first[on]
+        stops = np.flatnonzero(ends)
+        found = last[stops]
+        count = np.ones(len(stops), np.int64)
+        bare = np.flatnonzero(found == UNKNOWN)
+        if len(bare):
+            signs = [[self.byte_ids[x] for x in text[stop].encode("utf-8")] for stop in stops[bare].tolist()]
+            count[bare] = [len(x) for x in signs]
+            found = np.repeat(found, count)
+            found[found == UNKNOWN] = np.concatenate(signs)
+        whole = found.astype("<u2").tobytes()
+        upto = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(stops, begins + sizes)] * 2
+        return [whole[a:b] for a, b in zip([0, *upto[:-1].tolist()], upto.tolist(), strict=True)] if words else []
+
+    def _relaxed(self, begin: np.ndarray, size: np.ndarray, at: np.ndarray, length: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(last piece, its start) behind every character.
+
+        A step takes all edges that start at one position of a word: their starts are
+        settled by the steps before, their ends differ. ``begin`` and ``size`` are those
+        of each character's word.
+        """
+        last, come = np.full(len(begin), START, np.int64), np.zeros(len(begin), np.int64)
+        position = at - begin[at]
+        inside = position + length <= size[at]
+        long = inside & (size[at] > SIDE_BY_SIDE)
+        side = np.flatnonzero(inside & ~long)
+        side = side[np.argsort(position[side].astype(np.int16), kind="stable")]
+        steps = np.searchsorted(position[side], np.arange(SIDE_BY_SIDE + 1))
+        for step, (i, j) in enumerate(zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True)):
+            if i == j:
+                continue
+            edge = side[i:j]
+            if step:
+                before = last[at[edge] - 1]
+                open_ = before != START
+                edge, before = edge[open_], before[open_]
+                edge = edge[self.fits(before, ids[edge])]
+            stop = at[edge] + length[edge] - 1
+            last[stop], come[stop] = ids[edge], at[edge]
+        self._relaxed_alone(last, come, position, at, length, ids, np.flatnonzero(long))
+        return last, come
+
+    def _relaxed_alone(self, last: np.ndarray, come: np.ndarray, position: np.ndarray, at: np.ndarray, length: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> None:
+        """The same for long words, one edge after the other."""
+        if not len(edges):
+            return
+        state, back, answers = {}, {}, {}
+        for first, p, n, b in zip(at[edges].tolist(), position[edges].tolist(), length[edges].tolist(), ids[edges].tolist(), strict=True):
+            if p:
+                a = state.get(first - 1, START)
+                if a == START:
+                    continue
+                if a >= 0 and b >= 0:
+                    key = a << 16 | b
+                    ok = answers.get(key)
+                    if ok is None:
+                        ok = answers[key] = bool(self.fits(np.array([a]), np.array([b]))[0])
+                    if not ok:
+                        continue
+            state[first + n - 1], back[first + n - 1] = b, first
+        stops = np.fromiter(state, np.int64, len(state))
+        last[stops] = np.fromiter(state.values(), np.int64, len(state))
+        come[stops] = np.fromiter(back.values(), np.int64, len(back))
 
     def _run(self, n: int) -> list[int]:
         """Pieces of space marks alone: as many of the longest as there are, then the rest."""
@@ -266,31 +333,43 @@ class Codec:
             alone = len(w) > 1 and w[-1] in self.signs and w[-2:] not in self.bigrams
             stems[w] = (w[:-1], self.signs[w[-1]]) if alone else (w, b"")
         new = sorted({stem for stem, _ in stems.values()}.difference(self.memo))
-        known = dict(zip(new, (np.array(x, "<u2").tobytes() for x in self.words(new)), strict=True))
+        known = dict(zip(new, self.words(new), strict=True))
         return {w: (known.get(stem) or self.memo[stem]) + sign for w, (stem, sign) in stems.items()} | known
 
+    def _recalled(self, words: set[str]) -> list[str]:
+        """Makes the ids of all ``words`` known; those of the generation before move to this one.
+
+        Gives the words that are too long to be remembered beyond the batch.
+        """
+        if len(self.memo) > MEMO // 2:
+            self.before, self.memo = self.memo, {}
+        missing = words.difference(self.memo)
+        old = missing.intersection(self.before)
+        self.memo.update((w, self.before[w]) for w in old)
+        learnt = self._learnt(missing.difference(old))
+        self.memo.update(learnt)
+        return [w for w in learnt if len(w) > MEMO_CHARS]
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts, unsigned 16-bit."""
         split = [t.replace(MARK, " ").split(" ") for t in texts]
         some = set().union(*split) - {""}
-        if len(self.memo) > MEMO:  # what this batch needs is likely to come again
-            self.memo = {w: self.memo[w] for w in some if w in self.memo}
-        known = self._learnt(some.difference(self.memo))
-        self.memo.update((w, x) for w, x in known.items() if len(w) <= MEMO_CHARS)
+        long = self._recalled(some)
         lone = np.array([self.ids[MARK]], "<u2").tobytes()
+        ids_of = self.memo.__getitem__
         out = []
         for t, words in zip(texts, split, strict=True):
             if not t:
                 out.append(b"")
             elif "" not in words:
-                out.append(b"".join([self.memo.get(w) or known[w] for w in words]))
+                out.append(b"".join(map(ids_of, words)))
             else:
                 parts, waiting = [], 0
                 for w in words:
                     if not w:
                         waiting += 1
                         continue
-                    x = self.memo.get(w) or known[w]
+                    x = ids_of(w)
                     if waiting:  # a space mark that joined nothing behind it joins the run before it
                         alone = x[:2] == lone
                         parts.append(np.array(self._run(waiting + alone), "<u2").tobytes())
@@ -299,6 +378,8 @@ class Codec:
                     parts.append(x)
                 parts.append(np.array(self._run(waiting), "<u2").tobytes())
                 out.append(b"".join(parts))
+        for w in long:
+            del self.memo[w]
         return [np.frombuffer(x, "<u2") for x in out]
 
     def decode(self, ids: np.ndarray) -> str:

@@ -137,6 +137,19 @@ def test_pieces_equal_the_library(spark, folder, texts):
     assert [x.tolist() for x in pieces.codec(pieces.vocabulary()).encode_batch(some)] == [model.encode(t) for t in some]
 
 
+def test_pieces_of_long_and_forgotten_words(monkeypatch):
+    """Words around the lengths that are relaxed together and remembered, and words of earlier generations."""
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.vocabulary())
+    codec = pieces.Codec(pieces.vocabulary())
+    monkeypatch.setattr(pieces, "MEMO", 40)
+    some = [w * n + end for w in ("x", "the", "aab", "\u6f22", "\U0001f600b") for n in (1, 16, 21, 22, 47, 48, 49, 63, 64, 65, 900) for end in ("", ".", "!?")]
+    some += ["", " ", "a  b " * 30, " ".join(some)]
+    for _ in range(3):
+        assert [x.tolist() for x in codec.encode_batch(some)] == [model.encode(t) for t in some]
+        assert [x.tolist() for x in codec.encode_batch(some[:9])] == [model.encode(t) for t in some[:9]]
+    assert max(map(len, [*codec.memo, *codec.before])) <= pieces.MEMO_CHARS
+
+
 def _base(text):
     out = []
     for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):

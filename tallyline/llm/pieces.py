@@ -88,8 +88,11 @@ class Codec:
             self.bytes[i] = bytes([b])
         self.memo: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
-        self.bigrams = {t[k : k + 2] for i in self.rank for t in (self.text[i],) for k in range(len(t) - 1)}
-        self.signs = {c: np.array([self.ids[c]], "<u2").tobytes() for c in ".,;:!?)" if c in self.ids}
+        self.parts: dict[str, bytes] = {}
+        self._beside = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for i in self.rank:
+            codes = self.code[[ord(c) for c in self.text[i]]]
+            self._beside[codes[:-1], codes[1:]] = True
 
     # --- the vocabulary
 
@@ -186,7 +189,7 @@ class Codec:
     # --- index, edges, relaxation
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position, length, piece) of every occurrence, sorted by position and length."""
+        """(position, length, piece) of every occurrence."""
         code = self.code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
         n = len(code)
         if not n:
@@ -212,8 +215,7 @@ class Codec:
         at = np.concatenate([at, bare])
         length = np.concatenate([self.lengths[piece], np.ones(len(bare), np.int64)])
         ids = np.concatenate([self.order[piece], np.full(len(bare), UNKNOWN)])
-        order = np.argsort(at * (self.columns * PACK + 1) + length)
-        return at[order], length[order], ids[order]
+        return at, length, ids
 
     @staticmethod
     def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -224,29 +226,35 @@ class Codec:
 
     @staticmethod
     def _search(packs: list[np.ndarray], suffixes: np.ndarray, wanted: np.ndarray, behind: bool) -> np.ndarray:
-        """Binary search of all pieces at once: first suffix not before (or behind) each."""
-        low, high = np.zeros(len(wanted), np.int64), np.full(len(wanted), len(suffixes))
-        for _ in range(len(suffixes).bit_length()):
-            open_ = low < high
-            middle = np.minimum((low + high) // 2, len(suffixes) - 1)
+        """Binary search of all pieces at once: first suffix not before (or behind) each.
+
+        The first column alone bounds the range; the others are searched inside it.
+        """
+        leading = packs[0][suffixes]
+        low, high = (np.searchsorted(leading, wanted[:, 0], side) for side in ("left", "right"))
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            middle = (low[open_] + high[open_]) // 2
             at = suffixes[middle]
-            less, same = np.zeros(len(wanted), bool), np.ones(len(wanted), bool)
-            for k, pack in enumerate(packs):
-                value = pack[at]
-                less |= same & (value < wanted[:, k])
-                same &= value == wanted[:, k]
-            right = (less | same if behind else less) & open_
-            low, high = np.where(right, middle + 1, low), np.where(open_ & ~right, middle, high)
+            less, same = np.zeros(len(open_), bool), np.ones(len(open_), bool)
+            for k, pack in enumerate(packs[1:], 1):
+                value, sought = pack[at], wanted[open_, k]
+                less |= same & (value < sought)
+                same &= value == sought
+            right = less | same if behind else less
+            low[open_[right]] = middle[right] + 1
+            high[open_[~right]] = middle[~right]
+            open_ = open_[low[open_] < high[open_]]
         return low
 
     def words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, a space mark in front; one index for all of them.
+        """Ids of each word or part of a word, its space mark included; one index for all of them.
 
         A word's state behind each of its characters is the last piece there, START where
         no piece ends. All words of one index are relaxed by ``_relaxed``.
         """
-        text = "".join(MARK + w for w in words)
-        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        text = "".join(words)
+        sizes = np.array([len(w) for w in words], np.int64)
         begins = np.cumsum(sizes) - sizes
         at, length, ids = self.edges(text)
         last, come = self._relaxed(np.repeat(begins, sizes), np.repeat(sizes, sizes), at, length, ids)
@@ -297,7 +305,8 @@ class Codec:
                 edge = edge[self.fits(before, ids[edge])]
             stop = at[edge] + length[edge] - 1
             last[stop], come[stop] = ids[edge], at[edge]
-        self._relaxed_alone(last, come, position, at, length, ids, np.flatnonzero(long))
+        alone = np.flatnonzero(long)
+        self._relaxed_alone(last, come, position, at, length, ids, alone[np.argsort(at[alone], kind="stable")])
         return last, come
 
     def _relaxed_alone(self, last: np.ndarray, come: np.ndarray, position: np.ndarray, at: np.ndarray, length: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> None:
@@ -326,15 +335,33 @@ class Codec:
         """Pieces of space marks alone: as many of the longest as there are, then the rest."""
         return self.runs[self.most] * (n // self.most) + self.runs[n % self.most]
 
-    def _learnt(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words not known yet. A last sign that no piece joins to the letter before it stands alone."""
-        stems = {}
-        for w in words:
-            alone = len(w) > 1 and w[-1] in self.signs and w[-2:] not in self.bigrams
-            stems[w] = (w[:-1], self.signs[w[-1]]) if alone else (w, b"")
-        new = sorted({stem for stem, _ in stems.values()}.difference(self.memo))
-        known = dict(zip(new, self.words(new), strict=True))
-        return {w: (known.get(stem) or self.memo[stem]) + sign for w, (stem, sign) in stems.items()} | known
+    def _learnt(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words not known yet.
+
+        Words are cut between characters that stand side by side in no piece, since nothing
+        is merged there; each different part goes through the index once.
+        """
+        if not words:
+            return {}
+        text = "".join([MARK + w for w in words])
+        code = self.code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+        begins = np.cumsum([0] + [len(w) + 1 for w in words])
+        cut = ~self._beside[code[:-1], code[1:]]
+        cut[begins[1:-1] - 1] = True
+        cuts = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(text)]])
+        ends = cuts.tolist()
+        parts = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        if len(self.parts) > MEMO // 2:
+            self.parts = {}
+        new = list(set(parts).difference(self.parts))
+        self.parts.update(zip(new, self.words(new), strict=True))
+        ids = list(map(self.parts.__getitem__, parts))
+        upto = np.concatenate([[0], np.cumsum(list(map(len, ids)))])[np.searchsorted(cuts, begins)].tolist()
+        whole = b"".join(ids)
+        for part in new:
+            if len(part) > MEMO_CHARS:
+                del self.parts[part]
+        return {w: whole[a:b] for w, a, b in zip(words, upto, upto[1:], strict=False)}
 
     def _recalled(self, words: set[str]) -> list[str]:
         """Makes the ids of all ``words`` known; those of the generation before move to this one.
@@ -346,7 +373,7 @@ class Codec:
         missing = words.difference(self.memo)
         old = missing.intersection(self.before)
         self.memo.update((w, self.before[w]) for w in old)
-        learnt = self._learnt(missing.difference(old))
+        learnt = self._learnt(list(missing.difference(old)))
         self.memo.update(learnt)
         return [w for w in learnt if len(w) > MEMO_CHARS]
 

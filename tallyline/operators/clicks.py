@@ -250,8 +250,23 @@ def region_counts(rows: DataFrame) -> DataFrame:
     Input: ``date``, ``region_raw`` (``country|province|city|operator``), ``ip`` and
     ``type``. A region is abnormal if one of its three levels is missing.
     """
+    return named_regions(address_counts(rows, ["type"]))
+
+
+def address_counts(rows: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Rows per date, region and address: what a stream of regions keeps per day."""
+    return rows.groupBy(*(extra or []), "date", "region_raw", "ip").agg(F.count("*").alias("count"))
+
+
+def days_told_apart(counts: DataFrame) -> DataFrame:
+    """Adds ``type`` on read: the last date is the current day, all others, and no date, are history."""
+    last = counts.agg(F.max("date")).scalar()
+    return counts.withColumn("type", F.when(F.col("date") == last, "periodic").otherwise("history"))
+
+
+def named_regions(counts: DataFrame) -> DataFrame:
+    """``address_counts`` by ``type`` with the levels of each region."""
     region = F.regexp_replace("region_raw", r"^[^|]*\|?", "")
-    counts = rows.groupBy("date", "region_raw", "type", "ip").agg(F.count("*").alias("count"))
     levels = {"province": 1, "city": 2, "district": 3}
     named = counts.withColumn("region", region).withColumns(
         {name: region_part("region", k) for name, k in levels.items()}

@@ -82,18 +82,20 @@ def drill_down(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("balance", F.col("balance").cast("decimal(38,2)"))
 
 
-def region_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """History and current day (the last one) with their region levels."""
-    rows = logs(spark, folder)
+def region_rows(rows: DataFrame) -> DataFrame:
+    """Log rows with a date and a region text of their user."""
     level = F.col("user_id").cast("int")
     text = F.concat(
         F.lit("CN|P"), level % 5, F.lit("|"), F.when(level % 4 == 0, "").otherwise(F.concat(F.lit("C"), level % 6)),
         F.lit("|"), F.when(level % 2 == 0, "mobile").otherwise("fixed"),
     )
-    flat = rows.select(
-        F.replace(F.split_part("formatted_time", F.lit(" "), F.lit(1)), F.lit("-"), F.lit("")).alias("date"),
-        text.alias("region_raw"), "ip",
-    )
+    day = F.replace(F.split_part("formatted_time", F.lit(" "), F.lit(1)), F.lit("-"), F.lit(""))
+    return rows.withColumns({"date": day, "region_raw": text})
+
+
+def region_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """History and current day (the last one) with their region levels."""
+    flat = region_rows(logs(spark, folder)).select("date", "region_raw", "ip")
     last = flat.agg(F.max("date")).scalar()
     # rows without a date belong to the history
     both = clicks.with_history(

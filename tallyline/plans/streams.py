@@ -17,7 +17,7 @@ from tallyline.operators.ranking import top_n
 from tallyline.operators.windows import BOUNDS
 from tallyline.plans import loads
 from tallyline.plans.clicks import SQL as CLICK_SQL
-from tallyline.plans.clicks import path_rows, profile_rows
+from tallyline.plans.clicks import path_rows, profile_rows, region_rows
 from tallyline.plans.loads import SQL as LOAD_SQL
 from tallyline.plans.orders import SQL as ORDER_SQL
 from tallyline.plans.standins import log_rows, order_rows
@@ -244,6 +244,10 @@ QUERIES = {
         clicks.device_models, ["platform", "brand", "model", "stat_date"],
         lambda d: d.withColumn("stat_date", F.col("stat_date").cast("string")),
     ),
+    "stream_region_counts": _daily(
+        lambda rows, extra: clicks.address_counts(region_rows(rows), extra), ["date", "region_raw", "ip"],
+        lambda d: clicks.named_regions(clicks.days_told_apart(d)),
+    ),
     "stream_page_view_users": _daily(
         clicks.page_day_users, ["day", "page", "user_id"], clicks.user_lists
     ),
@@ -293,6 +297,7 @@ SQL = {
     "stream_user_summary": CLICK_SQL["user_summary"],
     "stream_top_brands": CLICK_SQL["top_brands"],
     "stream_device_models": CLICK_SQL["device_models"],
+    "stream_region_counts": CLICK_SQL["region_counts"],
     "stream_page_view_users": CLICK_SQL["page_view_users"],
     "stream_top_path_patterns": f"{_PATTERNS} SELECT * FROM n ORDER BY cnt DESC, pattern LIMIT 5",
     "stream_path_pattern_lengths": f"""{_PATTERNS}

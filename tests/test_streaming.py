@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.times import MINUTE
 from tallyline.operators import clicks, geo, orders, paths, profiles
 from tallyline.operators.windows import BOUNDS
+from tallyline.plans.clicks import region_rows
 from tallyline.plans.standins import ip_ranges, log_rows, order_rows, raw_log_text
 from tallyline.plans.streams import EVENTS
 from tallyline.schema import RAW_LOG
@@ -141,6 +142,9 @@ DAILY = {
     "users": (clicks.page_day_users, ["day", "page", "user_id"]),
     "words": (stream_clicks.daily_word_counts, ["day", "word"]),
     "behaviours": (profiles.behaviours, ["user_id", "date", "time_slot"]),
+    "regions": (
+        lambda rows, extra=None: clicks.address_counts(region_rows(rows), extra), ["date", "region_raw", "ip"]
+    ),
 }
 
 
@@ -246,3 +250,15 @@ def test_enrichment_and_load_on_a_stream(spark, split, folder, tmp_path):
 def test_bounds_are_local(spark, split):
     rows = stream_orders.window_sales(order_rows(stream(spark, split)))
     assert [dict(rows.dtypes)[b] for b in BOUNDS] == ["timestamp_ntz"] * 2
+
+
+def test_days_told_apart(spark):
+    """The last date is the current day; ties keep their rows, a row without a date is history."""
+    rows = [("20250102", "CN|P|C|m", "1"), ("20250102", "CN|P|C|m", "1"), ("20250102", None, None), ("20250101", "CN|P||m", "1"), (None, "CN|P|C|m", "1")]
+    counts = clicks.address_counts(spark.createDataFrame(rows, "date string, region_raw string, ip string"))
+    got = {(r["date"], r["region_raw"]): (r["type"], r["count"], r["abnormal"]) for r in clicks.named_regions(clicks.days_told_apart(counts)).collect()}
+    assert got == {
+        ("20250102", "CN|P|C|m"): ("periodic", 2, False), ("20250102", None): ("periodic", 1, True),
+        ("20250101", "CN|P||m"): ("history", 1, True), (None, "CN|P|C|m"): ("history", 1, False),
+    }
+    assert clicks.days_told_apart(counts.limit(0)).count() == 0

@@ -10,7 +10,7 @@ license that occurs several times in a text is found each time.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -237,9 +237,10 @@ def _windows(words: list[str], template: Template, group: list[tuple[int, str]])
     """Alignments around each likely start of a group, one per copy of the license."""
     n = len(template.words)
     tried, last = Counter(s for s, _ in group), None
-    for start in sorted(tried):
+    starts, reach = sorted(tried), template.slack // 2
+    for start in starts:
         # of starts close to each other, the one with the most votes stands for all
-        near = [s for s in tried if abs(s - start) <= template.slack // 2]
+        near = starts[bisect_left(starts, start - reach) : bisect_right(starts, start + reach)]
         if start != max(near, key=lambda s: (tried[s], -s)) or last is not None and start - last < 2:
             continue
         last = start

@@ -169,8 +169,9 @@ def on_dates(ts: Column | str, dates, zone: str = ORDER_ZONE) -> Column:
 
 
 def parse_time(text: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text as a zone-free timestamp, NULL if it does not parse."""
-    return col_of(text).try_cast("timestamp_ntz")
+    """``yyyy-MM-dd HH:mm:ss`` text as a zone-free timestamp; NULL for any other form or no such time."""
+    c = col_of(text)
+    return F.when(c.rlike(r"\A\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"), c).try_cast("timestamp_ntz")
 
 
 def previous_day(ds: Column | str) -> Column:

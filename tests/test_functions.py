@@ -94,6 +94,15 @@ def test_parse_time(spark):
     assert got == ["2025-10-27 10:20:00", None]
 
 
+def test_parse_time_takes_one_form(spark):
+    """What a cast would take as well is no report time; neither is a day or hour that does not exist."""
+    others = ["2025-10-27", "2025-10-27T10:20:00", "2025-10-27 10:20", "2025-10-27 10:20:00.5", " 2025-10-27 10:20:00",
+              "2025-10-27 10:20:00+08:00", "2025-1-7 1:2:3", "2025-02-30 10:20:00", "2025-10-27 24:20:00", "2025-10-27 10:20:00\n", "", None]
+    assert values(spark, times.parse_time("c").cast("string"), *others) == [None] * len(others)
+    assert values(spark, times.parse_time("c").cast("string"), "2024-02-29 23:59:59") == ["2024-02-29 23:59:59"]
+
+
+
 def test_clean_id(spark):
     assert values(spark, text.clean_id("c"), " 12\n", "1\\n2 ", None) == ["12", "12", None]
 

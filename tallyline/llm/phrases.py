@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -33,8 +32,8 @@ WORDS, LEAST, TOP = 4, 30, 2_000
 #: A phrase is absorbed by a longer one that has this share, in percent, of its occurrences.
 ABSORBED = 80
 SCORE = 2_000_000
-#: Different windows that a task counts before it hands them on, and text bytes counted at once.
-HELD, AT_ONCE = 350_000, 4 << 20
+#: Text characters that a task cuts, counts and sorts at once.
+AT_ONCE = 2 << 20
 #: The ranges are cut by windows of so many rows: every STEP-th, up to MOST_OF of a row, and
 #: their first EDGE bytes. How even the ranges are depends on them, no result does.
 SAMPLE, STEP, MOST_OF, EDGE = 8_192, 64, 1_000, 64
@@ -47,46 +46,64 @@ for _sign in b".,;:!?\x0a\x0b\x0c\x0d":
 _TABLE = bytes(_TABLE)
 
 
-def windows(texts: list[str], most: int = WORDS) -> list[bytes]:
-    """The window of every word of the texts, words joined by the byte 0."""
+def _cut(texts: list[str], most: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the texts with a byte 0 behind each, where they begin and end, and the last word of each one's window."""
     data = np.frombuffer(b"\n".join(t.encode() for t in texts).translate(_TABLE) + b"\n", np.uint8)
     word = (data != 0) & (data != 0x0A)
     edges = np.diff(word.astype(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    if not len(starts):
-        return []
-    broken = np.cumsum(data == 0x0A)
-    last = np.append(broken[starts[1:]] > broken[ends[:-1] - 1], True)
+    line_ends = np.flatnonzero(data == 0x0A)
+    at = np.arange(len(starts))
+    piece_ends = np.flatnonzero(np.append(np.diff(np.searchsorted(line_ends, starts)) > 0, True)[: len(at)])
     keep = word.copy()
     keep[ends] = True
     raw = np.where(word, data, 0)[keep].tobytes()
     stops = np.cumsum(ends - starts + 1) - 1
-    begins = stops - (ends - starts)
-    at = np.arange(len(starts))
-    piece_ends = np.flatnonzero(last)
-    until = np.minimum(at + most - 1, piece_ends[np.searchsorted(piece_ends, at)])
+    until = np.minimum(at + most - 1, piece_ends[np.searchsorted(piece_ends, at)]) if len(at) else at
+    return raw, stops - (ends - starts), stops, until
+
+
+def windows(texts: list[str], most: int = WORDS) -> list[bytes]:
+    """The window of every word of the texts, words joined by the byte 0."""
+    raw, begins, stops, until = _cut(texts, most)
     return [raw[a:b] for a, b in zip(begins.tolist(), stops[until].tolist(), strict=True)]
 
 
+def sorted_windows(texts: list[str], most: int = WORDS) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The different windows in the order of their bytes: the words, where each window begins and ends in them, its count.
+
+    Words end at a byte that sorts before all others, so windows sort as the ranks of their
+    words do, with 0 behind the last one. Only ranks are sorted, no window is a value of its own.
+    """
+    raw, begins, stops, until = _cut(texts, most)
+    n = len(begins)
+    if not n:
+        return raw, begins, stops, begins
+    sizes = np.concatenate([[0], np.cumsum(stops - begins)])
+    words = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(sizes), pa.py_buffer(raw.replace(b"\x00", b""))]).dictionary_encode()
+    ranks = np.empty(len(words.dictionary), np.uint32)
+    ranks[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(1, len(ranks) + 1)
+    rank = np.append(ranks[words.indices.to_numpy()], np.zeros(most, np.uint32))
+    rows = np.arange(n)
+    columns = [np.where(rows + k <= until, rank[k : k + n], 0) for k in range(most)]
+    bits = len(ranks).bit_length()
+    if bits * most <= 64:
+        packed = columns[0].astype(np.uint64)
+        for c in columns[1:]:
+            packed = (packed << np.uint64(bits)) | c
+        columns = [packed]
+    order = np.lexsort(columns[::-1])
+    new = np.flatnonzero(np.append(True, np.any([c[order[1:]] != c[order[:-1]] for c in columns], axis=0)))
+    first = order[new]
+    return raw, begins[first], stops[until[first]], np.diff(np.append(new, n))
+
+
 def _language(lang: str) -> bytes:
     return lang.encode().replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
 
 
 def _counted_windows(batches: Iterator[pa.RecordBatch], most: int, cuts: list[bytes]) -> Iterator[pa.RecordBatch]:
     """slot, key, f: windows in sorted runs, ``slot`` the range between two cuts."""
-    held: dict[str, Counter[bytes]] = {}
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for lang, own in held.items():
-            head = _language(lang) + b"\x00"
-            keys = sorted(own)
-            edges = [0, *(bisect_left(keys, c[len(head) :]) if c.startswith(head) else len(keys) * (c > head) for c in cuts), len(keys)]
-            slots = np.repeat(np.arange(len(cuts) + 1, dtype=np.int32), np.diff(edges))
-            for i in range(0, len(keys), 1 << 15):
-                some = keys[i : i + (1 << 15)]
-                cols = [pa.array(slots[i : i + (1 << 15)]), pa.array([head + k for k in some], pa.binary()), pa.array([own[k] for k in some], pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols, ["slot", "key", "f"])
-        held.clear()
 
     def slices(text: str) -> Iterator[str]:
         """A text in parts that end at the end of a piece, or whole where it has none."""
@@ -99,25 +116,31 @@ def _counted_windows(batches: Iterator[pa.RecordBatch], most: int, cuts: list[by
             at = m.end()
         yield text[at:]
 
-    def count(lang: str, some: list[str]) -> Iterator[pa.RecordBatch]:
-        held.setdefault(lang, Counter()).update(windows(some, most))
-        if sum(map(len, held.values())) > HELD:
-            yield from out()
-
+    def run(lang: str, some: list[str]) -> Iterator[pa.RecordBatch]:
+        head = _language(lang) + b"\x00"
+        raw, begins, ends, counts = sorted_windows(some, most)
+        n = len(begins)
+        key = lambda i: raw[begins[i] : ends[i]]
+        edges = [0, *(bisect_left(range(n), c[len(head) :], key=key) if c.startswith(head) else n * (c > head) for c in cuts), n]
+        slots = np.repeat(np.arange(len(cuts) + 1, dtype=np.int32), np.diff(edges))
+        for i in range(0, n, 1 << 15):
+            part = slice(i, i + (1 << 15))
+            keys = [head + raw[a:b] for a, b in zip(begins[part].tolist(), ends[part].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(slots[part]), pa.array(keys, pa.binary()), pa.array(counts[part], pa.int64())], ["slot", "key", "f"])
+
+    of: dict[str, list[str]] = {}
+    size = 0
     for b in batches:
-        of: dict[str, list[str]] = {}
-        size = 0
-        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            for part in slices(text):
-                of.setdefault(lang, []).append(part)
+        for lang, text in zip(b.column(0), b.column(1), strict=True):
+            for part in slices(text.as_py()):
+                of.setdefault(lang.as_py(), []).append(part)
                 size += len(part)
                 if size > AT_ONCE:
-                    for k, some in of.items():
-                        yield from count(k, some)
-                    of, size = {}, 0
-        for k, some in of.items():
-            yield from count(k, some)
-    yield from out()
+                    while of:
+                        yield from run(*of.popitem())
+                    size = 0
+    while of:
+        yield from run(*of.popitem())
 
 
 _PIECE_END = re.compile("[.,;:!?\x0a-\x0d]")
@@ -204,11 +227,12 @@ def _above(key: bytes) -> list[bytes]:
     return [b"\x00".join(parts[:k]) for k in range(1, len(parts))]
 
 
-def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _walk(batches: Iterator[pa.RecordBatch], turned: bool) -> Iterator[pa.RecordBatch]:
     """key, own, above, longer of sorted key, f, own, slot.
 
     ``above`` holds the counts of all beginnings of the key, the language first;
-    ``longer`` the largest count of a key longer by a word, 0 if there is none.
+    ``longer`` the largest count of a key longer by a word, 0 if there is none. ``turned`` keys
+    come with their words from the last to the first and are given in the usual order.
     """
     schema = pa.schema([("key", pa.binary()), ("own", pa.bool_()), ("f", pa.int64()), ("above", pa.list_(pa.int64())), ("longer", pa.int64())])
     stack: list[list] = []  # slot, key, f, own, longer
@@ -216,7 +240,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> None:
         _, key, f, own, longer = stack.pop()
-        done.append((key, own, f, [x[2] for x in stack] if own else None, longer))
+        done.append((_turned(key) if turned else key, own, f, [x[2] for x in stack] if own else None, longer))
         if stack:
             stack[-1][4] = max(stack[-1][4], f)
 
@@ -262,15 +286,8 @@ def streamed(counts: DataFrame, turned: bool) -> DataFrame:
     missing = slots.groupBy("slot").agg(F.min("key").alias("key")).mapInArrow(heads, "slot int, key binary")
     carried = missing.join(slots.select("key", "f"), "key").select("slot", "key", "f", F.lit(False).alias("own"))
     both = slots.select("slot", "key", "f", F.lit(True).alias("own")).unionByName(carried)
-    walked = both.repartition("slot").sortWithinPartitions("slot", "key").mapInArrow(_walk, "key binary, own boolean, f bigint, above array<bigint>, longer bigint")
-    if not turned:
-        return walked
-
-    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.set_column(0, "key", pa.array([_turned(k) for k in b.column(0).to_pylist()], pa.binary()))
-
-    return walked.mapInArrow(back, "key binary, own boolean, f bigint, above array<bigint>, longer bigint")
+    dealt = both.repartition("slot").sortWithinPartitions("slot", "key")
+    return dealt.mapInArrow(lambda b: _walk(b, turned), "key binary, own boolean, f bigint, above array<bigint>, longer bigint")
 
 
 def _exchanged(c: Column) -> Column:

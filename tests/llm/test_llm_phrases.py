@@ -74,3 +74,30 @@ def test_long_texts_in_parts(monkeypatch, spark, rows):
         assert all(s == sum(k >= c for c in cuts) for s, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
     assert got == Counter(b"en\x00" + w for w in phrases.windows([text]))
     assert sum(got.values()) == 220
+
+
+def test_a_task_holds_only_what_it_cuts_at_once(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(phrases, "AT_ONCE", 1 << 15)
+    texts = [" ".join(f"{i * 200 + k:x}" for k in range(200)) for i in range(600)]
+    batches = [pa.RecordBatch.from_pydict({"lang": ["en"], "text": [t]}) for t in texts]
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in phrases._counted_windows(iter(batches), 4, [b"en\x00c"]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 120_000
+    assert peak < 8 << 20
+
+
+@pytest.mark.parametrize("most", [1, 4, 40])
+def test_sorted_windows_are_the_counts_of_all(rows, most):
+    for texts in ([t or "" for _, t in rows], [""], [" .\n"], ["b a\x00 b a b"]):
+        raw, begins, ends, counts = phrases.sorted_windows(texts, most)
+        keys = [raw[a:b] for a, b in zip(begins, ends)]
+        want = Counter(phrases.windows(texts, most))
+        assert keys == sorted(want) and counts.tolist() == [want[k] for k in keys]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.times import MINUTE
 from tallyline.operators import clicks, geo, orders, paths, profiles
 from tallyline.operators.windows import BOUNDS
+from tallyline.plans import streams
 from tallyline.plans.clicks import region_rows
 from tallyline.plans.standins import ip_ranges, log_rows, order_rows, raw_log_text
 from tallyline.plans.streams import EVENTS
@@ -262,3 +263,25 @@ def test_days_told_apart(spark):
         ("20250101", "CN|P||m"): ("history", 1, True), (None, "CN|P|C|m"): ("history", 1, False),
     }
     assert clicks.days_told_apart(counts.limit(0)).count() == 0
+
+
+def test_messages_are_shared_by_the_cores(spark, tmp_path):
+    """Batches of messages: as many as asked for, every row once, each batch in a file per core."""
+    text = spark.range(4000).select(F.when(F.col("id") > 1, F.concat(F.lit("m"), "id")).alias("value"))
+    seen = []
+
+    def write(df, batch):
+        seen.append((df.select(F.input_file_name()).distinct().count(), [r.value for r in df.collect()]))
+
+    finish(sinks.start_batches(streams._as_files(text, 3), write, str(tmp_path / "checkpoint")))
+    assert [n for n, _ in seen] == [max(spark.sparkContext.defaultParallelism, streams.LEAST_FILES)] * 3
+    assert sorted(v or "" for _, rows in seen for v in rows) == sorted(["", "", *(f"m{i}" for i in range(2, 4000))])
+
+
+@pytest.mark.parametrize("rows", [0, 1, 5])
+def test_few_messages(spark, tmp_path, rows):
+    text = spark.range(rows).select(F.col("id").cast("string").alias("value"))
+    seen = []
+    write = lambda df, batch: seen.extend(r.value for r in df.collect())
+    finish(sinks.start_batches(streams._as_files(text, 3), write, str(tmp_path / "checkpoint")))
+    assert sorted(seen) == [str(i) for i in range(rows)]

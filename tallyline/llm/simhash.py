@@ -97,7 +97,8 @@ def new_links(points: DataFrame, distance: int) -> DataFrame:
     in the first such segment only, under the differing bit or, if none, the first one.
     """
     parts = distance // 2 + 1
-    side = variants(points, parts)
+    # Spark does not count the rows that explode adds: sized by the points, the variants would go to the driver for a broadcast
+    side = variants(points, parts).hint("merge")
     a, b = side.alias("a"), side.alias("b")
     diff = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     within = lambda s: diff.bitwiseAND(F.lit(_signed(((1 << s[1]) - 1) << s[0])).cast("long"))

@@ -1,4 +1,8 @@
-"""Connected components of a table of links, as rounds of joins over stored tables."""
+"""Connected components of a table of links, as rounds of joins over stored tables.
+
+Links grow with the input, and files of a few bytes a link are 20 times as large in the
+hash table of a broadcast, so the joins are merge joins whatever size Spark reads there.
+"""
 
 from __future__ import annotations
 
@@ -18,14 +22,14 @@ def _through_smallest(links: DataFrame) -> DataFrame:
         links.select(F.col("high").alias("u"), F.col("low").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    larger = links.select(F.col("low").alias("u"), F.col("high").alias("v")).join(least, "u")
+    larger = links.select(F.col("low").alias("u"), F.col("high").alias("v")).join(least.hint("merge"), "u")
     return larger.select(F.col("m").alias("low"), F.col("v").alias("high"))
 
 
 def _among_smaller(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours, tied to the smallest of those."""
     least = links.groupBy("high").agg(F.min("low").alias("m"))
-    near = links.join(least, "high")
+    near = links.join(least.hint("merge"), "high")
     return near.select(F.col("m").alias("low"), F.col("low").alias("other")).where("low < other").select("low", F.col("other").alias("high")).unionByName(
         least.select(F.col("m").alias("low"), "high")
     )
